@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import bpe
 from . import chat_format as chat
 from .common import table
 from .line_dedup import line_dedup
+from .substring_dedup import substring_dedup
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,5 +76,28 @@ SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns,
 FROM sized GROUP BY conv_id
 """
 
-QUERIES = {"op1_line_dedup": op1_line_dedup, "op5_chat_format": op5_chat_format}
+#: The rank file by whose ids the corpus is encoded.
+TOKENIZER = "byte_bpe_multi_50k.tiktoken"
+
+
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = bpe.read_ranks(public_tokenizers.path(TOKENIZER))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
+    return out.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
+    )
+
+
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup(docs, window=20).select("doc_id", "n_words", "n_removed", F.sha2(F.col("text"), 256).alias("kept_sha256"))
+
+
+QUERIES = {"op1_line_dedup": op1_line_dedup, "op5_chat_format": op5_chat_format, "op7_bpe": op7_bpe, "op8_substring_dedup": op8_substring_dedup}
 ORACLES = {"op1_line_dedup": OP1_SQL, "op5_chat_format": OP5_SQL}
