@@ -46,3 +46,12 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     would take for the same name."""
     taken = {n.lower() for n in names}
     return df.drop(*[c for c in df.columns if c.lower() in taken])
+
+
+#: ASCII bytes that are neither digits nor letters end a word.
+_BREAKS = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
+
+
+def plain_words(text: str) -> list[bytes]:
+    """Words of a text in lower case, without ASCII punctuation."""
+    return text.lower().encode().translate(_BREAKS).split()

@@ -9,6 +9,7 @@ from . import bpe
 from . import chat_format as chat
 from .common import table
 from .line_dedup import line_dedup
+from .order_minhash import near_duplicates
 from .substring_dedup import substring_dedup
 
 
@@ -99,5 +100,9 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(docs, window=20).select("doc_id", "n_words", "n_removed", F.sha2(F.col("text"), 256).alias("kept_sha256"))
 
 
-QUERIES = {"op1_line_dedup": op1_line_dedup, "op5_chat_format": op5_chat_format, "op7_bpe": op7_bpe, "op8_substring_dedup": op8_substring_dedup}
+def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+QUERIES = {"op10_order_minhash": op10_order_minhash, "op1_line_dedup": op1_line_dedup, "op5_chat_format": op5_chat_format, "op7_bpe": op7_bpe, "op8_substring_dedup": op8_substring_dedup}
 ORACLES = {"op1_line_dedup": OP1_SQL, "op5_chat_format": OP5_SQL}
