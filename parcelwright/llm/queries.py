@@ -10,6 +10,7 @@ from . import bpe
 from . import chat_format as chat
 from .common import table
 from .decontaminate import contaminated
+from .embedding_dedup import near_vectors
 from .line_dedup import line_dedup
 from .order_minhash import near_duplicates
 from .quality import score_quality
@@ -115,7 +116,11 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels").select("doc_id", "quality"))
 
 
-QUERIES = {"pipeline": corpus_pipeline.run, "op3_quality": op3_quality, "op9_decontaminate": op9_decontaminate, "op10_order_minhash": op10_order_minhash, "op1_line_dedup": op1_line_dedup, "op5_chat_format": op5_chat_format, "op7_bpe": op7_bpe, "op8_substring_dedup": op8_substring_dedup}
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {"op6_embedding_dedup": op6_embedding_dedup, "pipeline": corpus_pipeline.run, "op3_quality": op3_quality, "op9_decontaminate": op9_decontaminate, "op10_order_minhash": op10_order_minhash, "op1_line_dedup": op1_line_dedup, "op5_chat_format": op5_chat_format, "op7_bpe": op7_bpe, "op8_substring_dedup": op8_substring_dedup}
 ORACLES = {"op1_line_dedup": OP1_SQL, "op5_chat_format": OP5_SQL}
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
