@@ -11,6 +11,7 @@ from . import chat_format as chat
 from .common import table
 from .decontaminate import contaminated
 from .embedding_dedup import near_vectors
+from .language import identify
 from .line_dedup import line_dedup
 from .order_minhash import near_duplicates
 from .quality import score_quality
@@ -120,7 +121,12 @@ def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {"op6_embedding_dedup": op6_embedding_dedup, "pipeline": corpus_pipeline.run, "op3_quality": op3_quality, "op9_decontaminate": op9_decontaminate, "op10_order_minhash": op10_order_minhash, "op1_line_dedup": op1_line_dedup, "op5_chat_format": op5_chat_format, "op7_bpe": op7_bpe, "op8_substring_dedup": op8_substring_dedup}
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return identify(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
+QUERIES = {"op4_language": op4_language, "op6_embedding_dedup": op6_embedding_dedup, "pipeline": corpus_pipeline.run, "op3_quality": op3_quality, "op9_decontaminate": op9_decontaminate, "op10_order_minhash": op10_order_minhash, "op1_line_dedup": op1_line_dedup, "op5_chat_format": op5_chat_format, "op7_bpe": op7_bpe, "op8_substring_dedup": op8_substring_dedup}
 ORACLES = {"op1_line_dedup": OP1_SQL, "op5_chat_format": OP5_SQL}
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
