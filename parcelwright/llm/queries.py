@@ -15,6 +15,7 @@ from .language import identify
 from .line_dedup import line_dedup
 from .order_minhash import near_duplicates
 from .quality import score_quality
+from .toxicity import score_toxicity
 from .substring_dedup import substring_dedup
 
 
@@ -126,7 +127,11 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs).select("doc_id", "held_out", "lang_pred", "score")
 
 
-QUERIES = {"op4_language": op4_language, "op6_embedding_dedup": op6_embedding_dedup, "pipeline": corpus_pipeline.run, "op3_quality": op3_quality, "op9_decontaminate": op9_decontaminate, "op10_order_minhash": op10_order_minhash, "op1_line_dedup": op1_line_dedup, "op5_chat_format": op5_chat_format, "op7_bpe": op7_bpe, "op8_substring_dedup": op8_substring_dedup}
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+
+
+QUERIES = {"op2_toxicity": op2_toxicity, "op4_language": op4_language, "op6_embedding_dedup": op6_embedding_dedup, "pipeline": corpus_pipeline.run, "op3_quality": op3_quality, "op9_decontaminate": op9_decontaminate, "op10_order_minhash": op10_order_minhash, "op1_line_dedup": op1_line_dedup, "op5_chat_format": op5_chat_format, "op7_bpe": op7_bpe, "op8_substring_dedup": op8_substring_dedup}
 ORACLES = {"op1_line_dedup": OP1_SQL, "op5_chat_format": OP5_SQL}
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
