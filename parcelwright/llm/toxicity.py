@@ -34,19 +34,20 @@ MAX_ROWS = 8_000  # labelled documents to learn from, half of them toxic at most
 DECAY = 0.5  # for each character left out
 SPAN = 7  # characters that a subsequence may stretch over
 EDGE = 31  # stands before and after a word
-LANDMARKS = 200
-ROUNDS = 3
+LANDMARKS = 300
+ROUNDS = 4
 TABLE = 1 << 20  # subsequences of four classes of 32
 #: Single letters in a row, so many or more, are also read as one word.
 SPELLED = 4
 REMEMBERED = 400_000
+STRETCHED = 6  # copies of a toxic word with a letter put in, as further examples
 OFFSETS = [(a, b, c, DECAY ** (c - 3)) for a, b, c in combinations(range(1, SPAN), 3)]
 SENTENCE = re.compile(r"[.!?]+\s+|\n+")
 
 
 def _classes() -> np.ndarray:
     """The class of each code point: 1 to 26 for a letter by its base, 27 to 30 for other
-    letters, 0 for what is passed over."""
+    letters, 0 for what is passed over as if it were not there."""
     out = np.zeros(0x3000, np.uint8)
     for p in range(0x3000):
         base = unicodedata.normalize("NFKD", chr(p))[:1].lower()
@@ -67,16 +68,18 @@ def _subsequences(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, fl
     text = "".join(f"\x02{w}\x03" for w in words)
     points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
     kinds = np.where(points < len(CLASSES), CLASSES[np.minimum(points, len(CLASSES) - 1)], 27 + (points % 4).astype(np.uint8)).astype(np.int64)
-    sizes = np.fromiter(map(len, words), np.int64, len(words)) + 2
-    word = np.repeat(np.arange(len(words)), sizes)
-    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(points))
-    at = np.flatnonzero((kinds > 0) & (left > 3))
+    word = np.repeat(np.arange(len(words)), np.fromiter(map(len, words), np.int64, len(words)) + 2)
+    word, kinds = word[kinds > 0], kinds[kinds > 0]
+    left = np.searchsorted(word, word, "right") - np.arange(len(word))
     for a, b, c, weight in OFFSETS:
-        at_c = at[left[at] > c]
-        ka, kb, kc = kinds[at_c + a], kinds[at_c + b], kinds[at_c + c]
-        good = (ka > 0) & (kb > 0) & (kc > 0)
-        at_c = at_c[good]
-        yield word[at_c], (kinds[at_c] << 15) | (ka[good] << 10) | (kb[good] << 5) | kc[good], weight
+        at = np.flatnonzero(left > c)
+        yield word[at], (kinds[at] << 15) | (kinds[at + a] << 10) | (kinds[at + b] << 5) | kinds[at + c], weight
+
+
+def _stretched(word: str, rng: np.random.Generator) -> str:
+    """The word with a letter put in, as insults are written to slip through."""
+    at = int(rng.integers(1, max(2, len(word))))
+    return word[:at] + (word[at - 1] if rng.random() < 0.3 else chr(97 + int(rng.integers(26)))) + word[at:]
 
 
 def word_scores(words: list[str], table: np.ndarray) -> np.ndarray:
@@ -97,6 +100,18 @@ def _features(words: list[str], columns: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
+def _kernel(words: list[str], columns: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    """Kernel values of words with landmarks, given as a row for each column of subsequences."""
+    out = np.zeros((len(words), marks.shape[1]))
+    for word, number, weight in _subsequences(words):
+        column = columns[number]
+        word, column = word[column >= 0], column[column >= 0]
+        if len(word):
+            first = np.flatnonzero(np.diff(word, prepend=-1))
+            out[word[first]] += weight * np.add.reduceat(marks[column], first, axis=0)
+    return out
+
+
 @dataclass
 class Model:
     table: np.ndarray
@@ -108,7 +123,7 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * (raw + self.bias) + self.shift, -50, 50)))
 
 
-def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3, steps: int = 30) -> np.ndarray:
+def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-4, steps: int = 12) -> np.ndarray:
     """A linear machine with squared hinge loss, by Newton steps; the last column of x is 1."""
     w = np.zeros(x.shape[1])
     for _ in range(steps):
@@ -183,21 +198,27 @@ def train(sentences: list[list[list[str]]], labels: np.ndarray) -> Model:
         values, vectors = np.linalg.eigh(z.astype(np.float64) @ z.T)
         keep = values > 1e-6 * values.max()
         root = vectors[:, keep] / np.sqrt(values[keep])  # from kernel values to Nystroem features
-        rows = np.concatenate((positive, negative))
-        x = np.concatenate([_features([words[k] for k in rows[a : a + 2000].tolist()], columns, len(numbers)) @ z.T for a in range(0, len(rows), 2000)]) @ root
+        spread = [_stretched(words[k], rng) for k in top.tolist() for _ in range(STRETCHED)]
+        rows = [words[k] for k in positive.tolist()] + spread + [words[k] for k in negative.tolist()]
+        by_column = np.ascontiguousarray(z.T)
+        x = np.concatenate([_kernel(rows[a : a + 2000], columns, by_column) for a in range(0, len(rows), 2000)]) @ root
         x = np.concatenate((x, np.ones((len(x), 1))), axis=1)
-        y = np.concatenate((np.ones(len(positive)), -np.ones(len(negative))))
-        weight = np.concatenate((np.sqrt(times) * len(negative) / np.sqrt(times).sum(), np.ones(len(negative))))
+        y = np.where(np.arange(len(rows)) < len(rows) - len(negative), 1.0, -1.0)
+        each = np.sqrt(times) / np.sqrt(times).sum()
+        virtual = 1.5 * np.repeat(each[np.argsort(-times, kind="stable")][: len(top)], STRETCHED) / STRETCHED
+        weight = np.concatenate((each * len(negative), virtual * len(negative), np.where(np.isin(negative, hard), 4.0, 1.0)))
         w = _svm(x, y, weight)
         table = np.zeros(TABLE, np.float32)
         table[numbers] = z.T @ (root @ w[:-1])
         bias, sure = float(w[-1]), 0.0
         score = word_scores(words, table) + bias
-        worst = np.array([d[score[d].argmax()] for d in (docs[k] for k in clean) if len(d)], np.int64)
+        worst = np.unique(np.concatenate([d[np.argsort(-score[d])[:3]] for d in (docs[k] for k in clean)]))
         share = np.bincount(np.concatenate([docs[k] for k in toxic]), minlength=len(words)) / len(toxic)
         share -= np.bincount(np.concatenate([docs[k] for k in clean]), minlength=len(words)) / len(clean)
-        hard = np.unique(worst[share[worst] <= 0.0005])
+        hard = np.union1d(hard, worst[(share[worst] <= 0.0005) & (score[worst] > -0.7)])
     raw = np.array([score[d].max() if len(d) else -1.0 for d in docs])
+    # The stretched words are toxic texts of one word here.
+    raw, labels = np.concatenate((raw, word_scores(spread, table) + bias)), np.concatenate((labels, np.ones(len(spread), labels.dtype)))
     slope, shift = _platt(raw, labels.astype(float))
     return Model(table, bias, slope, shift)
 
