@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from . import entity_queries, lead_queries, state_queries
+
+QUERIES: dict = lead_queries.QUERIES | entity_queries.QUERIES | state_queries.QUERIES
+ORACLES: dict = lead_queries.ORACLES | entity_queries.ORACLES | state_queries.ORACLES
