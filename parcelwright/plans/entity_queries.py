@@ -202,7 +202,7 @@ def unique_lot_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     lb = view(spark, sf_dir, "d_parcel").select("prop_id", "owner_id", legal.lot_block("legal").alias("lb"))
     parcels = lb.select("prop_id", "owner_id", "lb.block", F.explode("lb.lots").alias("lot")).groupBy("owner_id", "lot", "block").agg(F.count("*").alias("n"), F.min("prop_id").alias("prop_id")).where("n = 1")
     leads = table(spark, sf_dir, "lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("lead_id"), (F.col("l_suppkey") % 150).alias("owner_id"), (F.col("l_partkey") % 20 + 1).cast("string").alias("lot"), F.col("l_quantity").cast("int").cast("string").alias("block"))
-    return leads.join(parcels, ["owner_id", "lot", "block"]).select("lead_id", "prop_id")
+    return joins.unique_match(leads.join(parcels, ["owner_id", "lot", "block"]).select("lead_id", "prop_id"), "lead_id")
 
 
 @query()
