@@ -1,0 +1,69 @@
+"""A data source of landed result pages: one partition for each category, filters at the source.
+
+    register(spark)
+    spark.read.format("landed_pages").option("path", folder).option("categories", "LP,JUD").load()
+
+Pages lie under folder/CATEGORY/N.json, each a list of rows (objects); a category ends at
+its first missing or empty page. Every row comes with its category and page and as JSON.
+The folder must be readable by the executors.
+"""
+
+from __future__ import annotations
+
+import json
+import os
+from collections.abc import Iterator
+
+from pyspark.sql import SparkSession
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, InputPartition
+
+
+class _Category(InputPartition):
+    def __init__(self, name: str) -> None:
+        self.name = name
+
+
+class _Reader(DataSourceReader):
+    def __init__(self, options: dict) -> None:
+        self.path, self.most = options["path"], int(options.get("maxPages", "100"))
+        self.names = [c for c in options["categories"].split(",") if c]
+
+    def pushFilters(self, filters: list) -> Iterator:  # noqa: N802
+        for f in filters:
+            if isinstance(f, EqualTo) and f.attribute == ("category",):
+                self.names = [n for n in self.names if n == f.value]
+            else:
+                yield f
+
+    def partitions(self) -> list[InputPartition]:
+        return [_Category(n) for n in self.names] or [_Category("")]
+
+    def read(self, partition: _Category) -> Iterator[tuple]:
+        for page in range(self.most if partition.name else 0):
+            file = os.path.join(self.path, partition.name, f"{page}.json")
+            if not os.path.exists(file):
+                return
+            with open(file, encoding="utf-8") as f:
+                rows = json.load(f)
+            if not rows:
+                return
+            for pos, row in enumerate(rows):
+                yield partition.name, page, pos, json.dumps(row)
+
+
+class PagedSource(DataSource):
+    @classmethod
+    def name(cls) -> str:
+        return "landed_pages"
+
+    def schema(self) -> str:
+        return "category string, page int, pos int, row string"
+
+    def reader(self, schema) -> DataSourceReader:  # noqa: ANN001
+        return _Reader(self.options)
+
+
+def register(spark: SparkSession) -> None:
+    """Makes the source known to the session and lets filters reach it."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    spark.dataSource.register(PagedSource)
