@@ -157,6 +157,19 @@ class Items:
         return np.unique(np.concatenate(found, axis=1), axis=1).T if found else np.empty((0, 4), np.int64)
 
 
+def _stretches(found: np.ndarray, items: Items) -> list[list[int]]:
+    """Candidate windows (item, start, lo, hi) of an item that overlap, as one stretch: item,
+    first and last start, lo, hi. An item's best place is looked for once in a stretch."""
+    if not len(found):
+        return []
+    found = found[np.lexsort((found[:, 1], found[:, 2], found[:, 0]))]
+    item, start, lo = found[:, 0], found[:, 1], found[:, 2]
+    apart = (item[1:] != item[:-1]) | (lo[1:] != lo[:-1]) | (start[1:] - start[:-1] > items.sizes[item[1:]] + 2 * items.limits[item[1:]])
+    first = np.flatnonzero(np.concatenate(([True], apart)))
+    last = np.append(first[1:], len(found)) - 1
+    return np.stack((item[first], start[first], start[last], lo[first], found[first, 3]), axis=1).tolist()
+
+
 def _find(shared, id_type=pa.int64()):  # noqa: ANN001, ANN202
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items: Items = shared.value
@@ -172,9 +185,9 @@ def _find(shared, id_type=pa.int64()):  # noqa: ANN001, ANN202
                 doc = np.searchsorted(np.array(bounds), middle, "right") - 1
                 ends = np.array(bounds)
                 best: dict[tuple[int, int], tuple[int, int, int]] = {}
-                for k, s, lo, hi in items.candidates(flat, item, start, ends[doc], ends[doc + 1]).tolist():
+                for k, first, last, lo, hi in _stretches(items.candidates(flat, item, start, ends[doc], ends[doc + 1]), items):
                     d = int(items.limits[k])
-                    a, b = max(lo, s - d), min(hi, s + int(items.sizes[k]) + d)
+                    a, b = max(lo, first - d), min(hi, last + int(items.sizes[k]) + d)
                     if b <= a:
                         continue
                     edits, x, y = best_place(items.words[k], flat[a:b])
