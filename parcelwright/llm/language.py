@@ -101,8 +101,13 @@ def best_path(scores: np.ndarray, switch: float = SWITCH) -> np.ndarray | int:
     best = int(scores.sum(axis=0).argmax())
     gain = np.cumsum(scores - scores[:, best : best + 1], axis=0, dtype=np.float64)
     low = np.minimum.accumulate(np.concatenate((np.zeros((1, gain.shape[1])), gain)), axis=0)[:-1]
-    if ((gain - low).max(axis=0) <= switch).all():
-        return best
+    most = (gain - low).max()
+    # No stretch of another language pays for a switch to it. A path that never uses the best
+    # language makes one switch less than it has stretches; it can't gain as much either.
+    if most <= switch:
+        others = np.delete(scores, best, axis=1)
+        if most <= switch / 2 or not others.size or (others.max(axis=1) - scores[:, best]).sum(dtype=np.float64) <= switch:
+            return best
     value, back = scores[0].astype(np.float64), np.zeros(scores.shape, np.int16)
     stay = np.arange(scores.shape[1])
     for t in range(1, len(scores)):
