@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import entity_queries, lead_queries, state_queries
+from . import entity_queries, lead_queries, state_queries, text_queries
 
-QUERIES: dict = lead_queries.QUERIES | entity_queries.QUERIES | state_queries.QUERIES
-ORACLES: dict = lead_queries.ORACLES | entity_queries.ORACLES | state_queries.ORACLES
+_PARTS = (lead_queries, entity_queries, state_queries, text_queries)
+QUERIES: dict = {k: v for m in _PARTS for k, v in m.QUERIES.items()}
+ORACLES: dict = {k: v for m in _PARTS for k, v in m.ORACLES.items()}
