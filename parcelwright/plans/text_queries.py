@@ -211,3 +211,37 @@ def deed_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
     cited = F.when(k % 3 == 0, t("SUIT ", s(k), "-1")).otherwise("NONE")
     deeds = deed(1, "SAMPLE SHERIFF", F.lit("x"), "2001-05-05").unionByName(deed(2, "DOE", cited, "2002-05-05")).unionByName(deed(3, "SAMPLE SHERIFF", cited, "1999-01-01"))
     return records.deed_of_suit(suits, deeds).select("case_number", "doc_num", "score")
+
+
+@query("""SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN 'CASEY DOE' WHEN 1 THEN 'Casey Doe and Alex Roe' WHEN 2 THEN 'CASEY DOE III' ELSE 'SAMPLE HOMES, L.L.C.' END AS name,
+  CASE c_custkey % 2 WHEN 0 THEN 'CASEY SUE DOE' ELSE 'Casey Doe' END AS primary_name, CASE c_custkey % 2 WHEN 0 THEN 'ALEX ROE' ELSE 'Robin Roe' END AS secondary_name,
+  c_custkey % 3 = 0 AS lender, c_custkey % 3 = 1 AS legal, c_custkey % 3 = 2 AS header FROM customer""")
+def notice_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..functions import notices as n
+
+    k = F.col("c_custkey")
+    name = (
+        F.when(k % 4 == 0, n.without_descriptors(F.lit("CASEY DOE, AN UNMARRIED MAN, as grantor"))).when(k % 4 == 1, n.without_descriptors(F.lit("Casey Doe, a married person joined pro forma by Alex Roe, her husband")))
+        .when(k % 4 == 2, n.clean_ocr_name(F.lit("CASEY  DOE II] and"))).otherwise(n.entity_core(F.lit("SAMPLE HOMES, L.L.C., a limited liability company")))
+    )
+    joint = F.when(k % 2 == 0, "CASEY SUE DOE AND WIFE, ALEX ROE").otherwise("Casey Doe and Robin Roe husband and wife")
+    odd = F.when(k % 3 == 0, "SAMPLE MORTGAGE").when(k % 3 == 1, "THE NORTH CORNER OF LOT 4").otherwise("PAGE 1 OF 2")
+    return table(spark, sf_dir, "customer").select("c_custkey", name.alias("name"), n.primary_name(joint).alias("primary_name"), n.secondary_name(joint).alias("secondary_name"), n.looks_like_lender(odd).alias("lender"), n.looks_like_legal(odd).alias("legal"), n.looks_like_page_header(odd).alias("header"))
+
+
+@query("""SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN '' WHEN 1 THEN 'zip_outside,absentee_owner,amount_mismatch' WHEN 2 THEN 'bad_zip_format,suspicious_short_address,bad_account,owner_mismatch,bad_work_date' ELSE 'incomplete_extraction' END AS flags,
+  CASE o_orderkey % 7 WHEN 0 THEN 'SKIP' WHEN 1 THEN 'SKIP' WHEN 2 THEN 'CREATE' WHEN 3 THEN 'fail' WHEN 4 THEN 'already' WHEN 5 THEN 'DELETE' ELSE 'ok' END AS action FROM orders""")
+def lien_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..functions import notices as n
+
+    k, j = F.col("o_orderkey") % 4, F.col("o_orderkey") % 7
+    pick = lambda *v: F.when(k == 0, F.lit(v[0])).when(k == 1, F.lit(v[1])).when(k == 2, F.lit(v[2])).otherwise(F.lit(v[3]))
+    flags = n.lien_flags(
+        mail_zip=pick("90001", "80001", "9000", ""), prop_address=pick("1 SAMPLE ST", "1 SAMPLE ST", "SAMPL", ""), mail_address=pick("1 Sample St", "9 OTHER ST", "", ""), account=pick("0001-0002-0003", "0001-0002-0003", "1-2", ""),
+        amount=pick(5.0, 6.0, 5.0, 5.0), filed_amount=F.lit(5.0), owner=pick("DOE ALEX", "DOE ALEX", "ROE", ""), filed_owner=F.lit("ALEX DOE"), work_date=pick("2001-01-01", "", "2099-01-01", ""), as_of="2001-08-01", zip_prefix="900",
+    )
+    action = n.lien_action(
+        document=F.when(j == 0, "REAL ESTATE LIEN NOTE").otherwise("AFFIDAVIT OF LIEN"), known=j >= 4, processed=j == 4, corporate=(j == 1) | (j == 5),
+        owner=F.when(j == 3, "").otherwise("DOE"), address=F.lit("1 SAMPLE ST"), account=F.lit(""),
+    )
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.array_join(flags, ",").alias("flags"), action.alias("action"))
