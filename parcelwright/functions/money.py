@@ -69,3 +69,18 @@ def case_key(value: C) -> Column:
 def document_number(name: C) -> Column:
     """Ten digits at the start of a file name."""
     return F.regexp_extract(text(name), r"(?:^|/)(\d{10})(?:\D|$)", 1)
+
+
+def account_on_page(labelled: C, pairs: C, page: C) -> Column:
+    """An account number NNNN-NNNN-NNNN: from its labelled value, else the first of the page's
+    label and value pairs (a map) that holds one, else the page's if it holds exactly one."""
+    shape = r"\b(\d{4}-\d{4}-\d{4})\b"
+    one = F.regexp_extract(text(labelled), shape, 1)
+    values = F.filter(F.transform(F.map_values(col(pairs)), lambda v: F.regexp_extract(text(v), shape, 1)), lambda v: v != "")
+    every = F.array_distinct(F.regexp_extract_all(text(page), F.lit(shape), F.lit(1)))
+    return F.coalesce(F.nullif(one, F.lit("")), F.get(values, F.lit(0)), F.when(F.size(every) == 1, F.get(every, F.lit(0))), F.lit(""))
+
+
+def newest_number(numbers: C) -> Column:
+    """The longest of the numbers, among equally long ones the greatest."""
+    return F.array_max(F.transform(col(numbers), lambda n: F.struct(F.length(n).alias("l"), n.alias("n"))))["n"]

@@ -67,3 +67,16 @@ def evict(records: DataFrame, when: Column, fields: Sequence[str]) -> DataFrame:
     names = set(fields)
     hit = F.coalesce(when, F.lit(False))
     return records.select(*[F.when(hit, F.lit("")).otherwise(F.col(c)).alias(c) if c in names else F.col(c) for c in records.columns])
+
+
+def fill_block(records: DataFrame, found: DataFrame, key: str, fields: Sequence[str], first: str) -> DataFrame:
+    """Fields that belong together (a mailing address) are filled as one where first is blank."""
+    add = found.where(~is_blank(F.col(first))).select(key, *[F.col(c).alias(f"__{c}") for c in fields])
+    out = records.join(add, key, "left")
+    take = is_blank(F.col(first)) & ~is_blank(F.col(f"__{first}"))
+    return out.select(*[F.when(take, F.col(f"__{c}")).otherwise(F.col(c)).alias(c) if c in fields else F.col(c) for c in records.columns])
+
+
+def expire(cache: DataFrame, evicted: DataFrame, key: str, version: int = 6) -> DataFrame:
+    """The cache without the look-ups of evicted keys; entries of other versions are left alone."""
+    return cache.join(evicted.select(key, F.lit(version).alias("version")).distinct(), [key, "version"], "left_anti").select(cache.columns)

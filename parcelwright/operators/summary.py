@@ -68,3 +68,31 @@ def envelope(df: DataFrame, **more: Column) -> DataFrame:
     """One row with counts and all records as JSON, nulls written out. For lists that one file holds."""
     record = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
     return df.agg(F.count("*").alias("total"), F.concat(F.lit("["), F.array_join(F.collect_list(record), ","), F.lit("]")).alias("records"), *[v.alias(k) for k, v in more.items()])
+
+
+def match_summary(leads: DataFrame) -> DataFrame:
+    """How many leads matched in full, by id only, had no owner, or were unclear (columns prop_id, address, owner, n)."""
+    filled = lambda c: F.coalesce(F.trim(F.col(c).cast("string")) != "", F.lit(False))
+    return leads.agg(
+        F.count_if(filled("prop_id") & filled("address")).alias("matched"),
+        F.count_if(filled("prop_id") & ~filled("address")).alias("id_only"),
+        F.count_if(~filled("owner")).alias("no_owner"),
+        F.count_if(~filled("prop_id") & (F.col("n") > 1)).alias("unclear"),
+    )
+
+
+def excess_store(months: DataFrame, states: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Cases with their balance by month (a map), and one row of totals.
+
+    months: case_id, period, balance; states: see state.monthly_state.
+    """
+    history = months.groupBy("case_id").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("period", "balance")))).alias("balance_history"))
+    cases = states.join(history, "case_id")
+    n = months.select("period").distinct().agg(F.count("*").alias("n"))
+    totals = cases.crossJoin(F.broadcast(n)).agg(  # n is one row
+        F.count_if(F.col("status") == "active").alias("active"),
+        F.count_if(F.col("status") == "claimed").alias("claimed"),
+        F.round(F.sum(F.when(F.col("status") == "active", F.col("balance").cast("decimal(18,2)"))), 2).cast("double").alias("active_total"),
+        F.count_if(F.col("n_months") == F.col("n")).alias("in_every_month"),
+    )
+    return cases, totals

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import addresses, codes, dates, legal, money
 from ..functions import owners as names
-from ..operators import merge, ranking, records
+from ..operators import merge, ranking, records, state, summary
 from ..sources import sinks
 from .views import table, view, with_views
 
@@ -245,3 +245,47 @@ def lien_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         owner=F.when(j == 3, "").otherwise("DOE"), address=F.lit("1 SAMPLE ST"), account=F.lit(""),
     )
     return table(spark, sf_dir, "orders").select("o_orderkey", F.array_join(flags, ",").alias("flags"), action.alias("action"))
+
+
+@query("""SELECT c_custkey, c_custkey || ' SAMPLE ST' AS street, CASE WHEN c_custkey % 2 = 0 THEN 'PORT SAMPLE' ELSE '' END AS city, CASE c_custkey % 4 WHEN 3 THEN '' ELSE '0001-0002-0003' END AS account,
+  CASE WHEN c_custkey % 2 = 0 THEN '10' ELSE '9' END AS newest FROM customer""")
+def page_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("c_custkey")
+    peeled = addresses.peel_city(t(s(k), " SAMPLE ST", F.when(k % 2 == 0, ", Port Sample").otherwise("")), ("SAMPLE", "PORT SAMPLE"))
+    a = "0001-0002-0003"
+    found = money.account_on_page(F.when(k % 4 == 0, a), F.create_map(F.lit("Geo"), F.when(k % 4 == 1, a).otherwise("x")), F.when(k % 4 == 2, f"see {a} and {a}").when(k % 4 == 3, f"{a} or 9999-0002-0003").otherwise(""))
+    newest = money.newest_number(F.array(F.lit("9"), F.lit("8"), F.when(k % 2 == 0, "10").otherwise("1")))
+    return table(spark, sf_dir, "customer").select("c_custkey", peeled["street"].alias("street"), peeled["city"].alias("city"), found.alias("account"), newest.alias("newest"))
+
+
+@query(with_views("d_owner") + """ SELECT owner_id, CASE WHEN owner_id % 2 = 0 AND owner_id % 3 <> 0 THEN 'found' WHEN owner_id % 2 = 0 THEN '' ELSE 'own' END AS mail_address,
+  CASE WHEN owner_id % 2 = 0 AND owner_id % 3 <> 0 THEN 'TX' ELSE '' END AS mail_state FROM d_owner""")
+def mail_block(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("owner_id")
+    rec = view(spark, sf_dir, "d_owner").select("owner_id", F.when(k % 2 == 0, "").otherwise("own").alias("mail_address"), F.lit("").alias("mail_state"))
+    found = rec.select("owner_id", F.when(k % 3 == 0, "").otherwise("found").alias("mail_address"), F.lit("TX").alias("mail_state"))
+    return merge.fill_block(rec, found, "owner_id", ["mail_address", "mail_state"], "mail_address")
+
+
+@query(with_views("d_owner") + " SELECT owner_id, CAST(owner_id % 2 + 5 AS INT) AS version FROM d_owner WHERE NOT (owner_id % 2 = 1 AND owner_id % 5 = 0)")
+def cache_expiry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("owner_id")
+    cache = view(spark, sf_dir, "d_owner").select("owner_id", (k % 2 + 5).cast("int").alias("version"))
+    return merge.expire(cache, cache.where(k % 5 == 0), "owner_id")
+
+
+@query(with_views("d_parcel") + """ SELECT CAST(count(*) FILTER (state_class <> '' AND prop_zip <> '') AS BIGINT) AS matched, CAST(count(*) FILTER (state_class <> '' AND prop_zip = '') AS BIGINT) AS id_only,
+  CAST(count(*) FILTER (owner_id % 9 = 0) AS BIGINT) AS no_owner, CAST(count(*) FILTER (state_class = '' AND owner_id % 3 > 1) AS BIGINT) AS unclear FROM d_parcel""")
+def match_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("owner_id")
+    p = view(spark, sf_dir, "d_parcel").select(F.col("state_class").alias("prop_id"), F.col("prop_zip").alias("address"), F.when(k % 9 == 0, "").otherwise("DOE").alias("owner"), (k % 3).alias("n"))
+    return summary.match_summary(p)
+
+
+@query(with_views("d_case_month") + """, m AS (SELECT case_id, period, CAST(sum(DISTINCT CAST(balance AS DECIMAL(18,2))) AS DOUBLE) AS balance FROM d_case_month GROUP BY 1, 2),
+c AS (SELECT case_id, max(period) AS last, count(*) AS n, arg_max(balance, period) AS balance FROM m GROUP BY 1), e AS (SELECT max(period) AS last, count(DISTINCT period) AS n FROM m)
+SELECT CAST(count(*) FILTER (c.last = e.last) AS BIGINT) AS active, CAST(count(*) FILTER (c.last < e.last) AS BIGINT) AS claimed, CAST(sum(CAST(balance AS DECIMAL(18,2))) FILTER (c.last = e.last) AS DOUBLE) AS active_total,
+  CAST(count(*) FILTER (c.n = e.n) AS BIGINT) AS in_every_month FROM c CROSS JOIN e""")
+def excess_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    months = state.case_months(view(spark, sf_dir, "d_case_month"))
+    return summary.excess_store(months, state.monthly_state(months))[1]
