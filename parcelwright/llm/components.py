@@ -18,18 +18,22 @@ def components(links: DataFrame, *, rounds: int = 40) -> DataFrame:
     """Links (a, b) to (id, component): the least id that can be reached, for every id
     that is not the least of its component. Loops and nulls are left out."""
     edges = links.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    edges, before = written(edges, "links"), None
+    edges = written(edges, "links")
     for _ in range(rounds):
-        state = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first()
-        if state == before or not state[0]:
+        if _stars(edges):
             break
-        before = state
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = written(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "links")
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
     return edges.select(F.col("u").alias("id"), F.col("v").alias("component"))
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node has one edge to a lesser one, or some from larger ones, but not both."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("down"), F.lit(0).alias("up")).unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("down"), F.lit(1).alias("up")))
+    return ends.groupBy("node").agg(F.sum("down").alias("down"), F.max("up").alias("up")).where("down > 1 or down + up > 1").isEmpty()
