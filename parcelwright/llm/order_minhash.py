@@ -7,9 +7,9 @@ are candidates; banded alignment of their k-mer sequences decides.
 
 Nothing here emits all pairs of a group. Documents of equal words are one class from the
 start. Each class is first compared with the least member of each of its buckets, which
-joins a group of n near copies with n comparisons. Only members that differ from their
-bucket's least member are compared with the rest of the bucket, in chunks of bounded
-size, so that no link is lost.
+joins a group of n near copies with n comparisons. Only members that this leaves apart
+from their bucket's least member are compared with the rest of the bucket, in chunks of
+bounded size, so that no link is lost.
 """
 
 from __future__ import annotations
@@ -163,34 +163,41 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     pairs = stars.join(texts.select(F.col("id").alias("rep"), F.col("grams").alias("x")), "rep").join(texts.select(F.col("id").alias("least"), F.col("grams").alias("y")), "least")
     stars = written(pairs.select("least", "rep", "x", "y").mapInArrow(compare, "least long, rep long, same boolean"), "stars")
     links = member.unionByName(stars.where("same").select(F.col("least").alias("a"), F.col("rep").alias("b")))
-    links = links.unionByName(_rest(inside, stars, classes, texts, threshold))
-    found = components(links)
+    found = written(components(links), "linked")
+    more = written(_rest(inside, found, classes, texts, threshold), "more")
+    if not more.isEmpty():
+        found = components(more.unionByName(found.select(F.col("component").alias("a"), F.col("id").alias("b"))))
     out = docs.select("id").join(found, "id", "left")
     class_id = F.coalesce("component", "id")
     return out.select(F.col("id").alias(id_col), class_id.alias("class_id"), F.coalesce(class_id == F.col("id"), F.lit(True)).alias("kept"))
 
 
-def _rest(inside: DataFrame, stars: DataFrame, classes: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """Links (a, b) between members of a bucket of which one differs from the least member.
+def _rest(inside: DataFrame, found: DataFrame, classes: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) between members of a bucket that the links so far (found) leave apart.
 
-    Members that differ meet all others of their bucket, chunk by chunk; a chunk has about
-    CHUNK members. What comes out is a star for each set that is linked in a pair of chunks.
+    Members apart from their bucket's least member meet all others of the bucket, chunk by
+    chunk; a chunk has about CHUNK members. What comes out is a star for each set that is
+    newly linked in a pair of chunks.
     """
-    odd = inside.join(stars.where("not same").select("least", "rep"), ["least", "rep"]).select("nth", "key", "rep")
-    size = odd.groupBy("nth", "key").agg(F.count("*").alias("n_odd"))
-    every = inside.where("rep <> least").join(size, ["nth", "key"])
+    key = ["nth", "key"]
+    each = inside.join(found.withColumnRenamed("id", "rep"), "rep", "left").select(*key, "least", "rep", F.coalesce("component", "rep").alias("of"))
+    head = each.where("rep = least").select(*key, F.col("of").alias("of_least"))
+    each = each.where("rep <> least").join(head, key).withColumn("odd", F.col("of") != F.col("of_least"))
+    size = each.groupBy(*key).agg(F.count("*").alias("n"), F.count_if("odd").alias("n_odd")).where("n > 1 and n_odd > 0")
     chunk = lambda n: F.ceil(F.col(n) / CHUNK).cast("int")
-    every = every.join(odd.withColumn("odd", F.lit(True)), ["nth", "key", "rep"], "left").select(
-        "nth", "key", "rep", F.coalesce("odd", F.lit(False)).alias("odd"), chunk("n_odd").alias("m_odd"), chunk("n").alias("m"), F.pmod(F.xxhash64("rep"), chunk("n")).cast("int").alias("mine"), F.pmod(F.xxhash64("rep"), chunk("n_odd")).cast("int").alias("mine_odd")
-    )
-    as_any = every.select("nth", "key", "rep", F.lit(False).alias("odd"), F.explode(F.sequence(F.lit(0), F.col("m_odd") - 1)).alias("i"), F.col("mine").alias("j"))
-    as_odd = every.where("odd").select("nth", "key", "rep", "odd", F.col("mine_odd").alias("i"), F.explode(F.sequence(F.lit(0), F.col("m") - 1)).alias("j"))
-    dealt = as_any.unionByName(as_odd).join(classes.select("rep", "keys"), "rep").join(texts.withColumnRenamed("id", "rep"), "rep")
-
-    def compare(group: pa.Table) -> pa.Table:
+    every = each.join(size, key).select(
+        *key, "rep", "of", "odd", chunk("n_odd").alias("m_odd"), chunk("n").alias("m"), F.pmod(F.xxhash64("rep"), chunk("n")).cast("int").alias("mine"), F.pmod(F.xxhash64("rep"), chunk("n_odd")).cast("int").alias("mine_odd")
+    )
+    as_any = every.select(*key, "rep", "of", F.lit(False).alias("odd"), F.explode(F.sequence(F.lit(0), F.col("m_odd") - 1)).alias("i"), F.col("mine").alias("j"))
+    as_odd = every.where("odd").select(*key, "rep", "of", "odd", F.col("mine_odd").alias("i"), F.explode(F.sequence(F.lit(0), F.col("m") - 1)).alias("j"))
+    held = texts.join(classes.select(F.col("rep").alias("id"), "keys"), "id").withColumnRenamed("id", "rep")
+    dealt = as_any.unionByName(as_odd).join(held, "rep")
+
+    def compare(key: tuple, group: pa.Table) -> pa.Table:
+        nth = key[0].as_py()
         rows = group.to_pylist()
         left, right = [r for r in rows if r["odd"]], [r for r in rows if not r["odd"]]
-        root: dict[int, int] = {r["rep"]: r["rep"] for r in rows}
+        root: dict[int, int] = {r["of"]: r["of"] for r in rows}
 
         def find(x: int) -> int:
             while root[x] != x:
@@ -198,15 +205,17 @@ def _rest(inside: DataFrame, stars: DataFrame, classes: DataFrame, texts: DataFr
             return x
 
         if left and right:
-            keys, sizes = np.array([r["keys"] for r in right]), np.array([len(r["grams"]) for r in right])
+            keys, sizes, of = np.array([r["keys"] for r in right]), np.array([len(r["grams"]) for r in right]), np.array([r["of"] for r in right])
             grams: dict[int, np.ndarray] = {}
             read = lambda r: grams[r["rep"]] if r["rep"] in grams else grams.setdefault(r["rep"], _read(r["grams"]))
             for r in left:
-                alike = ((keys == np.array(r["keys"])).sum(axis=1) >= AGREE) & (np.minimum(sizes, len(r["grams"])) >= (2 * threshold - 1) * np.maximum(sizes, len(r["grams"])))
+                same = keys == np.array(r["keys"])
+                # A pair is compared in the first bucket that it shares.
+                alike = (of != r["of"]) & (same.argmax(axis=1) == nth) & (same.sum(axis=1) >= AGREE) & (np.minimum(sizes, len(r["grams"])) >= (2 * threshold - 1) * np.maximum(sizes, len(r["grams"])))
                 for k in np.flatnonzero(alike):
                     o = right[k]
-                    if find(o["rep"]) != find(r["rep"]) and similar(read(r), read(o), threshold):
-                        a, b = sorted((find(o["rep"]), find(r["rep"])))
+                    if find(o["of"]) != find(r["of"]) and similar(read(r), read(o), threshold):
+                        a, b = sorted((find(o["of"]), find(r["of"])))
                         root[b] = a
         found = [(find(x), x) for x in root if find(x) != x]
         return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
