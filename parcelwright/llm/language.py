@@ -22,7 +22,6 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import held_out, written
@@ -151,12 +150,15 @@ def _counted(languages: list[str]):  # noqa: ANN202
 def learn(docs: DataFrame, max_rows: int = MAX_ROWS) -> Model | None:
     """A model from docs (id, text, lang), of which at most max_rows are used."""
     known = docs.where(F.col("lang").isNotNull() & ~held_out(F.col("id"))).select("id", "lang")
-    languages = sorted(r.lang for r in known.select("lang").distinct().collect())
+    counts = {r.lang: r.n for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row a language
+    languages = sorted(counts)
     if not languages:
         return None
     each = max(1, max_rows // len(languages))
-    order = W.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    ids = known.withColumn("n", F.row_number().over(order)).where(F.col("n") <= each).select("id").distinct()
+    share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, each / n))])
+    # The hash decides row by row, so that a language with most of the rows is not gathered anywhere.
+    lucky = F.pmod(F.xxhash64("id"), F.lit(1_000_003)) < F.try_element_at(share, F.col("lang")) * 1_000_003
+    ids = known.where(lucky).select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(max_rows)
     # ids has max_rows rows at most, so it may be broadcast whatever the corpus.
     sample = docs.where("lang is not null").join(F.broadcast(written(ids, "sample")), "id", "left_semi").select("text", "lang").repartition(8)
     totals = np.zeros((len(languages), ORDERS, SIZE))
