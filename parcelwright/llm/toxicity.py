@@ -19,7 +19,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from itertools import combinations, count
 
@@ -82,14 +82,31 @@ def _stretched(word: str, rng: np.random.Generator) -> str:
     return word[:at] + (word[at - 1] if rng.random() < 0.3 else chr(97 + int(rng.integers(26)))) + word[at:]
 
 
+#: Words that are taken apart at once.
+SLICE = 20_000
+
+
 def word_scores(words: list[str], table: np.ndarray) -> np.ndarray:
     total = np.zeros(len(words))
-    for word, number, weight in _subsequences(words):
-        if len(word):
-            total += np.bincount(word, table[number], len(words)) * weight
+    for a in range(0, len(words), SLICE):
+        part = total[a : a + SLICE]
+        for word, number, weight in _subsequences(words[a : a + SLICE]):
+            if len(word):
+                part += np.bincount(word, table[number], len(part)) * weight
     return total
 
 
+def _runs(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of four classes without gaps, word by word, and where each word's begin."""
+    numbers, counts = [np.empty(0, np.int32)], [np.zeros(1, np.int64)]
+    for a in range(0, len(words), SLICE):
+        part = words[a : a + SLICE]
+        word, number, _ = next(_subsequences(part))  # the first shape has no gaps
+        numbers.append(number.astype(np.int32))
+        counts.append(np.bincount(word, minlength=len(part)))
+    return np.concatenate(numbers), np.cumsum(np.concatenate(counts))
+
+
 def _features(words: list[str], columns: np.ndarray, width: int) -> np.ndarray:
     """Weights of the subsequences that have a column, a row for each word."""
     out = np.zeros((len(words), width), np.float32)
@@ -129,8 +146,12 @@ def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-4,
     for _ in range(steps):
         margin = 1 - y * (x @ w)
         on = margin > 0
-        grad = ridge * w - (x[on] * (weight[on] * y[on] * margin[on])[:, None]).sum(axis=0) / weight.sum()
-        hess = (x[on] * weight[on][:, None]).T @ x[on] / weight.sum() + ridge * np.eye(x.shape[1])
+        grad, hess = ridge * w, ridge * np.eye(x.shape[1])
+        for a in range(0, len(x), 2000):
+            part = slice(a, a + 2000)
+            rows, each = x[part][on[part]], (weight[part] / weight.sum())[on[part]]
+            grad = grad - rows.T @ (each * (y * margin)[part][on[part]])
+            hess = hess + (rows * each[:, None]).T @ rows
         step = np.linalg.solve(hess, grad)
         w -= step
         if np.abs(step).max() < 1e-6:
@@ -149,11 +170,16 @@ def _platt(raw: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(max(w[0], 1e-3)), float(w[1])
 
 
-def train(sentences: list[list[list[str]]], labels: np.ndarray) -> Model:
-    """A model from documents, each a list of sentences, each a list of words."""
-    none = Model(np.zeros(TABLE, np.float32), 0.0, 1.0, float(np.log((labels.sum() + 0.5) / ((1 - labels).sum() + 0.5))))
+def train(examples: Iterable[tuple[list[list[str]], int]]) -> Model:
+    """A model from documents and their labels; a document is a list of sentences, each a list
+    of words. Documents are read one by one; what is held of each are the numbers of its words."""
     index: defaultdict = defaultdict(count().__next__)
-    docs = [np.unique(np.array([index[w] for s in d for w in s], np.int64)) for d in sentences]
+    docs, marked = [], []
+    for sentences, label in examples:
+        docs.append(np.unique(np.array([index[w] for s in sentences for w in s], np.int32)))
+        marked.append(label)
+    labels = np.array(marked, np.int64)
+    none = Model(np.zeros(TABLE, np.float32), 0.0, 1.0, float(np.log((labels.sum() + 0.5) / ((1 - labels).sum() + 0.5))))
     words = list(index)
     if not words or labels.min() == labels.max():
         return none
@@ -161,11 +187,8 @@ def train(sentences: list[list[list[str]]], labels: np.ndarray) -> Model:
     toxic, clean = np.flatnonzero(labels == 1), np.flatnonzero(labels == 0)
 
     # First guess: words whose runs of four classes stand in more toxic documents than clean ones.
-    word, number = next((w, n) for w, n, weight in _subsequences(words) if weight == 1)
-    order = np.argsort(word, kind="stable")
-    word, number = word[order], number[order]
-    bounds = np.searchsorted(word, np.arange(len(words) + 1))
-    seen = np.zeros((2, TABLE))
+    number, bounds = _runs(words)
+    seen = np.zeros((2, TABLE), np.float32)
     for d, y in zip(docs, labels.tolist()):
         runs = [number[bounds[k] : bounds[k + 1]] for k in d.tolist()]
         if runs:
@@ -173,7 +196,8 @@ def train(sentences: list[list[list[str]]], labels: np.ndarray) -> Model:
     odds = np.log((seen[1] + 0.5) / (len(toxic) + 1)) - np.log((seen[0] + 0.5) / (len(clean) + 1))
     odds[seen[1] < 4] = -9
     score = np.full(len(words), -9.0)
-    np.maximum.at(score, word, odds[number])
+    np.maximum.at(score, np.repeat(np.arange(len(words)), np.diff(bounds)), odds[number])
+    del number, bounds, seen, odds
     sure = np.log(3)
 
     background = np.unique(np.concatenate([docs[k] for k in clean]))
@@ -195,7 +219,7 @@ def train(sentences: list[list[list[str]]], labels: np.ndarray) -> Model:
         columns[numbers] = np.arange(len(numbers))
         z = _features(marks, columns, len(numbers))
         z /= np.maximum(1e-9, np.linalg.norm(z, axis=1, keepdims=True))
-        values, vectors = np.linalg.eigh(z.astype(np.float64) @ z.T)
+        values, vectors = np.linalg.eigh((z @ z.T).astype(np.float64))
         keep = values > 1e-6 * values.max()
         root = vectors[:, keep] / np.sqrt(values[keep])  # from kernel values to Nystroem features
         spread = [_stretched(words[k], rng) for k in top.tolist() for _ in range(STRETCHED)]
@@ -273,10 +297,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id"
     # The chosen ids are max_rows at most, so they may be broadcast whatever the corpus.
     chosen = written(half[0].unionByName(half[1]), "toxic_sample")
     sample = rows.join(F.broadcast(chosen), "id").dropDuplicates(["id"]).select("text", "y").toLocalIterator()
-    texts, y = [], []
-    for r in sample:
-        texts.append([s.split() for s in SENTENCE.split((r.text or "").lower())])
-        y.append(r.y)
-    model = train(texts, np.array(y, np.int64)) if y else Model(np.zeros(TABLE, np.float32), 0.0, 1.0, -1.0)
+    split = lambda t: [s.split() for s in SENTENCE.split((t or "").lower())]
+    model = train((split(r.text), r.y) for r in sample)
     score = rows.mapInArrow(_scored(spark.sparkContext.broadcast(model)), "id long, score double")
     return score.select(F.col("id").alias(id_col), held_out(F.col("id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

@@ -117,7 +117,7 @@ def test_insults_in_disguise():
             words[rng.randrange(20)] = rng.choice(insults)
         docs.append([words])
         labels.append(int(i % 3 == 0))
-    model = toxicity.train(docs, np.array(labels))
+    model = toxicity.train(zip(docs, labels))
     score = lambda w: model.probability(toxicity.word_scores([w], model.table))[0]
     assert all(score(w) > 0.5 for w in insults + ["grum-blek", "z.a.k.v.o.r.n", "plockxwit"])
     assert max(map(score, plain)) < 0.5
