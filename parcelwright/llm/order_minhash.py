@@ -29,10 +29,8 @@ WORDS = 5  # words in a k-mer
 #: Sketches of a document, and k-mers in a sketch. At the threshold (see `similar`) about
 #: 0.3 of the sketches of two documents agree, so one of 20 does in 999 cases of 1,000.
 SKETCHES, KEPT = 20, 3
-#: Two of a bucket's later members are compared if so many of their sketches agree: at the
-#: threshold that holds in 99 cases of 100, above it nearly always.
-AGREE = 2
 CHUNK = 256
+BINS = 256  # of the k-mer counts by which pairs are ruled out
 
 
 def word_values(words: list[bytes]) -> np.ndarray:
@@ -86,6 +84,19 @@ def sketch(grams: np.ndarray, xor: np.ndarray, times: np.ndarray, kept: int = KE
     return key
 
 
+def counts(grams: np.ndarray) -> np.ndarray:
+    """How many k-mers fall into each bin."""
+    return np.bincount((grams % np.uint64(BINS)).astype(np.int64), minlength=BINS).astype(np.int32)
+
+
+def possible(one: np.ndarray, others: np.ndarray, threshold: float) -> np.ndarray:
+    """Which rows of others may be similar to one, all given as `counts`. An edit takes one
+    k-mer away at most and adds one at most, so no similar pair is ruled out."""
+    apart = others - one
+    limit = ((1 - threshold) * np.maximum(others.sum(axis=1), one.sum()) + 1e-9).astype(np.int64)
+    return np.maximum(np.maximum(apart, 0).sum(axis=1), np.maximum(-apart, 0).sum(axis=1)) <= limit
+
+
 def similar(a: np.ndarray, b: np.ndarray, threshold: float) -> bool:
     """Whether 1 - (edit distance of the k-mer sequences) / (longer length) reaches the threshold.
 
@@ -205,14 +216,14 @@ def _rest(inside: DataFrame, found: DataFrame, classes: DataFrame, texts: DataFr
             return x
 
         if left and right:
-            keys, sizes, of = np.array([r["keys"] for r in right]), np.array([len(r["grams"]) for r in right]), np.array([r["of"] for r in right])
+            keys, of = np.array([r["keys"] for r in right]), np.array([r["of"] for r in right])
             grams: dict[int, np.ndarray] = {}
             read = lambda r: grams[r["rep"]] if r["rep"] in grams else grams.setdefault(r["rep"], _read(r["grams"]))
+            bins = np.array([counts(read(r)) for r in right])
             for r in left:
-                same = keys == np.array(r["keys"])
                 # A pair is compared in the first bucket that it shares.
-                alike = (of != r["of"]) & (same.argmax(axis=1) == nth) & (same.sum(axis=1) >= AGREE) & (np.minimum(sizes, len(r["grams"])) >= (2 * threshold - 1) * np.maximum(sizes, len(r["grams"])))
-                for k in np.flatnonzero(alike):
+                alike = np.flatnonzero((of != r["of"]) & ((keys == np.array(r["keys"])).argmax(axis=1) == nth))
+                for k in alike[possible(counts(read(r)), bins[alike], threshold)]:
                     o = right[k]
                     if find(o["of"]) != find(r["of"]) and similar(read(r), read(o), threshold):
                         a, b = sorted((find(o["of"]), find(r["of"])))

@@ -102,6 +102,32 @@ def test_second_phase_finds_links_between_later_members(spark):
     assert got == roots(range(len(texts)), [(a, b) for a in range(len(texts)) for b in range(a) if order_minhash.similar(grams[a], grams[b], 0.8)])
 
 
+def test_second_phase_compares_pairs_with_one_sketch_in_common(spark):
+    """In each triple the later two are similar and share one sketch, with a less similar document before them."""
+    rng = random.Random(11)
+    seeds = order_minhash._seeds(order_minhash.SKETCHES)
+    grams = lambda t: order_minhash.kmers(order_minhash.word_values(plain_words(t)))
+    texts = []
+    while len(texts) < 30:
+        core = words(rng, 8)
+        triple = [" ".join(core + words(rng, n)) for n in (2, 1, 1)]
+        x, a, b = (order_minhash.sketch(grams(t), *seeds) for t in triple)
+        if (a == b).sum() == 1 and ((a == b) & (a == x)).any():
+            texts += triple
+    got = {r.doc_id: r.class_id for r in order_minhash.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got == {i: i - (i % 3 == 2) for i in range(30)}
+
+
+def test_counts_rule_out_no_similar_pair():
+    rng = np.random.default_rng(6)
+    for _ in range(200):
+        a = rng.integers(0, 1 << 62, rng.integers(1, 400)).astype(np.uint64)
+        b = np.delete(a, rng.integers(0, len(a), int(rng.integers(0, len(a) // 5 + 1))))
+        b[rng.integers(0, max(1, len(b)), int(0.1 * len(b)))] = np.uint64(7)
+        if len(b) and order_minhash.similar(a, b, 0.8):
+            assert order_minhash.possible(order_minhash.counts(a), order_minhash.counts(b)[None], 0.8).all()
+
+
 def test_near_duplicates_of_nothing(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert order_minhash.near_duplicates(empty).count() == 0
