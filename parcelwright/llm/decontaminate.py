@@ -2,8 +2,11 @@
 
 For each item the windows of a document are of the item's own size. Windows and items
 are embedded by CGK random walks, which turn few edits into few differing places, and
-bit samples of the embedding are LSH keys; the number of repetitions follows from the
-target recall. Equal keys make a candidate, the exact edit distance decides.
+bit samples of the embedding are LSH keys. Equal keys make a candidate, the exact edit
+distance decides. The walks of a window and its item part at every edit and agree less
+the longer they are, so the number of repetitions follows from the target recall and from
+agreement measured at the item's length and edit limit. Items that would take more than
+MOST_REPS are not embedded: the exact edit distance decides on all their windows.
 
 Which windows are embedded at all follows from a lossless count: a window within d edits
 of an item of n words shares at least n - 2 - 3d of its runs of three words, at about the
@@ -15,6 +18,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,18 +31,17 @@ from .common import plain_words
 #: Words of benchmark items in a slice; a slice is broadcast and takes about 100 bytes a word.
 SLICE_WORDS = 400_000
 SAMPLED = 3  # symbols of an embedding in a key
-#: Share of embedding places in which a window at the edit limit agrees with its item;
-#: the number of repetitions follows from it.
-AGREE = 0.6
 RECALL = 0.995
+MOST_REPS = 48
+#: Lengths for which agreement is measured; an item is taken for the next one, and a longer
+#: item than the last is not embedded.
+LENGTHS = (5, 10, 15, 20, 25, 30, 40, 50, 60, 80, 100)
+#: Windows at the edit limit that are made of each kind of edits, and repetitions measured.
+SAMPLES, MEASURED = 100, 128
 LEAST_WORDS = 3
 OUT = "id long, item_id long, start_word int, end_word int, edits int"
 
 
-def repetitions(recall: float = RECALL, agree: float = AGREE, sampled: int = SAMPLED) -> int:
-    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - agree**sampled)))
-
-
 def limit_of(n: int, threshold: float) -> int:
     """The edits allowed for an item of n words; items of under six words must match exactly."""
     return 0 if n < 6 else int((1 - threshold) * n + 1e-9)
@@ -77,6 +80,48 @@ def cgk_keys(windows: np.ndarray, sizes: np.ndarray, reps: int, sampled: int = S
     return keys
 
 
+def _at_limit(n: int, d: int) -> np.ndarray:
+    """An item of n different words and, for each kind of edits, SAMPLES windows d edits away:
+    words replaced at even distances, anywhere, left out, put in."""
+    rng = np.random.default_rng(n)
+    item, rows = np.arange(n), [np.arange(n)]
+    for kind in range(4):
+        for _ in range(SAMPLES):
+            at, new = rng.choice(n, d, replace=False), n + rng.permutation(n)[:d]
+            if kind == 0:
+                at = (np.arange(d) * n // d + rng.integers(n)) % n
+            if kind < 2:
+                row = item.copy()
+                row[at] = new
+            elif kind == 2:
+                row = np.concatenate((np.delete(item, at), new))
+            else:
+                row = np.insert(item, at, new)[:n]
+            rows.append(row)
+    return np.stack(rows)
+
+
+@lru_cache(None)
+def _measured(n: int, d: int) -> np.ndarray:
+    """Share of repetitions in which a window's key is the item's; a row for each kind of edits."""
+    rows = _at_limit(n, d)
+    keys = cgk_keys(rows, np.full(len(rows), n), MEASURED)
+    return (keys[1:] == keys[0]).mean(axis=1).reshape(4, SAMPLES)
+
+
+def repetitions(n: int, threshold: float, recall: float = RECALL) -> int:
+    """How many repetitions find a window at the edit limit of an item of n words with the
+    given probability, whichever kind of edits it has; 0 if MOST_REPS don't."""
+    if limit_of(n, threshold) == 0:
+        return 1
+    longer = [m for m in LENGTHS if m >= n]
+    if not longer:
+        return 0
+    m = longer[0]
+    apart = 1 - _measured(m, min(m, math.ceil((1 - threshold) * m - 1e-9)))
+    return next((r for r in range(1, MOST_REPS + 1) if (1 - (apart**r).mean(axis=1)).min() >= recall), 0)
+
+
 class Items:
     """A slice of the benchmark: word codes, runs of three words, LSH keys."""
 
@@ -87,7 +132,8 @@ class Items:
         self.sizes = np.array([len(w) for w in self.words], np.int64)
         self.limits = np.array([limit_of(n, threshold) for n in self.sizes.tolist()], np.int64)
         self.needed = np.maximum(1, self.sizes - 2 - 3 * self.limits)
-        self.reps = repetitions(recall)
+        reps = {n: repetitions(n, threshold, recall) for n in set(self.sizes.tolist())}
+        self.reps = np.array([reps[n] for n in self.sizes.tolist()], np.int64)
         self.base = len(self.code) + 1
         grams = [self.grams(w)[0] for w in self.words]
         flat = np.concatenate(grams) if grams else np.empty(0, np.int64)
@@ -96,15 +142,17 @@ class Items:
         order = np.argsort(flat, kind="stable")
         self.gram_keys, first, self.gram_n = np.unique(flat[order], return_index=True, return_counts=True)
         self.gram_first, self.gram_item, self.gram_offset = first, item[order], offset[order]
-        width = int(self.sizes.max(initial=1))
-        table = np.full((len(items), width), -2, np.int64)
-        for k, w in enumerate(self.words):
-            table[k, : len(w)] = w
-        keys = cgk_keys(table, self.sizes, self.reps) if len(items) else np.empty((0, self.reps), np.uint64)
-        flat = keys.T.reshape(-1)
-        self.key_order = np.argsort(flat, kind="stable")
-        self.keys = flat[self.key_order]
-        self.width = width
+        keys, owner = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+        for r in sorted(set(self.reps.tolist()) - {0}):
+            rows = np.flatnonzero(self.reps == r)
+            table = np.full((len(rows), int(self.sizes[rows].max())), -2, np.int64)
+            for k, w in enumerate(rows.tolist()):
+                table[k, : self.sizes[w]] = self.words[w]
+            keys.append(cgk_keys(table, self.sizes[rows], r).reshape(-1))
+            owner.append(np.repeat(rows, r))
+        flat = np.concatenate(keys)
+        order = np.argsort(flat, kind="stable")
+        self.keys, self.key_item = flat[order], np.concatenate(owner)[order]
 
     def grams(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Runs of three known words, and where they start."""
@@ -138,23 +186,27 @@ class Items:
         return pairs[0], pairs[1]
 
     def candidates(self, codes: np.ndarray, item: np.ndarray, start: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-        """Rows (item, start) such that an LSH key of the window is one of the item's."""
-        found = []
-        for a in range(0, len(item), 2048):
-            it, st = item[a : a + 2048], start[a : a + 2048]
-            sizes = self.sizes[it]
-            places = st[:, None] + np.arange(self.width)[None]
-            inside = (places >= lo[a : a + 2048, None]) & (places < hi[a : a + 2048, None])
-            windows = np.where(inside, codes[np.clip(places, 0, len(codes) - 1)], -1)
-            keys = cgk_keys(windows, sizes, self.reps)
-            left, right = np.searchsorted(self.keys, keys.reshape(-1)), np.searchsorted(self.keys, keys.reshape(-1), "right")
-            n = right - left
-            if n.sum():
-                row = np.repeat(np.repeat(np.arange(len(it)), self.reps), n)
-                flat = np.repeat(left - (np.cumsum(n) - n), n) + np.arange(n.sum())
-                other = self.key_order[flat] % len(self.ids)
-                found.append(np.stack((other, st[row], lo[a + row], hi[a + row])))
-        return np.unique(np.concatenate(found, axis=1), axis=1).T if found else np.empty((0, 4), np.int64)
+        """Rows (item, start, lo, hi) such that an LSH key of the window is one of the item's,
+        and all rows of items that are not embedded."""
+        reps = self.reps[item]
+        found = [np.stack((item, start, lo, hi))[:, reps == 0]]
+        for r in sorted(set(reps.tolist()) - {0}):
+            these = np.flatnonzero(reps == r)
+            these = these[np.argsort(self.sizes[item[these]], kind="stable")]
+            for a in range(0, len(these), 2048):
+                part = these[a : a + 2048]
+                sizes = self.sizes[item[part]]
+                places = start[part, None] + np.arange(int(sizes.max()))[None]
+                inside = (places >= lo[part, None]) & (places < hi[part, None])
+                windows = np.where(inside, codes[np.clip(places, 0, len(codes) - 1)], -1)
+                keys = cgk_keys(windows, sizes, r).reshape(-1)
+                left, right = np.searchsorted(self.keys, keys), np.searchsorted(self.keys, keys, "right")
+                n = right - left
+                if n.sum():
+                    row = part[np.repeat(np.repeat(np.arange(len(part)), r), n)]
+                    flat = np.repeat(left - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                    found.append(np.stack((self.key_item[flat], start[row], lo[row], hi[row])))
+        return np.unique(np.concatenate(found, axis=1), axis=1).T
 
 
 def _stretches(found: np.ndarray, items: Items) -> list[list[int]]:

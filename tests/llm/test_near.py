@@ -167,6 +167,23 @@ def test_decontamination(spark):
     assert decontaminate.contaminated(df.limit(0), bench).count() == 0
 
 
+@pytest.mark.parametrize("length", [20, 50, 100, 200, 400])
+def test_items_of_any_length_are_found_at_the_limit(spark, length):
+    """Every fifth word is another, left out or put in, in turn."""
+    rng = random.Random(length)
+    items, docs = [], []
+    for i in range(60):
+        w = words(rng, length, "abcdefghijklmnop")
+        items.append((i, " ".join(w)))
+        new = lambda word: [["other"], [], [word, "more"]][i % 3]
+        v = [x for k, word in enumerate(w) for x in (new(word) if k % 5 == i % 4 else [word])]
+        docs.append((i, " ".join(words(rng, 30) + v + words(rng, 30))))
+    df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(df, bench).collect()}
+    assert got <= {(i, i) for i in range(60)}
+    assert len(got) >= 59
+
+
 def test_vectors(spark):
     rng = np.random.default_rng(3)
     base = rng.standard_normal((60, 16))
