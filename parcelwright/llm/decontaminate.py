@@ -10,7 +10,8 @@ MOST_REPS are not embedded: the exact edit distance decides on all their windows
 
 Which windows are embedded at all follows from a lossless count: a window within d edits
 of an item of n words shares at least n - 2 - 3d of its runs of three words, at about the
-same offset. All of this is one pass over the documents, in batches; the benchmark is
+same offset. Items so short that this is none are cut into d + 1 pieces, one of which
+stands unchanged; the exact edit distance decides around each. All of this is one pass over the documents, in batches; the benchmark is
 dealt with in slices of a bounded number of words, so what is broadcast is bounded.
 """
 
@@ -38,13 +39,12 @@ MOST_REPS = 48
 LENGTHS = (5, 10, 15, 20, 25, 30, 40, 50, 60, 80, 100)
 #: Windows at the edit limit that are made of each kind of edits, and repetitions measured.
 SAMPLES, MEASURED = 100, 128
-LEAST_WORDS = 3
 OUT = "id long, item_id long, start_word int, end_word int, edits int"
 
 
 def limit_of(n: int, threshold: float) -> int:
-    """The edits allowed for an item of n words; items of under six words must match exactly."""
-    return 0 if n < 6 else int((1 - threshold) * n + 1e-9)
+    """The edits allowed for an item of n words."""
+    return int((1 - threshold) * n + 1e-9)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -122,6 +122,14 @@ def repetitions(n: int, threshold: float, recall: float = RECALL) -> int:
     return next((r for r in range(1, MOST_REPS + 1) if (1 - (apart**r).mean(axis=1)).min() >= recall), 0)
 
 
+def _runs(codes: np.ndarray, n: int) -> np.ndarray:
+    """A hash for each run of n words."""
+    out = np.zeros(max(0, len(codes) - n + 1), np.uint64)
+    for i in range(n):
+        out = _mix(out + (codes[i : len(out) + i] + 3).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return out
+
+
 class Items:
     """A slice of the benchmark: word codes, runs of three words, LSH keys."""
 
@@ -131,11 +139,18 @@ class Items:
         self.words = [np.array([self.code.setdefault(w, len(self.code)) for w in words], np.int64) for _, words in items]
         self.sizes = np.array([len(w) for w in self.words], np.int64)
         self.limits = np.array([limit_of(n, threshold) for n in self.sizes.tolist()], np.int64)
-        self.needed = np.maximum(1, self.sizes - 2 - 3 * self.limits)
+        self.needed = self.sizes - 2 - 3 * self.limits
         reps = {n: repetitions(n, threshold, recall) for n in set(self.sizes.tolist())}
-        self.reps = np.array([reps[n] for n in self.sizes.tolist()], np.int64)
+        self.reps = np.where(self.needed < 1, 0, np.array([reps[n] for n in self.sizes.tolist()], np.int64))
+        pieces: dict[int, list[tuple[int, int, int]]] = {}
+        for k in np.flatnonzero(self.needed < 1).tolist():
+            cuts = [i * int(self.sizes[k]) // (int(self.limits[k]) + 1) for i in range(int(self.limits[k]) + 2)]
+            for x, y in zip(cuts, cuts[1:]):
+                if y > x:
+                    pieces.setdefault(y - x, []).append((int(_runs(self.words[k][x:y], y - x)[0]), k, x))
+        self.pieces = [(n, np.array([h for h, _, _ in p], np.uint64), np.array([k for _, k, _ in p], np.int64), np.array([x for _, _, x in p], np.int64)) for n, p in ((n, sorted(p)) for n, p in sorted(pieces.items()))]
         self.base = len(self.code) + 1
-        grams = [self.grams(w)[0] for w in self.words]
+        grams = [self.grams(w if n > 0 else w[:0])[0] for w, n in zip(self.words, self.needed.tolist())]
         flat = np.concatenate(grams) if grams else np.empty(0, np.int64)
         item = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
         offset = np.concatenate([np.arange(len(g)) for g in grams]) if grams else np.empty(0, np.int64)
@@ -185,6 +200,27 @@ class Items:
         pairs = np.unique(np.stack((item[good], start[good])), axis=1)
         return pairs[0], pairs[1]
 
+    def around_pieces(self, codes: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(item, start, document) wherever a piece of a short item stands in one document."""
+        found = [np.empty((3, 0), np.int64)]
+        for n, keys, owner, offset in self.pieces:
+            runs = _runs(codes, n)
+            left, right = np.searchsorted(keys, runs), np.searchsorted(keys, runs, "right")
+            at = np.flatnonzero(right > left)
+            doc = np.searchsorted(ends, at, "right") - 1
+            at, doc = at[at + n <= ends[doc + 1]], doc[at + n <= ends[doc + 1]]
+            times = right[at] - left[at]
+            flat = np.repeat(left[at] - (np.cumsum(times) - times), times) + np.arange(times.sum())
+            found.append(np.stack((owner[flat], np.repeat(at, times) - offset[flat], np.repeat(doc, times))))
+        item, start, doc = np.unique(np.concatenate(found, axis=1), axis=1)
+        # Without edits the first place in a document is the best one.
+        first = np.ones(len(item), bool)
+        order = np.lexsort((start, doc, item))
+        item, start, doc = item[order], start[order], doc[order]
+        first[1:] = (item[1:] != item[:-1]) | (doc[1:] != doc[:-1])
+        keep = first | (self.limits[item] > 0)
+        return item[keep], start[keep], doc[keep]
+
     def candidates(self, codes: np.ndarray, item: np.ndarray, start: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
         """Rows (item, start, lo, hi) such that an LSH key of the window is one of the item's,
         and all rows of items that are not embedded."""
@@ -236,6 +272,8 @@ def _find(shared, id_type=pa.int64()):  # noqa: ANN001, ANN202
                 middle = np.clip(start + items.sizes[item] // 2, 0, len(flat) - 1)
                 doc = np.searchsorted(np.array(bounds), middle, "right") - 1
                 ends = np.array(bounds)
+                short = items.around_pieces(flat, ends)
+                item, start, doc = (np.concatenate(x) for x in zip((item, start, doc), short))
                 best: dict[tuple[int, int], tuple[int, int, int]] = {}
                 for k, first, last, lo, hi in _stretches(items.candidates(flat, item, start, ends[doc], ends[doc + 1]), items):
                     d = int(items.limits[k])
@@ -272,8 +310,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id
 
     A document of whose words some stretch is within (1 - threshold) * n edits of an item's
     n words holds the item; the place is the best one found. Words are in lower case without
-    ASCII punctuation. Items of under six words must stand there unchanged, items of under
-    three words (null and empty ones too) are in no document. A null or empty text holds
+    ASCII punctuation. Items of under five words must stand there unchanged at the usual
+    threshold; items without words (null and empty ones) are in no document. A null or empty text holds
     nothing. Rows with the same id give rows of their own; a row without id gives rows
     with a null id. Extra columns play no part.
     """
@@ -285,7 +323,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id
     parts = []
     for n in range(slices):
         got = items.where(F.pmod(F.xxhash64("k", "t"), F.lit(slices)) == n).collect()
-        words = [(r.k, w) for r in sorted(got) if len(w := plain_words(r.t)) >= LEAST_WORDS]
+        words = [(r.k, w) for r in sorted(got) if (w := plain_words(r.t))]
         parts.append(docs.mapInArrow(_find(spark.sparkContext.broadcast(Items(words, threshold, recall))), OUT))
     out = parts[0]
     for p in parts[1:]:

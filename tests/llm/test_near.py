@@ -184,6 +184,22 @@ def test_items_of_any_length_are_found_at_the_limit(spark, length):
     assert len(got) >= 59
 
 
+@pytest.mark.parametrize("threshold", [0.8, 0.6])
+def test_short_items(spark, threshold):
+    items = [(1, "alpha"), (2, "beta gamma"), (3, "one two three"), (4, "p q r s"), (5, "v w x y z"), (6, "a b c d e f"), (7, "...")]
+    texts = ["alpha", "Beta, gamma! alpha alpha", "beta x gamma", "one two three one two", "p q s", "p q r s", "v w other y z", "w x y z", "v w x y", "v w x more y z", "z y x w v", "w", "a b c e f", "beta", "gamma one two", None]
+    want = {}
+    for d, text in enumerate(texts):
+        for i, t in items[:6]:
+            v, w = plain_words(t), plain_words(text or "")
+            code = {x: k for k, x in enumerate(dict.fromkeys(v + w))}
+            if w and (e := align.best_place(np.array([code[x] for x in v]), np.array([code[x] for x in w]))[0]) <= int((1 - threshold) * len(v) + 1e-9):
+                want[d, i] = e
+    df, bench = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = [((r.doc_id, r.item_id), r.edits) for r in decontaminate.contaminated(df, bench, threshold=threshold).collect()]
+    assert sorted(got) == sorted(want.items())
+
+
 def test_vectors(spark):
     rng = np.random.default_rng(3)
     base = rng.standard_normal((60, 16))
