@@ -21,6 +21,8 @@ class _Reader(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.links: list[dict] = []
         self.rows: list[list[str]] = []
+        self.tables: list[int] = []  # the table of each row
+        self._open, self._n_tables = [0], 0
         self.pairs: list[tuple[str, str]] = []
         self._cell: list[str] | None = None
         self._row: list[str] = []
@@ -31,8 +33,11 @@ class _Reader(HTMLParser):
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag == "a":
             self._link = {"href": dict(attrs).get("href") or "", "text": ""}
-        elif tag == "tr":
+        elif tag in ("tr", "table"):
             self._close_row()
+            if tag == "table":
+                self._n_tables += 1
+                self._open.append(self._n_tables)
         elif tag in ("td", "th"):
             self._cell = []
         elif tag in ("dt", "dd"):
@@ -48,6 +53,8 @@ class _Reader(HTMLParser):
             self._cell = None
         elif tag in ("tr", "table"):
             self._close_row()
+            if tag == "table" and len(self._open) > 1:
+                self._open.pop()
         elif tag in ("dt", "dd") and self._term is not None:
             text = " ".join("".join(self._term).split())
             if tag == "dt":
@@ -67,6 +74,7 @@ class _Reader(HTMLParser):
     def _close_row(self) -> None:
         if self._row:
             self.rows.append(self._row)
+            self.tables.append(self._open[-1])
             if len(self._row) == 2 and self._row[0].endswith(":"):
                 self.pairs.append((self._row[0].rstrip(":").strip(), self._row[1]))
         self._row = []
@@ -90,16 +98,18 @@ def links(pages: pd.Series) -> pd.Series:
 
 @F.pandas_udf(T.ArrayType(T.MapType(T.StringType(), T.StringType())))
 def table_rows(pages: pd.Series) -> pd.Series:
-    """Each row of the page's tables as a map from its table's header; placeholders are left out."""
+    """Each row of the page's tables as a map from its table's header, the table's first row;
+    a row of another width has the header's first names. Placeholders are left out."""
 
     def rows(page: str | None) -> list[dict]:
         out: list[dict] = []
-        head: list[str] = []
-        for row in read(page).rows:
-            if not head or len(row) != len(head):
-                head = [re.sub(r"[^a-z0-9]+", "_", c.lower()).strip("_") for c in row]
+        heads: dict[int, list[str]] = {}
+        found = read(page)
+        for n, row in zip(found.tables, found.rows):
+            if n not in heads:
+                heads[n] = [re.sub(r"[^a-z0-9]+", "_", c.lower()).strip("_") for c in row]
                 continue
-            out.append({k: v for k, v in zip(head, row) if k and v not in PLACEHOLDERS})
+            out.append({k: v for k, v in zip(heads[n], row) if k and v not in PLACEHOLDERS})
         return out
 
     return pages.map(rows)

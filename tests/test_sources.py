@@ -104,3 +104,9 @@ def test_month_stream_equals_batch(spark, tmp_path):
     take(df.where("period = '2024-02'"), 1)
     got = spark.read.parquet(str(tmp_path / "o" / "batch=1"))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, monthly_state(case_months(df)).select(got.columns).collect()))
+
+
+def test_table_rows_of_another_width(spark):
+    page = "<table><tr><th>Name</th><th>Type</th><th>No</th></tr><tr><td>a</td><td>x</td><td>1</td></tr><tr><td colspan=3>b</td></tr><tr><td>c</td><td>y</td><td>3</td></tr></table><table><tr><th>Name</th><th>Use</th><th>Lot</th></tr><tr><td>d</td><td>z</td><td>4</td></tr></table>"
+    got = spark.createDataFrame([(page,)], "h string").select(html.table_rows("h").alias("t")).first().t
+    assert got == [{"name": "a", "type": "x", "no": "1"}, {"name": "b"}, {"name": "c", "type": "y", "no": "3"}, {"name": "d", "use": "z", "lot": "4"}]
