@@ -3,10 +3,11 @@
 The kernel of two words is the weighted number of subsequences of four characters that
 they share, within seven characters, a weight falling with each character left out. So
 "id-iot", "i.d.i.o.t" or "idxiot" stay close to "idiot", and a stem stays close to its
-inflections. Nystroem landmarks (words of the training sentences) approximate the kernel's
-feature space, in which a linear SVM is trained on labelled sentences. A document has a
-label, a sentence has none: a sentence of a toxic document counts as toxic by its worst
-word, and which sentence that is is settled in a few rounds of training and choosing.
+inflections. Nystroem landmarks (words of the training documents) approximate the kernel's
+feature space, in which a linear SVM is trained on single words. A document has a label, a
+word has none: a toxic document counts as toxic by its worst word, and which word that is
+is settled in a few rounds of training and choosing. Sentences play no part: an insult with
+a space inside, or a sentence toxic by words that are harmless alone, is not seen.
 
 The trained machine is a sum over landmarks, and each landmark is a sum over subsequences.
 Both sums swap, so that scoring a word takes one look-up for each of its subsequences, in
@@ -286,7 +287,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id"
 
     The machine learns from at most max_rows labelled documents that are not held out (see
     common.held_out), half of them of label 1 where there are enough, and scores the whole
-    of every text by its worst sentence. predicted is 1 where the score reaches threshold.
+    of every text by its worst word. predicted is 1 where the score reaches threshold.
     Null and empty texts score as texts without insults. Of several labels of an id the
     largest counts. Repeated rows are scored alike; other columns play no part.
     """
