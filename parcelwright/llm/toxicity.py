@@ -41,6 +41,7 @@ TABLE = 1 << 20  # subsequences of four classes of 32
 #: Single letters in a row, so many or more, are also read as one word.
 SPELLED = 4
 REMEMBERED = 400_000
+RARE = 1_000  # one in so many toxic documents has to hold a run of letters that counts at first
 STRETCHED = 6  # copies of a toxic word with a letter put in, as further examples
 OFFSETS = [(a, b, c, DECAY ** (c - 3)) for a, b, c in combinations(range(1, SPAN), 3)]
 SENTENCE = re.compile(r"[.!?]+\s+|\n+")
@@ -150,7 +151,7 @@ def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-4,
         grad, hess = ridge * w, ridge * np.eye(x.shape[1])
         for a in range(0, len(x), 2000):
             part = slice(a, a + 2000)
-            rows, each = x[part][on[part]], (weight[part] / weight.sum())[on[part]]
+            rows, each = x[part][on[part]].astype(np.float64), (weight[part] / weight.sum())[on[part]]
             grad = grad - rows.T @ (each * (y * margin)[part][on[part]])
             hess = hess + (rows * each[:, None]).T @ rows
         step = np.linalg.solve(hess, grad)
@@ -195,14 +196,13 @@ def train(examples: Iterable[tuple[list[list[str]], int]]) -> Model:
         if runs:
             seen[y][np.unique(np.concatenate(runs))] += 1
     odds = np.log((seen[1] + 0.5) / (len(toxic) + 1)) - np.log((seen[0] + 0.5) / (len(clean) + 1))
-    odds[seen[1] < 4] = -9
+    odds[seen[1] < max(1, len(toxic) / RARE)] = -9
     score = np.full(len(words), -9.0)
     np.maximum.at(score, np.repeat(np.arange(len(words)), np.diff(bounds)), odds[number])
     del number, bounds, seen, odds
     sure = np.log(3)
 
     background = np.unique(np.concatenate([docs[k] for k in clean]))
-    background = rng.choice(background, min(len(background), 12_000), replace=False)
     hard = np.empty(0, np.int64)
     table, bias = none.table, 0.0
     for _ in range(ROUNDS):
@@ -226,8 +226,9 @@ def train(examples: Iterable[tuple[list[list[str]], int]]) -> Model:
         spread = [_stretched(words[k], rng) for k in top.tolist() for _ in range(STRETCHED)]
         rows = [words[k] for k in positive.tolist()] + spread + [words[k] for k in negative.tolist()]
         by_column = np.ascontiguousarray(z.T)
-        x = np.concatenate([_kernel(rows[a : a + 2000], columns, by_column) for a in range(0, len(rows), 2000)]) @ root
-        x = np.concatenate((x, np.ones((len(x), 1))), axis=1)
+        x = np.ones((len(rows), root.shape[1] + 1), np.float32)
+        for a in range(0, len(rows), 2000):
+            x[a : a + 2000, :-1] = _kernel(rows[a : a + 2000], columns, by_column) @ root
         y = np.where(np.arange(len(rows)) < len(rows) - len(negative), 1.0, -1.0)
         each = np.sqrt(times) / np.sqrt(times).sum()
         virtual = 1.5 * np.repeat(each[np.argsort(-times, kind="stable")][: len(top)], STRETCHED) / STRETCHED

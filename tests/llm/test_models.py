@@ -123,6 +123,18 @@ def test_insults_in_disguise():
     assert max(map(score, plain)) < 0.5
 
 
+def test_all_clean_words_and_rare_insults_count(monkeypatch):
+    rng = random.Random(4)
+    plain = ["".join(rng.choices("lmnoprst", k=3)) + "".join(rng.choices("aeiu", k=4)) for _ in range(14_000)]
+    docs = [[plain[a : a + 100]] for a in range(0, 14_000, 100)] + [[rng.choices(plain, k=20) + [w]] for w in ["grumblek", "zakvorn"] * 3]
+    seen = []
+    svm = toxicity._svm
+    monkeypatch.setattr(toxicity, "_svm", lambda x, y, w: seen.append((y < 0).sum()) or svm(x, y, w))
+    model = toxicity.train(zip(docs, [0] * 140 + [1] * 6))
+    assert seen and min(seen) >= len(set(plain)) - 6
+    assert model.table[toxicity._runs(["grumblek"])[0]].max() > 0
+
+
 def test_word_scores_are_the_kernel():
     """The table of subsequences gives what the sum over landmarks gives."""
     words = ["idiot", "id-iot", "iddiot", "table", "a", ""]
