@@ -3,18 +3,22 @@
 A sketch of a document keeps its few least k-mers under a random order (k-mers of five
 words, labelled by their occurrence) in the order of the text, so it agrees for two
 documents if they share these k-mers and their order. Documents with a sketch in common
-are candidates; banded alignment of their k-mer sequences decides.
+are candidates; banded alignment of their words decides. Texts of under fifteen words have
+hardly a k-mer that an edit leaves alone; they also meet with one or two words left out.
 
 Nothing here emits all pairs of a group. Documents of equal words are one class from the
 start. Each class is first compared with the least member of each of its buckets, which
 joins a group of n near copies with n comparisons. Only members that this leaves apart
-from their bucket's least member are compared with the rest of the bucket, in chunks of
-bounded size, so that no link is lost.
+from their bucket's least member are compared with the rest of the bucket: with members of
+about the same length, in chunks of bounded size, first by counts of words (which rule out
+no similar pair) and then, where these leave anything, by their words. So every pair with a
+sketch in common is decided. The rows of one bucket are dealt over many tasks throughout.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -22,15 +26,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .align import within
-from .common import plain_words, without, written
+from .common import by_groups, plain_words, spread_join, written
 from .components import components
 
 WORDS = 5  # words in a k-mer
-#: Sketches of a document, and k-mers in a sketch. At the threshold (see `similar`) about
-#: 0.3 of the sketches of two documents agree, so one of 20 does in 999 cases of 1,000.
-SKETCHES, KEPT = 20, 3
+#: Sketches of a document, and k-mers in a sketch. Of two texts of which one word in ten
+#: (fifteen, twenty of a hundred) was changed anywhere, about 0.18 (0.08, 0.04) of the
+#: sketches agree, so that one of 64 does in all but a few of 100,000 cases (0.995, 0.92).
+SKETCHES, KEPT = 64, 2
+#: Texts of fewer words also have a key for each way to leave out as many as may be edited.
+SHORT = 15
 CHUNK = 256
-BINS = 256  # of the k-mer counts by which pairs are ruled out
+BINS = 64  # of the word counts by which pairs are ruled out
+#: Cells of a table of hashes that are held at once.
+CELLS = 4_000_000
 
 
 def word_values(words: list[bytes]) -> np.ndarray:
@@ -70,165 +79,257 @@ def _seeds(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def sketch(grams: np.ndarray, xor: np.ndarray, times: np.ndarray, kept: int = KEPT) -> np.ndarray:
     """A 64-bit key for each sketch of a document with at least one k-mer."""
-    order = (_labelled(grams) ^ xor) * times
-    order ^= order >> np.uint64(31)
+    labelled = _labelled(grams)
+    key = np.arange(1, len(xor) + 1, dtype=np.uint64)
     kept = min(kept, len(grams))
-    if kept < len(grams):
-        least = np.sort(np.argpartition(order, kept - 1, axis=1)[:, :kept], axis=1)
-    else:
-        least = np.broadcast_to(np.arange(kept), (len(order), kept))
-    key = np.arange(1, len(order) + 1, dtype=np.uint64)
-    for i in range(kept):
-        key = (key ^ grams[least[:, i]]) * np.uint64(0xC2B2AE3D27D4EB4F)
-        key ^= key >> np.uint64(32)
+    step = max(1, CELLS // len(grams))
+    for a in range(0, len(xor), step):
+        order = (labelled ^ xor[a : a + step]) * times[a : a + step]
+        order ^= order >> np.uint64(31)
+        rows = np.arange(len(order))
+        least = np.empty((len(order), kept), np.int64)
+        for i in range(kept):
+            least[:, i] = order.argmin(axis=1)
+            order[rows, least[:, i]] = np.iinfo(np.uint64).max
+        least.sort(axis=1)
+        part = key[a : a + step]
+        for i in range(kept):
+            part = (part ^ grams[least[:, i]]) * np.uint64(0xC2B2AE3D27D4EB4F)
+            part ^= part >> np.uint64(32)
+        key[a : a + step] = part
     return key
 
 
-def counts(grams: np.ndarray) -> np.ndarray:
-    """How many k-mers fall into each bin."""
-    return np.bincount((grams % np.uint64(BINS)).astype(np.int64), minlength=BINS).astype(np.int32)
+def edits_of(n: int, threshold: float) -> int:
+    """How many words may differ between a text of n words and one that is not longer."""
+    return int((1 - threshold) * n + 1e-9)
 
 
-def possible(one: np.ndarray, others: np.ndarray, threshold: float) -> np.ndarray:
-    """Which rows of others may be similar to one, all given as `counts`. An edit takes one
-    k-mer away at most and adds one at most, so no similar pair is ruled out."""
-    apart = others - one
-    limit = ((1 - threshold) * np.maximum(others.sum(axis=1), one.sum()) + 1e-9).astype(np.int64)
+def left_out(values: np.ndarray, threshold: float) -> np.ndarray:
+    """Keys of a text of under SHORT words: its words less any d or fewer, d being the edits
+    that the longest such text similar to it may have. Two of them have such a rest in common."""
+    import xxhash
+
+    d = min(len(values), edits_of(min(int(len(values) / threshold + 1e-9), SHORT - 1), threshold))
+    keys = {xxhash.xxh3_64_intdigest(np.delete(values, gone).tobytes()) for n in range(d + 1) for gone in combinations(range(len(values)), n)}
+    return np.array(sorted(keys), np.uint64)
+
+
+def counts(values: np.ndarray) -> np.ndarray:
+    """How many words fall into each bin, 255 at most."""
+    return np.minimum(np.bincount((values % np.uint64(BINS)).astype(np.int64), minlength=BINS), 255).astype(np.uint8)
+
+
+def possible(one: np.ndarray, sizes_one: np.ndarray, others: np.ndarray, sizes: np.ndarray, threshold: float) -> np.ndarray:
+    """Which rows of others may be similar to the same row of one (or to the only one), all
+    given as `counts` and numbers of words. An edit takes one word away at most and adds one
+    at most, so no similar pair is ruled out."""
+    apart = others.astype(np.int16) - one
+    limit = ((1 - threshold) * np.maximum(sizes, sizes_one) + 1e-9).astype(np.int64)
     return np.maximum(np.maximum(apart, 0).sum(axis=1), np.maximum(-apart, 0).sum(axis=1)) <= limit
 
 
 def similar(a: np.ndarray, b: np.ndarray, threshold: float) -> bool:
-    """Whether 1 - (edit distance of the k-mer sequences) / (longer length) reaches the threshold.
+    """Whether 1 - (edit distance of the words) / (longer length) reaches the threshold."""
+    return within(a, b, edits_of(max(len(a), len(b)), threshold))
 
-    k-mers make this strict: one changed word costs five edits. A Jaccard similarity of
-    five-word shingles of 0.8 in the same order is about 0.89 here.
-    """
-    return within(a, b, int((1 - threshold) * max(len(a), len(b)) + 1e-9))
+
+def _words(text: str | None) -> np.ndarray:
+    return word_values(plain_words(text or ""))
+
+
+def _digest(values: np.ndarray) -> tuple[int, int]:
+    import xxhash
+
+    whole = xxhash.xxh3_128_intdigest(values.tobytes())
+    return (whole >> 64) - (1 << 63), (whole & ((1 << 64) - 1)) - (1 << 63)
 
 
-def _sketched(sketches: int, kept: int):  # noqa: ANN202
+def _sketched(sketches: int, kept: int, threshold: float):  # noqa: ANN202
     xor, times = _seeds(sketches)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
         for batch in batches:
-            ids, one, two, keys = [], [], [], []
+            ids, digests, sizes, bins, keys = [], [], [], [], []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                words = plain_words(text.as_py() or "")
-                if doc_id is None or not words:
+                values = _words(text.as_py())
+                if doc_id is None or not len(values):
                     continue
-                values = word_values(words)
-                whole = xxhash.xxh3_128_intdigest(values.tobytes())
                 ids.append(doc_id)
-                one.append((whole >> 64) - (1 << 63))
-                two.append((whole & ((1 << 64) - 1)) - (1 << 63))
-                keys.append(sketch(kmers(values), xor, times, kept).view(np.int64))
+                digests.append(_digest(values))
+                sizes.append(len(values))
+                bins.append(counts(values).tobytes())
+                own = sketch(kmers(values), xor, times, kept)
+                keys.append((np.concatenate((own, left_out(values, threshold))) if len(values) < SHORT else own).view(np.int64))
             flat = pa.array(np.concatenate(keys) if keys else np.empty(0, np.int64), pa.int64())
-            ends = pa.array(np.arange(len(ids) + 1) * sketches, pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.ListArray.from_arrays(ends, flat)], names=["id", "one", "two", "keys"])
+            ends = pa.array(np.cumsum([0, *map(len, keys)]), pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()), pa.array([a for a, _ in digests], pa.int64()), pa.array([b for _, b in digests], pa.int64()), pa.array(sizes, pa.int32()), pa.array(bins, pa.binary()), pa.ListArray.from_arrays(ends, flat)],
+                names=["id", "one", "two", "size", "bins", "keys"],
+            )
 
     return run
 
 
-def _grams_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, text) to (id, grams): the words as bytes of four each, from which k-mers are made."""
+def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, text, one, two) to (id, words): the words as four bytes each, of texts with this digest."""
     for batch in batches:
-        grams = [(word_values(plain_words(t.as_py() or "")) >> np.uint64(32)).astype(np.uint32).tobytes() for t in batch.column(1)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(grams, pa.binary())], names=["id", "grams"])
+        ids, words = [], []
+        for doc_id, text, one, two in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            values = _words(text.as_py())
+            if _digest(values) == (one, two):
+                ids.append(doc_id)
+                words.append((values >> np.uint64(32)).astype(np.uint32).tobytes())
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(words, pa.binary())], names=["id", "words"])
+
 
+def _read(words: bytes) -> np.ndarray:
+    return np.frombuffer(words, np.uint32)
 
-def _read(grams: bytes) -> np.ndarray:
-    return kmers(np.frombuffer(grams, np.uint32).astype(np.uint64))
+
+def _bins(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, BINS)
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, sketches: int = SKETCHES, kept: int = KEPT) -> DataFrame:
     """One row (id, class_id, kept) for each row of docs.
 
-    Documents are linked if their five-word k-mer sequences are similar (see `similar`);
-    class_id is the least id that links lead to, kept marks the document with that id.
-    Words are taken in lower case without ASCII punctuation. A document without words (null
-    and empty texts too) is linked with nothing; a null id has a null class and is kept.
-    Rows with the same id are one document. Other columns play no part.
+    Documents are linked if their words are similar (see `similar`) and they share a sketch
+    (see SKETCHES for how likely that is); class_id is the least id that links lead to, kept
+    marks the document with that id. Words are taken in lower case without ASCII punctuation.
+    A document without words (null and empty texts too) is linked with nothing; a null id has
+    a null class and is kept. Rows with the same id are one document; if their words differ,
+    those with the least digest count. Texts of any length that fits in a row are taken
+    whole; pairs exactly at the threshold are linked. An empty table gives no rows. Other
+    columns play no part, whatever their names.
     """
+    if not 0 < threshold < 1:
+        raise ValueError("threshold must lie between 0 and 1")
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    base = written(docs.mapInArrow(_sketched(sketches, kept), "id long, one long, two long, keys array<long>"), "sketches")
-    classes = written(base.groupBy("one", "two").agg(F.min("id").alias("rep"), F.first("keys").alias("keys")), "classes")
-    member = base.select("id", "one", "two").join(classes.select("one", "two", "rep"), ["one", "two"]).where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
-
-    held = classes.select("rep", F.posexplode("keys").alias("nth", "key"))
-    buckets = held.groupBy("nth", "key").agg(F.count("*").alias("n"), F.min("rep").alias("least"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("f"), F.bit_xor(F.xxhash64(F.lit(7), "rep")).alias("g")).where("n > 1")
+    base = written(docs.mapInArrow(_sketched(sketches, kept, threshold), "id long, one long, two long, size int, bins binary, keys array<long>"), "sketches")
+    digest = F.struct("one", "two")
+    several = written(base.groupBy("id").agg(F.min(digest).alias("m"), F.max(digest).alias("x")).where("m <> x").select("id", "m"), "several")
+    base = base.join(several, "id", "left").where(F.col("m").isNull() | (F.col("m") == digest))
+    classes = written(base.groupBy("one", "two").agg(F.min("id").alias("rep"), F.first("size").alias("size"), F.first("bins").alias("bins"), F.first("keys").alias("keys")), "classes")
+    member = spread_join(base.select("id", "one", "two"), classes.select("one", "two", "rep"), ["one", "two"], "id").where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
+
+    held = classes.select("rep", F.explode("keys").alias("key"))
+    buckets = held.groupBy("key").agg(F.count("*").alias("n"), F.min("rep").alias("least"), F.bit_xor(F.xxhash64("rep")).alias("f"), F.bit_xor(F.xxhash64(F.lit(7), "rep")).alias("g")).where("n > 1")
     # Buckets of the same members are one.
-    buckets = buckets.groupBy("n", "least", "f", "g").agg(F.min(F.struct("nth", "key")).alias("b")).select("b.nth", "b.key", "n", "least")
-    inside = written(held.join(buckets, ["nth", "key"]).select("nth", "key", "n", "least", "rep"), "buckets")
+    buckets = buckets.groupBy("n", "least", "f", "g").agg(F.min("key").alias("key")).select("key", "n", "least")
+    inside = written(spread_join(held, buckets, ["key"], "rep").select("key", "n", "least", "rep"), "buckets")
+    traits = classes.select("rep", "one", "two", "size", "bins")
+
+    def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                n, m = batch["size"].to_numpy(), batch["size_least"].to_numpy()
+                yield batch.select(["least", "rep"]).filter(pa.array(possible(_bins(batch["bins_least"]), m, _bins(batch["bins"]), n, threshold)))
+
     stars = inside.where("rep <> least").select("least", "rep").distinct()
+    of_least = traits.select(F.col("rep").alias("least"), F.col("size").alias("size_least"), F.col("bins").alias("bins_least")).join(stars.select("least").distinct(), "least")
+    stars = spread_join(stars.join(traits.select("rep", "size", "bins"), "rep"), of_least, ["least"], "rep")
+    fits = f"least(size, size_least) >= {threshold} * greatest(size, size_least) - 1e-6"
+    stars = written(stars.where(fits).mapInArrow(close, "least long, rep long"), "stars")
 
-    wanted = stars.select(F.col("rep").alias("id")).union(stars.select(F.col("least").alias("id"))).distinct()
-    texts = written(docs.join(wanted, "id").dropDuplicates(["id"]).mapInArrow(_grams_of, "id long, grams binary"), "grams")
+    def texts(wanted: DataFrame, name: str) -> DataFrame:
+        """The words of the documents whose ids are wanted."""
+        wanted = written(wanted.distinct().join(traits.select(F.col("rep").alias("id"), "one", "two"), "id"), f"wanted_{name}")
+        return written(docs.join(wanted, "id").dropDuplicates(["id", "text"]).mapInArrow(_coded, "id long, words binary"), f"words_{name}")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             same = [similar(_read(a.as_py()), _read(b.as_py()), threshold) for a, b in zip(batch.column(2), batch.column(3))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(same, pa.bool_())], names=["least", "rep", "same"])
-
-    pairs = stars.join(texts.select(F.col("id").alias("rep"), F.col("grams").alias("x")), "rep").join(texts.select(F.col("id").alias("least"), F.col("grams").alias("y")), "least")
-    stars = written(pairs.select("least", "rep", "x", "y").mapInArrow(compare, "least long, rep long, same boolean"), "stars")
-    links = member.unionByName(stars.where("same").select(F.col("least").alias("a"), F.col("rep").alias("b")))
-    found = written(components(links), "linked")
-    more = written(_rest(inside, found, classes, texts, threshold), "more")
-    if not more.isEmpty():
-        found = components(more.unionByName(found.select(F.col("component").alias("a"), F.col("id").alias("b"))))
+            yield batch.select([0, 1]).filter(pa.array(same, pa.bool_()))
+
+    words = texts(stars.select(F.col("rep").alias("id")).union(stars.select(F.col("least").alias("id"))), "stars")
+    # The words of a least member go once to each of the tasks that its star needs.
+    size = stars.groupBy("least").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("m"))
+    pairs = spread_join(stars, size, ["least"], "rep").withColumn("part", F.pmod(F.xxhash64("rep"), F.col("m")).cast("int"))
+    first = words.withColumnRenamed("id", "least").join(size, "least").select("least", F.col("words").alias("y"), F.explode(F.sequence(F.lit(0), F.col("m") - 1)).alias("part"))
+    pairs = pairs.join(words.select(F.col("id").alias("rep"), F.col("words").alias("x")), "rep").join(first, ["least", "part"])
+    same = pairs.select("least", "rep", "x", "y").mapInArrow(compare, "a long, b long")
+    found = written(components(member.unionByName(same)), "linked")
+
+    apart = written(_apart(inside, found, traits, threshold), "apart")
+    if not apart.isEmpty():
+        words = texts(apart.select(F.col("rep").alias("id")), "apart")
+        more = written(_linked(apart.join(words.withColumnRenamed("id", "rep"), "rep"), threshold), "more")
+        if not more.isEmpty():
+            found = components(more.unionByName(found.select(F.col("component").alias("a"), F.col("id").alias("b"))))
     out = docs.select("id").join(found, "id", "left")
     class_id = F.coalesce("component", "id")
     return out.select(F.col("id").alias(id_col), class_id.alias("class_id"), F.coalesce(class_id == F.col("id"), F.lit(True)).alias("kept"))
 
 
-def _rest(inside: DataFrame, found: DataFrame, classes: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """Links (a, b) between members of a bucket that the links so far (found) leave apart.
+def _apart(inside: DataFrame, found: DataFrame, traits: DataFrame, threshold: float) -> DataFrame:
+    """Members (group, rep, of, odd) of buckets that may be similar to a member of the same
+    group that the links so far (found) leave apart.
 
-    Members apart from their bucket's least member meet all others of the bucket, chunk by
-    chunk; a chunk has about CHUNK members. What comes out is a star for each set that is
-    newly linked in a pair of chunks.
+    Members apart from their bucket's least member (odd) meet the others of the bucket whose
+    length is about theirs: those of the same or the next class of lengths, chunk by chunk.
     """
-    key = ["nth", "key"]
-    each = inside.join(found.withColumnRenamed("id", "rep"), "rep", "left").select(*key, "least", "rep", F.coalesce("component", "rep").alias("of"))
-    head = each.where("rep = least").select(*key, F.col("of").alias("of_least"))
-    each = each.where("rep <> least").join(head, key).withColumn("odd", F.col("of") != F.col("of_least"))
-    size = each.groupBy(*key).agg(F.count("*").alias("n"), F.count_if("odd").alias("n_odd")).where("n > 1 and n_odd > 0")
-    chunk = lambda n: F.ceil(F.col(n) / CHUNK).cast("int")
-    every = each.join(size, key).select(
-        *key, "rep", "of", "odd", chunk("n_odd").alias("m_odd"), chunk("n").alias("m"), F.pmod(F.xxhash64("rep"), chunk("n")).cast("int").alias("mine"), F.pmod(F.xxhash64("rep"), chunk("n_odd")).cast("int").alias("mine_odd")
-    )
-    as_any = every.select(*key, "rep", "of", F.lit(False).alias("odd"), F.explode(F.sequence(F.lit(0), F.col("m_odd") - 1)).alias("i"), F.col("mine").alias("j"))
-    as_odd = every.where("odd").select(*key, "rep", "of", "odd", F.col("mine_odd").alias("i"), F.explode(F.sequence(F.lit(0), F.col("m") - 1)).alias("j"))
-    held = texts.join(classes.select(F.col("rep").alias("id"), "keys"), "id").withColumnRenamed("id", "rep")
-    dealt = as_any.unionByName(as_odd).join(held, "rep")
-
-    def compare(key: tuple, group: pa.Table) -> pa.Table:
-        nth = key[0].as_py()
-        rows = group.to_pylist()
-        left, right = [r for r in rows if r["odd"]], [r for r in rows if not r["odd"]]
-        root: dict[int, int] = {r["of"]: r["of"] for r in rows}
-
-        def find(x: int) -> int:
-            while root[x] != x:
-                root[x] = x = root[root[x]]
-            return x
-
-        if left and right:
-            keys, of = np.array([r["keys"] for r in right]), np.array([r["of"] for r in right])
-            grams: dict[int, np.ndarray] = {}
-            read = lambda r: grams[r["rep"]] if r["rep"] in grams else grams.setdefault(r["rep"], _read(r["grams"]))
-            bins = np.array([counts(read(r)) for r in right])
-            for r in left:
-                # A pair is compared in the first bucket that it shares.
-                alike = np.flatnonzero((of != r["of"]) & ((keys == np.array(r["keys"])).argmax(axis=1) == nth))
-                for k in alike[possible(counts(read(r)), bins[alike], threshold)]:
-                    o = right[k]
-                    if find(o["of"]) != find(r["of"]) and similar(read(r), read(o), threshold):
-                        a, b = sorted((find(o["of"]), find(r["of"])))
-                        root[b] = a
-        found = [(find(x), x) for x in root if find(x) != x]
-        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
-
-    return dealt.groupBy("nth", "key", "i", "j").applyInArrow(compare, "a long, b long")
+    each = inside.join(found.withColumnRenamed("id", "rep"), "rep", "left").select("key", "least", "rep", F.coalesce("component", "rep").alias("of"))
+    head = each.where("rep = least").select("key", F.col("of").alias("of_least"))
+    each = spread_join(each.where("rep <> least"), head, ["key"], "rep").withColumn("odd", F.col("of") != F.col("of_least"))
+    mixed = each.groupBy("key").agg(F.min("of").alias("low"), F.max("of").alias("high"), F.max("odd").alias("any")).where("any and low <> high").select("key")
+    step = F.floor(F.log(F.col("size").cast("double")) / F.lit(-np.log(threshold)) + 1e-9).cast("int")
+    each = spread_join(each, mixed, ["key"], "rep").join(traits.select("rep", "size", "bins"), "rep").withColumn("step", step)
+    each = written(each.select("key", "rep", "of", "odd", "size", "bins", "step"), "odd")
+    sides = each.withColumn("odd", F.lit(False)).unionByName(each.where("odd").withColumn("step", F.explode(F.array(F.col("step") - 1, F.col("step"), F.col("step") + 1))))
+    size = sides.groupBy("key", "step").agg(F.count_if("odd").alias("n_odd"), F.count_if(~F.col("odd")).alias("n"), F.min("of").alias("low"), F.max("of").alias("high")).where("n > 0 and n_odd > 0 and low <> high")
+    chunks = lambda n: F.ceil(F.col(n) / CHUNK).cast("int")
+    sides = spread_join(sides, size.select("key", "step", chunks("n_odd").alias("m_odd"), chunks("n").alias("m")), ["key", "step"], "rep")
+    mine = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
+    all_of = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    sides = sides.withColumn("i", F.explode(F.when(F.col("odd"), F.array(mine("m_odd"))).otherwise(all_of("m_odd"))))
+    sides = sides.withColumn("j", F.explode(F.when(F.col("odd"), all_of("m")).otherwise(F.array(mine("m")))))
+    sides = sides.select(F.xxhash64("key", "step", "i", "j").alias("group"), "rep", "of", "odd", "size", "bins")
+
+    def may(table: pa.Table, bounds: np.ndarray) -> pa.Table:
+        of, odd, size, bins = table["of"].to_numpy(), table["odd"].to_numpy(zero_copy_only=False), table["size"].to_numpy(), _bins(table["bins"])
+        keep = np.zeros(len(of), bool)
+        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+            left, right = a + np.flatnonzero(odd[a:b]), a + np.flatnonzero(~odd[a:b])
+            if not len(left) or not len(right):
+                continue
+            near = (np.minimum(size[left][:, None], size[right]) >= threshold * np.maximum(size[left][:, None], size[right]) - 1e-6) & (of[left][:, None] != of[right])
+            x, y = np.nonzero(near)
+            for k in range(0, len(x), 100_000):
+                p, q = left[x[k : k + 100_000]], right[y[k : k + 100_000]]
+                good = possible(bins[p], size[p], bins[q], size[q], threshold)
+                keep[p[good]] = keep[q[good]] = True
+        return table.select(["group", "rep", "of", "odd"]).filter(pa.array(keep))
+
+    return by_groups(sides, ["group"], may, "group long, rep long, of long, odd boolean")
+
+
+def _linked(apart: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) between the components of similar members of a group: a star for each
+    set that is newly linked."""
+
+    def compare(table: pa.Table, bounds: np.ndarray) -> pa.Table:
+        of, odd = table["of"].to_pylist(), table["odd"].to_pylist()
+        words = [_read(w) for w in table["words"].to_pylist()]
+        stars = []
+        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+            root = {c: c for c in of[a:b]}
+
+            def find(x: int) -> int:
+                while root[x] != x:
+                    root[x] = x = root[root[x]]
+                return x
+
+            bins = np.array([counts(words[k]) for k in range(a, b)])
+            sizes = np.array([len(words[k]) for k in range(a, b)])
+            right = np.array([k for k in range(a, b) if not odd[k]], np.int64)
+            for k in [k for k in range(a, b) if odd[k]]:
+                good = possible(bins[k - a], sizes[k - a], bins[right - a], sizes[right - a], threshold)
+                for o in right[good].tolist():
+                    if find(of[o]) != find(of[k]) and similar(words[k], words[o], threshold):
+                        x, y = sorted((find(of[o]), find(of[k])))
+                        root[y] = x
+            stars += [(find(c), c) for c in root if find(c) != c]
+        return pa.table({"a": pa.array([x for x, _ in stars], pa.int64()), "b": pa.array([y for _, y in stars], pa.int64())})
+
+    return by_groups(apart.select("group", "rep", "of", "odd", "words"), ["group"], compare, "a long, b long")

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from parcelwright.llm import align, decontaminate, order_minhash
+from parcelwright.llm import align, decontaminate, order_minhash, queries
 from parcelwright.llm.common import plain_words
 from parcelwright.llm.components import components
 from parcelwright.llm.embedding_dedup import agreement, near_vectors, tables_for
@@ -75,19 +75,60 @@ def variants(seed=7, n=30):
     return out
 
 
-@pytest.mark.parametrize("texts", [[r[1] for r in documents()], variants(), ["a b", "a b", "b a", "!!", "", None]])
+def brute_classes(texts, threshold=0.8):
+    """The class of each document by edit distance of all pairs."""
+    words = [order_minhash.word_values(plain_words(t or "")) for t in texts]
+    links = [(a, b) for a in range(len(words)) for b in range(a) if len(words[a]) and len(words[b]) and order_minhash.similar(words[a], words[b], threshold)]
+    return roots(range(len(words)), links)
+
+
+SHORT = ["a b c d e", "a b c d x", "a b c d", "a b q r", "one two three four five six seven eight nine ten", "one two three 4 five six 7 eight nine ten", "one two three 4 five 6 7 eight nine ten", "one", "One!", "one one"]
+
+
+@pytest.mark.parametrize("texts", [[r[1] for r in documents()], variants(), SHORT, ["a b", "a b", "b a", "!!", "", None]])
 def test_order_minhash(spark, texts):
-    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, kept string")
-    grams = {i: order_minhash.kmers(order_minhash.word_values(plain_words(t or ""))) for i, t in enumerate(texts)}
-    links = [(a, b) for a in grams for b in range(a) if len(grams[a]) and len(grams[b]) and distance(grams[a].tolist(), grams[b].tolist()) <= int(0.2 * max(len(grams[a]), len(grams[b])) + 1e-9)] if len(texts) < 60 else [
-        (a, b) for a in grams for b in range(a) if len(grams[a]) and len(grams[b]) and order_minhash.similar(grams[a], grams[b], 0.8)
-    ]
-    want = roots(grams, links)
+    df = spark.createDataFrame([(i, t, "x", 0) for i, t in enumerate(texts)], "doc_id long, text string, kept string, id int")
     got = {r.doc_id: r for r in order_minhash.near_duplicates(df).collect()}
-    assert {i: got[i].class_id for i in want} == want
+    assert {i: r.class_id for i, r in got.items()} == brute_classes(texts)
     assert all(r.kept == (r.doc_id == r.class_id) for r in got.values())
 
 
+def test_similarity_is_that_of_words():
+    rng = random.Random(12)
+    for _ in range(100):
+        a = rng.choices("abcdefgh", k=rng.randint(1, 25))
+        b = [x for x in a if rng.random() > 0.1] + rng.choices("abxy", k=rng.randint(0, 4))
+        if b:
+            want = 1 - distance(a, b) / max(len(a), len(b)) >= 0.8 - 1e-9
+            code = {w: k for k, w in enumerate("abcdefghxy")}
+            assert order_minhash.similar(np.array([code[x] for x in a]), np.array([code[x] for x in b]), 0.8) == want
+
+
+@pytest.mark.parametrize("share, least", [(0.01, 1), (0.05, 1), (0.1, 1), (0.15, 0.98), (0.19, 0.9)])
+def test_recall_by_share_of_changed_words(spark, share, least):
+    """Pairs of 200 words of which a share, anywhere, is another, left out or put in."""
+    rng = random.Random(int(share * 100))
+    texts = []
+    for _ in range(100):
+        w = words(rng, 200, "abcdefghijklmnop")
+        v = list(w)
+        for k in sorted(rng.sample(range(200), int(200 * share)), reverse=True):
+            v[k : k + 1] = rng.choice([[], ["new"], [v[k], "more"]])
+        texts += [" ".join(w), " ".join(v)]
+    got = {r.doc_id: r.class_id for r in order_minhash.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert all(got[2 * i] == 2 * i for i in range(100))
+    assert sum(got[2 * i + 1] == 2 * i for i in range(100)) >= 100 * least
+
+
+def test_whole_table_against_all_pairs(spark):
+    """Every class of the supplied documents is that of edit distances of all pairs, but for 1 in 100."""
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect()
+    want = brute_classes([r.text for r in rows])
+    got = {r.doc_id: r.class_id for r in queries.op10_order_minhash(spark, "/root/testdata/sf0.001").collect()}
+    assert sum(got[r.doc_id] != rows[want[k]].doc_id for k, r in enumerate(rows)) <= len(rows) / 100
+    assert set(got.values()) >= {rows[c].doc_id for c in want.values()}
+
+
 def test_second_phase_finds_links_between_later_members(spark):
     """Many short documents about one long shared passage: buckets hold members that differ from the least one."""
     rng = random.Random(3)
@@ -97,25 +138,21 @@ def test_second_phase_finds_links_between_later_members(spark):
         own = words(rng, 25)
         texts += [" ".join(passage + own), " ".join(passage + own[:-1] + ["last"])]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = {r.doc_id: r.class_id for r in order_minhash.near_duplicates(df).collect()}
-    grams = [order_minhash.kmers(order_minhash.word_values(plain_words(t))) for t in texts]
-    assert got == roots(range(len(texts)), [(a, b) for a in range(len(texts)) for b in range(a) if order_minhash.similar(grams[a], grams[b], 0.8)])
+    assert {r.doc_id: r.class_id for r in order_minhash.near_duplicates(df).collect()} == brute_classes(texts)
 
 
-def test_second_phase_compares_pairs_with_one_sketch_in_common(spark):
-    """In each triple the later two are similar and share one sketch, with a less similar document before them."""
-    rng = random.Random(11)
-    seeds = order_minhash._seeds(order_minhash.SKETCHES)
-    grams = lambda t: order_minhash.kmers(order_minhash.word_values(plain_words(t)))
+def test_a_bucket_of_many_chunks(spark, monkeypatch):
+    """The same with chunks so small that the bucket is dealt to many groups."""
+    monkeypatch.setattr(order_minhash, "CHUNK", 4)
+    rng = random.Random(5)
+    passage = words(rng, 60)
     texts = []
-    while len(texts) < 30:
-        core = words(rng, 8)
-        triple = [" ".join(core + words(rng, n)) for n in (2, 1, 1)]
-        x, a, b = (order_minhash.sketch(grams(t), *seeds) for t in triple)
-        if (a == b).sum() == 1 and ((a == b) & (a == x)).any():
-            texts += triple
-    got = {r.doc_id: r.class_id for r in order_minhash.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
-    assert got == {i: i - (i % 3 == 2) for i in range(30)}
+    for k in range(30):
+        own = words(rng, 30 + k % 3 * 12)
+        texts += [" ".join(passage + own), " ".join(passage + own[:-1] + ["last"])]
+    texts += [" ".join([*texts[0].split(), *["x"] * (k % 4)]) for k in range(20)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in order_minhash.near_duplicates(df).collect()} == brute_classes(texts)
 
 
 def test_counts_rule_out_no_similar_pair():
@@ -125,7 +162,15 @@ def test_counts_rule_out_no_similar_pair():
         b = np.delete(a, rng.integers(0, len(a), int(rng.integers(0, len(a) // 5 + 1))))
         b[rng.integers(0, max(1, len(b)), int(0.1 * len(b)))] = np.uint64(7)
         if len(b) and order_minhash.similar(a, b, 0.8):
-            assert order_minhash.possible(order_minhash.counts(a), order_minhash.counts(b)[None], 0.8).all()
+            assert order_minhash.possible(order_minhash.counts(a), np.array([len(a)]), order_minhash.counts(b)[None], np.array([len(b)]), 0.8).all()
+
+
+def test_an_id_with_two_texts(spark):
+    """Rows of one id are one document, and which of its texts counts does not depend on their order."""
+    rows = [(5, "a b c d e f g h i j k l"), (5, "q r s t u v w x y z"), (6, "a b c d e f g h i j k l"), (7, "q r s t u v w x y z")]
+    once = [sorted(map(tuple, order_minhash.near_duplicates(spark.createDataFrame(r, "doc_id long, text string").repartition(n)).collect())) for r, n in ((rows, 1), (rows[::-1], 3))]
+    assert once[0] == once[1] and len(once[0]) == 4
+    assert [c for i, c, _ in once[0] if i in (6, 7)] in ([5, 7], [6, 5])
 
 
 def test_near_duplicates_of_nothing(spark):
