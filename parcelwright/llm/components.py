@@ -11,12 +11,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import spread_join, written
 
 
 def components(links: DataFrame, *, rounds: int = 40) -> DataFrame:
     """Links (a, b) to (id, component): the least id that can be reached, for every id
-    that is not the least of its component. Loops and nulls are left out."""
+    that is not the least of its component. Loops and nulls are left out. Ids may be of any
+    type that has an order."""
     edges = links.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     edges = written(edges, "links")
     for _ in range(rounds):
@@ -24,9 +25,9 @@ def components(links: DataFrame, *, rounds: int = 40) -> DataFrame:
             break
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+        large = spread_join(both.where("v > u"), least, ["u"], "v").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = spread_join(large, least, ["u"], "v").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = written(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "links")
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")

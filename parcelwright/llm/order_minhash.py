@@ -36,7 +36,10 @@ WORDS = 5  # words in a k-mer
 SKETCHES, KEPT = 64, 2
 #: Texts of fewer words also have a key for each way to leave out as many as may be edited.
 SHORT = 15
-CHUNK = 256
+CHUNK = 256  # members of a star whose words are in one task
+#: Members of a bucket of which counts of words are compared in one task, and of which the
+#: counts are compared at once with all others there.
+CHUNK_COUNTS, ROWS = 4096, 64
 BINS = 64  # of the word counts by which pairs are ruled out
 #: Cells of a table of hashes that are held at once.
 CELLS = 4_000_000
@@ -129,6 +132,17 @@ def possible(one: np.ndarray, sizes_one: np.ndarray, others: np.ndarray, sizes:
     return np.maximum(np.maximum(apart, 0).sum(axis=1), np.maximum(-apart, 0).sum(axis=1)) <= limit
 
 
+def _possible_pairs(a: np.ndarray, sizes_a: np.ndarray, b: np.ndarray, sizes_b: np.ndarray, threshold: float) -> np.ndarray:
+    """`possible` for each row of a with each row of b, as a matrix."""
+    a, b = np.ascontiguousarray(a.T, np.uint16), np.ascontiguousarray(b.T, np.uint16)
+    both, one = np.zeros((a.shape[1], b.shape[1]), np.uint16), np.empty((a.shape[1], b.shape[1]), np.uint16)
+    for x, y in zip(a, b):  # the sum of the larger count of each bin
+        np.maximum.outer(x, y, out=one)
+        both += one
+    limit = ((1 - threshold) * np.maximum(sizes_a[:, None], sizes_b) + 1e-9).astype(np.int64)
+    return both - np.minimum(a.sum(axis=0, dtype=np.int64)[:, None], b.sum(axis=0, dtype=np.int64)) <= limit
+
+
 def similar(a: np.ndarray, b: np.ndarray, threshold: float) -> bool:
     """Whether 1 - (edit distance of the words) / (longer length) reaches the threshold."""
     return within(a, b, edits_of(max(len(a), len(b)), threshold))
@@ -278,7 +292,7 @@ def _apart(inside: DataFrame, found: DataFrame, traits: DataFrame, threshold: fl
     each = written(each.select("key", "rep", "of", "odd", "size", "bins", "step"), "odd")
     sides = each.withColumn("odd", F.lit(False)).unionByName(each.where("odd").withColumn("step", F.explode(F.array(F.col("step") - 1, F.col("step"), F.col("step") + 1))))
     size = sides.groupBy("key", "step").agg(F.count_if("odd").alias("n_odd"), F.count_if(~F.col("odd")).alias("n"), F.min("of").alias("low"), F.max("of").alias("high")).where("n > 0 and n_odd > 0 and low <> high")
-    chunks = lambda n: F.ceil(F.col(n) / CHUNK).cast("int")
+    chunks = lambda n: F.ceil(F.col(n) / CHUNK_COUNTS).cast("int")
     sides = spread_join(sides, size.select("key", "step", chunks("n_odd").alias("m_odd"), chunks("n").alias("m")), ["key", "step"], "rep")
     mine = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
     all_of = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
@@ -293,12 +307,14 @@ def _apart(inside: DataFrame, found: DataFrame, traits: DataFrame, threshold: fl
             left, right = a + np.flatnonzero(odd[a:b]), a + np.flatnonzero(~odd[a:b])
             if not len(left) or not len(right):
                 continue
-            near = (np.minimum(size[left][:, None], size[right]) >= threshold * np.maximum(size[left][:, None], size[right]) - 1e-6) & (of[left][:, None] != of[right])
-            x, y = np.nonzero(near)
-            for k in range(0, len(x), 100_000):
-                p, q = left[x[k : k + 100_000]], right[y[k : k + 100_000]]
-                good = possible(bins[p], size[p], bins[q], size[q], threshold)
-                keep[p[good]] = keep[q[good]] = True
+            left, right = left[np.argsort(size[left], kind="stable")], right[np.argsort(size[right], kind="stable")]
+            for k in range(0, len(left), ROWS):
+                p = left[k : k + ROWS]
+                # Others of about their lengths stand next to each other.
+                q = right[np.searchsorted(size[right], threshold * size[p[0]] - 1e-6) : np.searchsorted(size[right], size[p[-1]] / threshold + 1e-6, "right")]
+                if len(q):
+                    i, j = np.nonzero(_possible_pairs(bins[p], size[p], bins[q], size[q], threshold) & (of[p][:, None] != of[q]))
+                    keep[p[i]] = keep[q[j]] = True
         return table.select(["group", "rep", "of", "odd"]).filter(pa.array(keep))
 
     return by_groups(sides, ["group"], may, "group long, rep long, of long, odd boolean")

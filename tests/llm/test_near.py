@@ -144,6 +144,8 @@ def test_second_phase_finds_links_between_later_members(spark):
 def test_a_bucket_of_many_chunks(spark, monkeypatch):
     """The same with chunks so small that the bucket is dealt to many groups."""
     monkeypatch.setattr(order_minhash, "CHUNK", 4)
+    monkeypatch.setattr(order_minhash, "CHUNK_COUNTS", 6)
+    monkeypatch.setattr(order_minhash, "ROWS", 2)
     rng = random.Random(5)
     passage = words(rng, 60)
     texts = []
@@ -163,6 +165,10 @@ def test_counts_rule_out_no_similar_pair():
         b[rng.integers(0, max(1, len(b)), int(0.1 * len(b)))] = np.uint64(7)
         if len(b) and order_minhash.similar(a, b, 0.8):
             assert order_minhash.possible(order_minhash.counts(a), np.array([len(a)]), order_minhash.counts(b)[None], np.array([len(b)]), 0.8).all()
+    x = rng.integers(0, 9, (7, order_minhash.BINS)).astype(np.uint8)
+    n = x.sum(axis=1).astype(np.int64)
+    pairs = order_minhash._possible_pairs(x[:3], n[:3], x, n, 0.6)
+    assert (pairs == [order_minhash.possible(r, k, x, n, 0.6) for r, k in zip(x[:3], n[:3])]).all()
 
 
 def test_an_id_with_two_texts(spark):
