@@ -30,17 +30,18 @@ from .common import by_groups, plain_words, spread_join, written
 from .components import components
 
 WORDS = 5  # words in a k-mer
-#: Sketches of a document, and k-mers in a sketch. Of two texts of which one word in ten
-#: (fifteen, twenty of a hundred) was changed anywhere, about 0.18 (0.08, 0.04) of the
-#: sketches agree, so that one of 64 does in all but a few of 100,000 cases (0.995, 0.92).
-SKETCHES, KEPT = 64, 2
+#: Sketches of a document, and k-mers in a sketch. Of two texts of which 5 words in 100 (10,
+#: 15, 20) were changed anywhere, about 0.40 (0.18, 0.08, 0.04) of the sketches agree, so
+#: that one of 32 does in all cases (in 0.998, 0.93, 0.71 of them).
+SKETCHES, KEPT = 32, 2
 #: Texts of fewer words also have a key for each way to leave out as many as may be edited.
 SHORT = 15
 CHUNK = 256  # members of a star whose words are in one task
-#: Members of a bucket of which counts of words are compared in one task, and of which the
-#: counts are compared at once with all others there.
-CHUNK_COUNTS, ROWS = 4096, 64
-BINS = 64  # of the word counts by which pairs are ruled out
+#: Members of a bucket that are compared in one task; up to SMALL of them pair by pair with
+#: those of many other buckets at once, more as matrices of ROWS of them with all others.
+CHUNK_COUNTS, SMALL, ROWS = 4096, 256, 64
+#: Of the word counts by which pairs are ruled out: at first, and when the words are there.
+BINS, MORE_BINS = 64, 512
 #: Cells of a table of hashes that are held at once.
 CELLS = 4_000_000
 
@@ -118,9 +119,9 @@ def left_out(values: np.ndarray, threshold: float) -> np.ndarray:
     return np.array(sorted(keys), np.uint64)
 
 
-def counts(values: np.ndarray) -> np.ndarray:
+def counts(values: np.ndarray, bins: int = BINS) -> np.ndarray:
     """How many words fall into each bin, 255 at most."""
-    return np.minimum(np.bincount((values % np.uint64(BINS)).astype(np.int64), minlength=BINS), 255).astype(np.uint8)
+    return np.minimum(np.bincount((values % values.dtype.type(bins)).astype(np.int64), minlength=bins), 255).astype(np.uint8)
 
 
 def possible(one: np.ndarray, sizes_one: np.ndarray, others: np.ndarray, sizes: np.ndarray, threshold: float) -> np.ndarray:
@@ -132,8 +133,8 @@ def possible(one: np.ndarray, sizes_one: np.ndarray, others: np.ndarray, sizes:
     return np.maximum(np.maximum(apart, 0).sum(axis=1), np.maximum(-apart, 0).sum(axis=1)) <= limit
 
 
-def _possible_pairs(a: np.ndarray, sizes_a: np.ndarray, b: np.ndarray, sizes_b: np.ndarray, threshold: float) -> np.ndarray:
-    """`possible` for each row of a with each row of b, as a matrix."""
+def _possible_matrix(a: np.ndarray, sizes_a: np.ndarray, b: np.ndarray, sizes_b: np.ndarray, threshold: float) -> np.ndarray:
+    """`possible` for each row of a with each row of b."""
     a, b = np.ascontiguousarray(a.T, np.uint16), np.ascontiguousarray(b.T, np.uint16)
     both, one = np.zeros((a.shape[1], b.shape[1]), np.uint16), np.empty((a.shape[1], b.shape[1]), np.uint16)
     for x, y in zip(a, b):  # the sum of the larger count of each bin
@@ -143,6 +144,38 @@ def _possible_pairs(a: np.ndarray, sizes_a: np.ndarray, b: np.ndarray, sizes_b:
     return both - np.minimum(a.sum(axis=0, dtype=np.int64)[:, None], b.sum(axis=0, dtype=np.int64)) <= limit
 
 
+def possible_pairs(bounds: np.ndarray, odd: np.ndarray, side: np.ndarray, of: np.ndarray, size: np.ndarray, bins: np.ndarray, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of the same group that may be similar, of which one is odd, that are in
+    different components and not on the same side (unless that is 0)."""
+
+    def wanted(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+        return (odd[p] | odd[q]) & (of[p] != of[q]) & ((side[p] != side[q]) | (side[p] == 0))
+
+    n = np.diff(bounds)
+    small = n <= SMALL
+    for part in np.array_split(np.flatnonzero(small), max(1, int((n[small] ** 2).sum() // 2_000_000))):
+        rows = np.concatenate([np.arange(bounds[k], bounds[k + 1]) for k in part.tolist()]) if len(part) else np.empty(0, np.int64)
+        after = np.repeat(bounds[1:][part], n[part]) - rows - 1  # rows of the group that follow
+        p = np.repeat(rows, after)
+        q = p + 1 + np.arange(len(p)) - np.repeat(np.cumsum(after) - after, after)
+        good = wanted(p, q) & (np.minimum(size[p], size[q]) >= threshold * np.maximum(size[p], size[q]) - 1e-6)
+        p, q = p[good], q[good]
+        for k in range(0, len(p), 50_000):
+            x, y = p[k : k + 50_000], q[k : k + 50_000]
+            good = possible(bins[x], size[x], bins[y], size[y], threshold)
+            yield x[good], y[good]
+    for k in np.flatnonzero(~small).tolist():
+        rows = bounds[k] + np.argsort(size[bounds[k] : bounds[k + 1]], kind="stable")
+        for a in range(0, len(rows), ROWS):
+            # Others of about their lengths stand next to each other; pairs are taken once, by the shorter one.
+            p, q = rows[a : a + ROWS], rows[a:]
+            q = q[: np.searchsorted(size[q], size[p[-1]] / threshold + 1e-6, "right")]
+            i, j = np.nonzero(_possible_matrix(bins[p], size[p], bins[q], size[q], threshold))
+            x, y = p[i[i < j]], q[j[i < j]]
+            good = wanted(x, y)
+            yield x[good], y[good]
+
+
 def similar(a: np.ndarray, b: np.ndarray, threshold: float) -> bool:
     """Whether 1 - (edit distance of the words) / (longer length) reaches the threshold."""
     return within(a, b, edits_of(max(len(a), len(b)), threshold))
@@ -277,47 +310,29 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
 
 def _apart(inside: DataFrame, found: DataFrame, traits: DataFrame, threshold: float) -> DataFrame:
-    """Members (group, rep, of, odd) of buckets that may be similar to a member of the same
-    group that the links so far (found) leave apart.
+    """Members (group, rep, of, odd, side) of buckets that may be similar to a member of the
+    same group that the links so far (found) leave apart.
 
-    Members apart from their bucket's least member (odd) meet the others of the bucket whose
-    length is about theirs: those of the same or the next class of lengths, chunk by chunk.
+    Members apart from their bucket's least member (odd) meet the others of the bucket. A
+    bucket of more than CHUNK_COUNTS members is dealt in chunks, of which any two meet.
     """
     each = inside.join(found.withColumnRenamed("id", "rep"), "rep", "left").select("key", "least", "rep", F.coalesce("component", "rep").alias("of"))
     head = each.where("rep = least").select("key", F.col("of").alias("of_least"))
     each = spread_join(each.where("rep <> least"), head, ["key"], "rep").withColumn("odd", F.col("of") != F.col("of_least"))
-    mixed = each.groupBy("key").agg(F.min("of").alias("low"), F.max("of").alias("high"), F.max("odd").alias("any")).where("any and low <> high").select("key")
-    step = F.floor(F.log(F.col("size").cast("double")) / F.lit(-np.log(threshold)) + 1e-9).cast("int")
-    each = spread_join(each, mixed, ["key"], "rep").join(traits.select("rep", "size", "bins"), "rep").withColumn("step", step)
-    each = written(each.select("key", "rep", "of", "odd", "size", "bins", "step"), "odd")
-    sides = each.withColumn("odd", F.lit(False)).unionByName(each.where("odd").withColumn("step", F.explode(F.array(F.col("step") - 1, F.col("step"), F.col("step") + 1))))
-    size = sides.groupBy("key", "step").agg(F.count_if("odd").alias("n_odd"), F.count_if(~F.col("odd")).alias("n"), F.min("of").alias("low"), F.max("of").alias("high")).where("n > 0 and n_odd > 0 and low <> high")
-    chunks = lambda n: F.ceil(F.col(n) / CHUNK_COUNTS).cast("int")
-    sides = spread_join(sides, size.select("key", "step", chunks("n_odd").alias("m_odd"), chunks("n").alias("m")), ["key", "step"], "rep")
-    mine = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
-    all_of = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
-    sides = sides.withColumn("i", F.explode(F.when(F.col("odd"), F.array(mine("m_odd"))).otherwise(all_of("m_odd"))))
-    sides = sides.withColumn("j", F.explode(F.when(F.col("odd"), all_of("m")).otherwise(F.array(mine("m")))))
-    sides = sides.select(F.xxhash64("key", "step", "i", "j").alias("group"), "rep", "of", "odd", "size", "bins")
+    mixed = each.groupBy("key").agg(F.min("of").alias("low"), F.max("of").alias("high"), F.max("odd").alias("any"), F.ceil(F.count("*") / CHUNK_COUNTS).cast("int").alias("m")).where("any and low <> high").select("key", "m")
+    each = spread_join(each, mixed, ["key"], "rep").join(traits.select("rep", "size", "bins"), "rep")
+    each = each.withColumn("mine", F.pmod(F.xxhash64("rep"), "m").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
+    side = F.when(F.col("mine") == F.col("other"), 0).when(F.col("mine") < F.col("other"), 1).otherwise(2)
+    each = each.select(F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")).alias("group"), "rep", "of", "odd", side.alias("side"), "size", "bins")
 
     def may(table: pa.Table, bounds: np.ndarray) -> pa.Table:
-        of, odd, size, bins = table["of"].to_numpy(), table["odd"].to_numpy(zero_copy_only=False), table["size"].to_numpy(), _bins(table["bins"])
+        of, odd, side, size = (table[c].to_numpy(zero_copy_only=False) if c == "odd" else table[c].to_numpy() for c in ("of", "odd", "side", "size"))
         keep = np.zeros(len(of), bool)
-        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
-            left, right = a + np.flatnonzero(odd[a:b]), a + np.flatnonzero(~odd[a:b])
-            if not len(left) or not len(right):
-                continue
-            left, right = left[np.argsort(size[left], kind="stable")], right[np.argsort(size[right], kind="stable")]
-            for k in range(0, len(left), ROWS):
-                p = left[k : k + ROWS]
-                # Others of about their lengths stand next to each other.
-                q = right[np.searchsorted(size[right], threshold * size[p[0]] - 1e-6) : np.searchsorted(size[right], size[p[-1]] / threshold + 1e-6, "right")]
-                if len(q):
-                    i, j = np.nonzero(_possible_pairs(bins[p], size[p], bins[q], size[q], threshold) & (of[p][:, None] != of[q]))
-                    keep[p[i]] = keep[q[j]] = True
-        return table.select(["group", "rep", "of", "odd"]).filter(pa.array(keep))
-
-    return by_groups(sides, ["group"], may, "group long, rep long, of long, odd boolean")
+        for p, q in possible_pairs(bounds, odd, side, of, size, _bins(table["bins"]), threshold):
+            keep[p] = keep[q] = True
+        return table.select(["group", "rep", "of", "odd", "side"]).filter(pa.array(keep))
+
+    return by_groups(each, ["group"], may, "group long, rep long, of long, odd boolean, side int")
 
 
 def _linked(apart: DataFrame, threshold: float) -> DataFrame:
@@ -325,27 +340,23 @@ def _linked(apart: DataFrame, threshold: float) -> DataFrame:
     set that is newly linked."""
 
     def compare(table: pa.Table, bounds: np.ndarray) -> pa.Table:
-        of, odd = table["of"].to_pylist(), table["odd"].to_pylist()
+        of, side, odd = table["of"].to_numpy(), table["side"].to_numpy(), table["odd"].to_numpy(zero_copy_only=False)
         words = [_read(w) for w in table["words"].to_pylist()]
-        stars = []
-        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
-            root = {c: c for c in of[a:b]}
-
-            def find(x: int) -> int:
-                while root[x] != x:
-                    root[x] = x = root[root[x]]
-                return x
-
-            bins = np.array([counts(words[k]) for k in range(a, b)])
-            sizes = np.array([len(words[k]) for k in range(a, b)])
-            right = np.array([k for k in range(a, b) if not odd[k]], np.int64)
-            for k in [k for k in range(a, b) if odd[k]]:
-                good = possible(bins[k - a], sizes[k - a], bins[right - a], sizes[right - a], threshold)
-                for o in right[good].tolist():
-                    if find(of[o]) != find(of[k]) and similar(words[k], words[o], threshold):
-                        x, y = sorted((find(of[o]), find(of[k])))
-                        root[y] = x
-            stars += [(find(c), c) for c in root if find(c) != c]
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        bins = np.array([counts(w, MORE_BINS) for w in words])
+        root = {c: c for c in of.tolist()}
+
+        def find(x: int) -> int:
+            while root[x] != x:
+                root[x] = x = root[root[x]]
+            return x
+
+        for p, q in possible_pairs(bounds, odd, side, of, size, bins, threshold):
+            for i, j in zip(p.tolist(), q.tolist()):
+                x, y = sorted((find(int(of[i])), find(int(of[j]))))
+                if x != y and similar(words[i], words[j], threshold):
+                    root[y] = x
+        stars = [(find(c), c) for c in root if find(c) != c]
         return pa.table({"a": pa.array([x for x, _ in stars], pa.int64()), "b": pa.array([y for _, y in stars], pa.int64())})
 
-    return by_groups(apart.select("group", "rep", "of", "odd", "words"), ["group"], compare, "a long, b long")
+    return by_groups(apart.select("group", "rep", "of", "odd", "side", "words"), ["group"], compare, "a long, b long")
