@@ -3,10 +3,11 @@
 Normalised vectors are projected on random Gaussian directions; the quantised values of
 a few directions together are a bucket, and there are many tables of buckets. Vectors at
 a cosine of 0.98 are 0.2 apart and share a bucket of one table or another with a
-probability of 0.999 (see `tables_for`). Vectors that share a bucket are compared exactly,
-in double precision, by blocks of bounded size: no pair is ever a row. What leaves a
-block is a count for each vector and a star for each linked set. Equal vectors are one
-from the start.
+probability of 0.9995 (see `tables_for`). Buckets of the same members are one, so that
+near copies, which share most of their tables, move once. Vectors that share a bucket are
+compared exactly, in double precision, by blocks of bounded size: no pair is ever a row.
+What leaves a block is a count for each vector and a star for each linked set. Equal
+vectors of a label are one from the start.
 """
 
 from __future__ import annotations
@@ -19,13 +20,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import by_groups, spread_join, written
 from .components import components
 
 DIRECTIONS = 12  # in a bucket
 WIDTH = 1.6  # of a quantised step
 RECALL = 0.9995  # of pairs right at the threshold
 CHUNK = 512
+#: Pairs of which the tables are compared at once.
+PAIRS = 200_000
 
 
 def agreement(distance: float, width: float = WIDTH) -> float:
@@ -54,61 +57,82 @@ def buckets_of(vectors: np.ndarray, tables: int, directions: int = DIRECTIONS, w
 
 
 def _hashed(tables: int):  # noqa: ANN202
+    """(rep, h, copies, label_a, label_b, vector) to the same with the normalised vector as
+    bytes and its bucket in each table."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column(1)
+            lists = batch["vector"]
             sizes = np.diff(lists.offsets.to_numpy())
             flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
             starts = np.concatenate(([0], np.cumsum(sizes)))
             keys = np.zeros((len(sizes), tables), np.int64)
+            units: list[bytes] = [b""] * len(sizes)
             for size in np.unique(sizes):
                 at = np.flatnonzero(sizes == size)
                 x = flat[starts[at][:, None] + np.arange(size)]
                 x = x / np.abs(x).max(axis=1, keepdims=True)
-                keys[at] = buckets_of(x / np.linalg.norm(x, axis=1, keepdims=True), tables)
+                x = x / np.linalg.norm(x, axis=1, keepdims=True)
+                keys[at] = buckets_of(x, tables)
+                for k, row in zip(at.tolist(), x):
+                    units[k] = row.tobytes()
             column = pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1) * tables, pa.int32()), pa.array(keys.reshape(-1)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), column], names=["rep", "keys"])
+            names = ["rep", "h", "copies", "label_a", "label_b"]
+            yield pa.RecordBatch.from_arrays([*(batch[n] for n in names), pa.array(units, pa.binary()), column], names=[*names, "unit", "keys"])
 
     return run
 
 
+def _rooted(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The least of the n nodes that links (i, j) lead to from each node."""
+    least = np.arange(n)
+    while True:
+        low = np.minimum(least[i], least[j])
+        new = least.copy()
+        np.minimum.at(new, i, low)
+        np.minimum.at(new, j, low)
+        new = new[new]
+        if (new == least).all():
+            return least
+        least = new
+
+
 def _compare(threshold: float):  # noqa: ANN202
-    def run(key: tuple, group: pa.Table) -> pa.Table:
-        nth = key[0].as_py()
-        rows = group.combine_chunks()
-        rep, copies = rows["rep"].to_numpy(), rows["copies"].to_numpy()
-        side = rows["side"].to_numpy()
-        x = [np.array(v, np.float64) for v in rows["vector"].to_pylist()]
-        keys = np.array(rows["keys"].to_pylist(), np.int64).reshape(len(rep), -1)
-        links: dict[int, int] = {}
-        root = {r: r for r in rep.tolist()}
-
-        def find(r: int) -> int:
-            while root[r] != r:
-                root[r] = r = root[root[r]]
-            return r
-
-        for size in {len(v) for v in x}:
-            at = np.array([k for k, v in enumerate(x) if len(v) == size])
-            m = np.stack([x[k] for k in at])
-            m = m / np.abs(m).max(axis=1, keepdims=True)
-            m = m / np.linalg.norm(m, axis=1, keepdims=True)
-            left, right = at[side[at] == 0], at[side[at] != 0]
-            a, b = m[side[at] == 0], m[side[at] != 0]
-            if not len(right):  # both chunks are the same one
-                right, b = left, a
-            close = a @ b.T >= threshold
-            close &= rep[left][:, None] < rep[right][None] if right is left else rep[left][:, None] != rep[right][None]
-            i, j = np.nonzero(close)
-            if nth and len(i):  # a pair counts in the first table that it shares
-                fresh = ~(keys[left[i], :nth] == keys[right[j], :nth]).any(axis=1)
-                i, j = i[fresh], j[fresh]
-            for u, v, cu, cv in zip(rep[left[i]].tolist(), rep[right[j]].tolist(), copies[left[i]].tolist(), copies[right[j]].tolist()):
-                links[u], links[v] = links.get(u, 0) + cv, links.get(v, 0) + cu
-                p, q = sorted((find(u), find(v)))
-                root[q] = p
-        ids = list(links)
-        return pa.table({"rep": pa.array(ids, pa.int64()), "n": pa.array([links[r] for r in ids], pa.int64()), "root": pa.array([find(r) for r in ids], pa.int64())})
+    def run(table: pa.Table, bounds: np.ndarray) -> pa.Table:
+        rep, h, copies, nth, side, label = (table[c].to_numpy() for c in ("rep", "h", "copies", "nth", "side", "label_b"))
+        one_chunk = table["one_chunk"].to_numpy(zero_copy_only=False)
+        units = table["unit"].to_pylist()
+        keys = table["keys"].combine_chunks()
+        keys = keys.flatten().to_numpy().reshape(len(rep), -1)
+        out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for first, last in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+            sizes = np.fromiter(map(len, units[first:last]), np.int64, last - first)
+            for size in np.unique(sizes):
+                at = first + np.flatnonzero(sizes == size)
+                m = np.frombuffer(b"".join([units[k] for k in at.tolist()])).reshape(len(at), -1)
+                if one_chunk[first]:
+                    left = right = at
+                    close = np.triu(m @ m.T >= threshold, 1)
+                else:
+                    left, right = at[side[at] == 0], at[side[at] != 0]
+                    close = m[side[at] == 0] @ m[side[at] != 0].T >= threshold
+                close &= label[left][:, None] == label[right]
+                i, j = np.nonzero(close)
+                if not len(i):
+                    continue
+                i, j = left[i], right[j]
+                root = _rooted(last - first, i - first, j - first)
+                fresh = np.ones(len(i), bool)
+                if nth[first]:  # a pair counts in the first table that it shares
+                    for k in range(0, len(i), PAIRS):
+                        p, q = i[k : k + PAIRS], j[k : k + PAIRS]
+                        fresh[k : k + PAIRS] = ~(keys[p, : nth[first]] == keys[q, : nth[first]]).any(axis=1)
+                i, j = i[fresh] - first, j[fresh] - first
+                n = np.bincount(i, copies[first + j], last - first) + np.bincount(j, copies[first + i], last - first)
+                linked = np.flatnonzero((n > 0) | (root != np.arange(last - first)))
+                out.append((first + linked, n[linked].astype(np.int64), first + root[linked]))
+        at, n, root = (np.concatenate(x) for x in zip(*out)) if out else (np.empty(0, np.int64),) * 3
+        return pa.table({"rep": pa.array(rep[at], pa.int64()), "h": pa.array(h[at], pa.int64()), "n": pa.array(n, pa.int64()), "root_rep": pa.array(rep[root], pa.int64()), "root_h": pa.array(h[root], pa.int64())})
 
     return run
 
@@ -117,33 +141,45 @@ def near_vectors(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str
     """One row (id, n_links, component_id, kept) for each row of vectors.
 
     Two vectors of the same length and the same label (not null) link if their cosine is at
-    least threshold. n_links counts the other rows linked directly, component_id is the
-    least id that links lead to, itself included, kept marks the row with that id. Vectors
-    that are null, empty or zero, that hold nulls, NaN or infinite components, or whose
-    label or id is null link with nothing. Rows with the same id are different vectors.
-    Other columns play no part.
+    least threshold (a tie links). n_links counts the other rows linked directly,
+    component_id is the least id that links lead to, itself included, kept marks the row with
+    that id. Vectors that are null, empty or zero, that hold nulls, NaN or infinite
+    components, or whose label or id is null link with nothing. Rows with the same id are
+    different vectors, each with links of its own. An empty table gives no rows. Other
+    columns play no part, whatever their names.
     """
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vector"), F.col(label_col).alias("label"))
     fine = F.col("id").isNotNull() & F.col("label").isNotNull() & F.exists("vector", lambda v: v != 0) & F.forall("vector", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf")))
     good = rows.where(F.coalesce(fine, F.lit(False))).select("id", "label", F.transform("vector", lambda v: v + F.lit(0.0)).alias("vector"))
     tables = tables_for(threshold, recall)
-    classes = good.groupBy("label", "vector").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
-    keys = classes.select("rep", "vector").mapInArrow(_hashed(tables), "rep long, keys array<long>")
-    classes = written(classes.join(keys, "rep"), "vectors")
-
-    held = classes.select("label", "rep", F.posexplode("keys").alias("nth", "bucket"))
-    full = held.groupBy("nth", "label", "bucket").agg(F.count("*").alias("size")).where("size > 1")
-    inside = held.join(full, ["nth", "label", "bucket"])
+    # A class is the equal vectors of a label. Its node (least id, hash) is its own even where ids repeat.
+    good = good.withColumn("h", F.xxhash64("label", "vector"))
+    classes = good.groupBy("label", "vector", "h").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
+    classes = classes.select("rep", "h", "copies", F.xxhash64("label").alias("label_a"), F.xxhash64(F.lit(1), "label").alias("label_b"), "vector")
+    classes = written(classes.mapInArrow(_hashed(tables), "rep long, h long, copies long, label_a long, label_b long, unit binary, keys array<long>"), "vectors")
+
+    held = classes.select("rep", "h", F.posexplode("keys").alias("nth", "bucket"), "label_a").select("rep", "h", "nth", F.xxhash64("label_a", "bucket").alias("bucket"))
+    full = held.groupBy("nth", "bucket").agg(F.count("*").alias("size"), F.bit_xor(F.xxhash64("rep", "h")).alias("f"), F.bit_xor(F.xxhash64(F.lit(7), "rep", "h")).alias("g")).where("size > 1")
+    full = full.groupBy("size", "f", "g").agg(F.min(F.struct("nth", "bucket")).alias("b")).select("b.nth", "b.bucket", "size")
+    inside = spread_join(held, full, ["nth", "bucket"], "rep")
     chunks = F.ceil(F.col("size") / CHUNK).cast("int")
-    inside = inside.select("nth", "label", "bucket", "rep", chunks.alias("m"), F.pmod(F.xxhash64("rep"), chunks).cast("int").alias("mine"))
+    inside = inside.select("nth", "bucket", "rep", "h", chunks.alias("m"), F.pmod(F.xxhash64("rep", "h"), chunks).cast("int").alias("mine"))
     inside = inside.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
-    dealt = inside.select("nth", "label", "bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), (F.col("mine") > F.col("other")).cast("int").alias("side"), "rep")
-    dealt = dealt.join(classes.select("rep", "copies", "vector", "keys"), "rep")
-    found = written(dealt.groupBy("nth", "label", "bucket", "i", "j").applyInArrow(_compare(threshold), "rep long, n long, root long"), "near")
-
-    linked = found.groupBy("rep").agg(F.sum("n").alias("n"))
-    comps = components(found.select(F.col("root").alias("a"), F.col("rep").alias("b")))
-    per_class = classes.select("rep", "label", "vector", "copies").join(linked, "rep", "left").join(comps, F.col("rep") == F.col("id"), "left").select("label", "vector", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n"), F.coalesce("component", "rep").alias("c"))
-    of_row = good.join(per_class, ["label", "vector"]).select("id", "n", "c")
+    dealt = inside.select("nth", "bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), (F.col("mine") > F.col("other")).cast("int").alias("side"), (F.col("mine") == F.col("other")).alias("one_chunk"), "rep", "h")
+    dealt = dealt.withColumn("group", F.xxhash64("nth", "bucket", "i", "j")).join(classes.select("rep", "h", "copies", "label_b", "unit", "keys"), ["rep", "h"])
+    found = written(by_groups(dealt.select("group", "nth", "side", "one_chunk", "rep", "h", "copies", "label_b", "unit", "keys"), ["group"], _compare(threshold), "rep long, h long, n long, root_rep long, root_h long"), "near")
+
+    node = F.struct("rep", "h")
+    linked = found.groupBy("rep", "h").agg(F.sum("n").alias("n"))
+    comps = components(found.select(F.struct(F.col("root_rep").alias("rep"), F.col("root_h").alias("h")).alias("a"), node.alias("b")))
+    comps = comps.select("id.rep", "id.h", F.col("component.rep").alias("c"))
+    per_class = classes.select("rep", "h", "copies").join(linked, ["rep", "h"], "left").join(comps, ["rep", "h"], "left")
+    per_class = per_class.select("rep", "h", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n"), F.coalesce("c", "rep").alias("c"))
+    # Rows find their class by label and vector; their least id and the hash stand for both.
+    of_row = good.select("id", "h", "label", "vector").join(_least(good), ["h", "label", "vector"]).join(per_class, ["rep", "h"]).select("id", "n", "c")
     alone = rows.where(~F.coalesce(fine, F.lit(False))).select("id", F.lit(0).cast("long").alias("n"), F.col("id").alias("c"))
     return of_row.unionByName(alone).select(F.col("id").alias(id_col), F.col("n").alias("n_links"), F.col("c").alias("component_id"), F.coalesce(F.col("id") == F.col("c"), F.lit(True)).alias("kept"))
+
+
+def _least(good: DataFrame) -> DataFrame:
+    return good.groupBy("h", "label", "vector").agg(F.min("id").alias("rep"))
