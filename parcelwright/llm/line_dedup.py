@@ -1,9 +1,10 @@
 """Line dedup: lines that many documents share stay in one of them only.
 
 Built from DataFrame functions alone. Only 128-bit keys of the long lines are dealt
-out by line, counted with partial aggregation, so a line that half of all documents
-hold is a handful of rows by the time it meets in one task. Texts move once, to meet
-the list of their own dropped keys.
+out by line. They are counted with partial aggregation, so a line that half of all
+documents hold is a handful of rows by then; documents find their shared lines in a join
+that spreads each line over several tasks. Texts move once, to meet the list of their own
+dropped keys.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import without
+from .common import spread_join, without
 
 # The white space that is stripped from both ends of a line ([\x20\x09-\x0D]).
 BLANKS = " \t\n\x0b\x0c\r"
@@ -40,7 +41,8 @@ def line_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     of at least min_chars code points found in at least min_docs documents loses all its
     lines except those of the largest id that holds it; other lines stay, joined by \\n.
 
-    A null or empty text is one empty line and comes back as "". Rows with the same id
+    A null or empty text is one empty line and comes back as "". Texts of any length that
+    fits in a row are split whole; an empty table gives no rows. Rows with the same id
     count as one document and each gets the same treatment; a row without id counts for
     no document and keeps all its lines. Other columns pass through; columns already
     named n_lines or n_dropped are replaced.
@@ -54,7 +56,7 @@ def line_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     )
     shared = held.groupBy("a", "b").agg(F.count_distinct("id").alias("n"), F.max("id").alias("last")).where(F.col("n") >= min_docs)
     gone = (
-        held.join(shared.select("a", "b", "last"), ["a", "b"])
+        spread_join(held, shared.select("a", "b", "last"), ["a", "b"], "id")
         .where(F.col("id") != F.col("last"))
         .groupBy(F.col("id").alias("__ld_id"))
         .agg(F.collect_set(F.struct("a", "b")).alias("__ld_gone"))
