@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, written
+from .common import held_out, thinned, written
 from .gbt import fit
 
 MAX_ROWS = 20_000
@@ -75,15 +75,20 @@ def score_quality(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id",
 
     The trees learn from at most max_rows labelled documents that are not held out (those
     of the least hash of the id; see common.held_out). predicted is 1 where the score
-    reaches threshold. A null text is scored as an empty one. Of several labels of an id the
+    reaches threshold (a tie counts). A null text is scored as an empty one, a text of any
+    length as a whole; a row without id is scored, and teaches nothing. Of several labels of an id the
     largest counts; null labels and labels without a document are left out. Without any
-    label every score is 0.5. Repeated rows are scored alike; other columns play no part.
+    label every score is 0.5. Repeated rows are scored alike and count once in training; an
+    empty table gives no rows; other columns play no part, whatever their names.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     x = written(rows.mapInArrow(_measure, "id long, x array<float>"), "quality")
     known = labels.where(F.col(label_col).isNotNull()).groupBy(F.col(id_col).cast("long").alias("id")).agg(F.max(label_col).alias("y")).where(~held_out(F.col("id")))
-    sample = x.join(known, "id").orderBy(F.xxhash64("id"), "id").limit(max_rows).toPandas()
+    # A little over max_rows labels pass the hash, so they may be broadcast whatever the corpus,
+    # and what partitions send to the driver is bounded by them all together.
+    some = written(thinned(known, known.count(), max_rows, F.col("id")), "quality_labels")
+    sample = x.join(F.broadcast(some), "id").dropDuplicates(["id", "x"]).orderBy(F.xxhash64("id"), "id", "x").limit(max_rows).toPandas()
     trees = fit(np.stack(sample["x"]).astype(np.float64) if len(sample) else np.zeros((0, len(NAMES))), (sample["y"] > 0).to_numpy(np.float64))
     model = spark.sparkContext.broadcast(trees)
 
