@@ -53,6 +53,13 @@ def script_of(word: str) -> int:
     return SCRIPT_NAMES.index(SCRIPTS[bisect_right(SCRIPT_STARTS, ord(word[0])) - 1][1])
 
 
+def words_of(text: str) -> list[str]:
+    """The words of a text, each in lower case."""
+    low = text.lower()
+    # A letter may become several in lower case; words are then cut from the text as it is.
+    return WORD.findall(low) if len(low) == len(text) else [w.lower() for w in WORD.findall(text)]
+
+
 def grams(words: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """For each order the hashed n-grams of all words, and the word of each."""
     text = "".join(f"\x02{w}\x03" for w in words)
@@ -130,7 +137,7 @@ def _counted(languages: list[str]):  # noqa: ANN202
             held: dict[int, dict] = defaultdict(lambda: defaultdict(int))
             for text, lang in zip(batch.column(0), batch.column(1).to_pylist()):
                 words = held[languages.index(lang)]
-                for w in WORD.findall((text.as_py() or "").lower()):
+                for w in words_of(text.as_py() or ""):
                     words[w] += 1
             for k, words in held.items():
                 if not words:
@@ -180,7 +187,7 @@ def _label(text: str, words: list[str], codes: np.ndarray, scores: np.ndarray, l
         return languages[path], float(1 / np.exp(np.minimum(total - total[path], 700)).sum()), [{"start": 0, "end": len(text), "lang": languages[path]}]
     letters = np.bincount(path, np.fromiter(map(len, words), np.int64, len(words)), len(languages))
     best = int(letters.argmax())
-    places = [m.span() for m in WORD.finditer(text.lower())]
+    places = [m.span() for m in WORD.finditer(text)]
     cuts = [0, *(np.flatnonzero(np.diff(path)) + 1).tolist(), len(path)]
     spans = [{"start": places[a][0], "end": places[b - 1][1], "lang": languages[path[a]]} for a, b in zip(cuts[:-1], cuts[1:])]
     return languages[best], float(letters[best] / letters.sum()), spans
@@ -197,7 +204,7 @@ def _predicted(shared, switch: float):  # noqa: ANN001, ANN202
                 if len(index) > REMEMBERED:
                     index, scores = defaultdict(count().__next__), scores[:0]
                 part = texts[a : a + 500]
-                words = [WORD.findall(t.lower()) for t in part]
+                words = [words_of(t) for t in part]
                 codes = [np.fromiter(map(index.__getitem__, w), np.int64, len(w)) for w in words]
                 new = list(index)[len(scores) :]
                 if new:
@@ -215,9 +222,11 @@ def identify(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     The model learns from at most max_rows documents with a language that are not held out
     (see common.held_out). lang_pred is the language with most letters on the best path,
     score the share of them (for text in one language its posterior), spans the stretches
-    (start, end, lang) in code points. A text that is null or has no letter is "und" with
-    score 0 and no spans, and so is every text if no language was learned. Repeated rows
-    are labelled alike; other columns play no part.
+    (start, end, lang) in code points of the text as it is. Of languages of equal score the
+    first by name is taken. A text that is null or has no letter is "und" with score 0 and no
+    spans, and so is every text if no language was learned. A text of any length is read as a
+    whole. A row without id is labelled, and teaches nothing. Repeated rows are labelled
+    alike; an empty table gives no rows; other columns play no part, whatever their names.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
