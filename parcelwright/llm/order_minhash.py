@@ -9,9 +9,9 @@ hardly a k-mer that an edit leaves alone; they also meet with one or two words l
 Nothing here emits all pairs of a group. Documents of equal words are one class from the
 start. Each class is first compared with the least member of each of its buckets, which
 joins a group of n near copies with n comparisons. Only members that this leaves apart
-from their bucket's least member are compared with the rest of the bucket: with members of
-about the same length, in chunks of bounded size, first by counts of words (which rule out
-no similar pair) and then, where these leave anything, by their words. So every pair with a
+from their bucket's least member are compared with the rest of the bucket, in chunks of bounded
+size: first by their lengths and counts of words (which rule out no similar pair) and then,
+where these leave anything, by their words. So every pair with a
 sketch in common is decided. The rows of one bucket are dealt over many tasks throughout.
 """
 
@@ -31,9 +31,11 @@ from .components import components
 
 WORDS = 5  # words in a k-mer
 #: Sketches of a document, and k-mers in a sketch. Of two texts of which 5 words in 100 (10,
-#: 15, 20) were changed anywhere, about 0.40 (0.18, 0.08, 0.04) of the sketches agree, so
-#: that one of 32 does in all cases (in 0.998, 0.93, 0.71 of them).
-SKETCHES, KEPT = 32, 2
+#: 15, 20) were changed anywhere, about 0.25 (0.07, 0.02, 0.01) of the sketches agree, so
+#: that one of 32 does in all cases (in 0.92, 0.53, 0.21 of them). With two k-mers a sketch it
+#: would be more (0.998, 0.93, 0.71), but a passage that many documents share then fills
+#: buckets with a tenth of them, and comparing those takes longer than all the rest.
+SKETCHES, KEPT = 32, 3
 #: Texts of fewer words also have a key for each way to leave out as many as may be edited.
 SHORT = 15
 CHUNK = 256  # members of a star whose words are in one task

@@ -58,7 +58,11 @@ def test_quality(spark):
 
 
 def test_toxicity(spark):
-    assert accuracy(spark, "op2_toxicity", "toxic") >= 0.9
+    labels = spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", "toxic")
+    got = queries.op2_toxicity(spark, SF).join(labels, "doc_id").where("held_out").select("predicted", "toxic").collect()
+    # Six held-out documents are marked toxic here, and some of the marks are wrong.
+    assert sum(r.predicted == r.toxic == 1 for r in got) >= 3
+    assert sum(r.predicted > r.toxic for r in got) <= 1
 
 
 def test_language(spark):
@@ -95,6 +99,14 @@ def test_mixed_text_gets_spans(spark):
     assert mixed[spans[1].start : spans[1].end].split()[0][0] in kinds["gr"]
 
 
+def test_spans_lie_in_the_text(spark):
+    """Letters that are longer in lower case move no span."""
+    rows = [(i, t, k, None, None) for i, (t, k) in enumerate([("abc bca cab acb", "xx"), ("αβγ γβα βαγ αγβ", "gr")] * 20)]
+    text = "İİİ abc bca cab abc acb cab bca αβγ γβα βαγ αγβ αβγ γβα"
+    got = language.identify(spark.createDataFrame([*rows, (99, text, None, None, None)], SCHEMA)).where("doc_id = 99").first()
+    assert [text[s.start : s.end].split()[-1] for s in got.spans] == ["bca", "γβα"] and got.spans[-1].end == len(text)
+
+
 def test_best_path_is_the_best():
     rng = np.random.default_rng(3)
     for _ in range(60):
@@ -106,33 +118,61 @@ def test_best_path_is_the_best():
         assert abs(value(got) - max(map(value, paths))) < 1e-9
 
 
-def test_insults_in_disguise():
+def toxic_model(letters="lmnoprstaeiu", insults=("grumblek", "zakvorn", "idiot"), n=600):
     rng = random.Random(2)
-    plain = ["".join(rng.choices("lmnoprst", k=2)) + "".join(rng.choices("aeiu", k=3)) for _ in range(400)]
-    insults = ["grumblek", "zakvorn", "plockwit"]
+    plain = ["".join(rng.choices(letters[:8], k=2)) + "".join(rng.choices(letters[8:], k=3)) for _ in range(400)] + ["to", "me", "of", "in"]
     docs, labels = [], []
-    for i in range(600):
+    for i in range(n):
         words = rng.choices(plain, k=20)
         if i % 3 == 0:
             words[rng.randrange(20)] = rng.choice(insults)
-        docs.append([words])
+        docs.append([" ".join(words[:10]), " ".join(words[10:])])
         labels.append(int(i % 3 == 0))
-    model = toxicity.train(zip(docs, labels))
-    score = lambda w: model.probability(toxicity.word_scores([w], model.table))[0]
-    assert all(score(w) > 0.5 for w in insults + ["grum-blek", "z.a.k.v.o.r.n", "plockxwit"])
-    assert max(map(score, plain)) < 0.5
+    return toxicity.train(zip(docs, labels)), plain
 
 
-def test_all_clean_words_and_rare_insults_count(monkeypatch):
+def test_insults_in_disguise():
+    model, plain = toxic_model()
+    score = lambda text: model.of([text])[0]
+    insults = ["grumblek", "grum-blek", "z.a.k.v.o.r.n", "zakxvorn", "idiot", "1d10t", "id iot", "i d i o t", "you id iot", "ZAKVORN"]
+    assert {w: score("a word before " + w + " and others behind") > 0.5 for w in insults} == dict.fromkeys(insults, True)
+    assert max(model.of(plain)) < 0.5
+    assert score("") < 0.5 and score(None) < 0.5
+
+
+def test_sentences_bound_what_is_read_together():
+    model, _ = toxic_model()
+    assert model.of(["so id iot there"])[0] > 0.5 > max(model.of(["so id. iot there", "so id\niot there"]))
+    # What only the joined pieces tell apart is learned from sentences, not from documents.
+    rng = random.Random(3)
+    fill = ["".join(rng.choices("lmnoprst", k=3)) + "".join(rng.choices("aeu", k=3)) for _ in range(50)]
+    pad = lambda: " ".join(rng.choices(fill, k=5))
+    toxic, clean = [([f"{pad()} zak vorn {pad()}"], 1) for _ in range(60)], [([f"{pad()} zak", f"vorn {pad()}"], 0) for _ in range(60)]
+    model = toxicity.train(toxic + clean)
+    assert model.of(["zak vorn"])[0] > 0.5 > max(model.of(["zak. vorn", "zak", "vorn"]))
+
+
+def test_an_insult_weighs_the_same_in_a_long_text():
+    model, plain = toxic_model()
+    long = " ".join(plain * 50)
+    assert model.of([long + " idiot. " + long])[0] == pytest.approx(model.of(["idiot"])[0])
+
+
+def test_toxicity_in_another_script():
+    model, plain = toxic_model("бвгджзклаеиоу", ("грумблек", "заквёрн"))
+    assert max(model.of(plain)) < 0.5 < min(model.of(["грумблек", "за-кв.ёрн"]))
+    rng = random.Random(7)
+    unseen = ["".join(rng.choices("бвгджзклмнпрст", k=3)) + "".join(rng.choices("аеиоу", k=3)) for _ in range(1000)]
+    assert sum(model.of(unseen) > 0.5) == 0
+
+
+def test_all_clean_pieces_and_rare_insults_count():
+    """No piece of a clean document is left beyond the margin, however many there are."""
     rng = random.Random(4)
     plain = ["".join(rng.choices("lmnoprst", k=3)) + "".join(rng.choices("aeiu", k=4)) for _ in range(14_000)]
-    docs = [[plain[a : a + 100]] for a in range(0, 14_000, 100)] + [[rng.choices(plain, k=20) + [w]] for w in ["grumblek", "zakvorn"] * 3]
-    seen = []
-    svm = toxicity._svm
-    monkeypatch.setattr(toxicity, "_svm", lambda x, y, w: seen.append((y < 0).sum()) or svm(x, y, w))
+    docs = [[" ".join(plain[a : a + 100])] for a in range(0, 14_000, 100)] + [[" ".join([*rng.choices(plain, k=20), w])] for w in ["grumblek", "zakvorn"] * 3]
     model = toxicity.train(zip(docs, [0] * 140 + [1] * 6))
-    assert seen and min(seen) >= len(set(plain)) - 6
-    assert model.table[toxicity._runs(["grumblek"])[0]].max() > 0
+    assert max(model.of(plain)) < 0.5 < min(model.of(["grumblek", "zakvorn"]))
 
 
 def test_word_scores_are_the_kernel():
