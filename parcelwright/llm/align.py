@@ -37,10 +37,26 @@ def banded(a: np.ndarray, b: np.ndarray, band: int) -> int:
     return int(min(row[m - n + band], band + 1))
 
 
-def _matched(a: np.ndarray, b: np.ndarray) -> int:
-    """An upper bound of the edit distance, from values that stand once in both in the same order."""
-    ua, ia, ca = np.unique(a, return_index=True, return_counts=True)
-    ub, ib, cb = np.unique(b, return_index=True, return_counts=True)
+def _runs(a: np.ndarray, k: int) -> np.ndarray:
+    """A hash for each run of k values."""
+    out = np.zeros(len(a) - k + 1, np.uint64)
+    for i in range(k):
+        out = (out ^ a[i : len(a) - k + 1 + i].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(29)
+    return out
+
+
+def _bag_distance(a: np.ndarray, b: np.ndarray) -> int:
+    """How many values one sequence has beyond the other, whatever their order."""
+    _, n = np.unique(np.concatenate((a, b)), return_inverse=True)
+    apart = np.bincount(n[: len(a)], minlength=len(a) + len(b)) - np.bincount(n[len(a) :], minlength=len(a) + len(b))
+    return int(max(np.maximum(apart, 0).sum(), np.maximum(-apart, 0).sum()))
+
+
+def _matched(a: np.ndarray, b: np.ndarray, k: int) -> int:
+    """An upper bound of the edit distance, from runs of k values that stand once in both in the same order."""
+    ua, ia, ca = np.unique(_runs(a, k), return_index=True, return_counts=True)
+    ub, ib, cb = np.unique(_runs(b, k), return_index=True, return_counts=True)
     common, x, y = np.intersect1d(ua[ca == 1], ub[cb == 1], assume_unique=True, return_indices=True)
     if not len(common):
         return max(len(a), len(b))
@@ -49,15 +65,20 @@ def _matched(a: np.ndarray, b: np.ndarray) -> int:
     pa, pb = pa[order], pb[order]
     if (np.diff(pb) < 0).any():  # the longest rising run of positions
         tails, at, back = [], [], np.full(len(pb), -1)
-        for k, v in enumerate(pb.tolist()):
+        for n, v in enumerate(pb.tolist()):
             j = bisect_left(tails, v)
-            tails[j : j + 1], at[j : j + 1] = [v], [k]
-            back[k] = at[j - 1] if j else -1
-        keep, k = [], at[-1]
-        while k >= 0:
-            keep.append(k)
-            k = back[k]
+            tails[j : j + 1], at[j : j + 1] = [v], [n]
+            back[n] = at[j - 1] if j else -1
+        keep, n = [], at[-1]
+        while n >= 0:
+            keep.append(n)
+            n = back[n]
         pa, pb = pa[keep[::-1]], pb[keep[::-1]]
+    # Each value of a run is matched, as far as the runs agree on it.
+    pa, first = np.unique((pa[:, None] + np.arange(k)).reshape(-1), return_index=True)
+    pb = (pb[:, None] + np.arange(k)).reshape(-1)[first]
+    rising = np.concatenate(([True], pb[1:] > np.maximum.accumulate(pb)[:-1]))
+    pa, pb = pa[rising], pb[rising]
     gaps = np.maximum(np.diff(pa, prepend=-1, append=len(a)), np.diff(pb, prepend=-1, append=len(b))) - 1
     return int(gaps.sum())
 
@@ -77,11 +98,12 @@ def within(a: np.ndarray, b: np.ndarray, limit: int) -> bool:
     a, b = a[: len(a) - tail], b[: len(b) - tail]
     if max(len(a), len(b)) <= limit:
         return True
-    values, n = np.unique(np.concatenate((a, b)), return_inverse=True)
-    na, nb = np.bincount(n[: len(a)], minlength=len(values)), np.bincount(n[len(a) :], minlength=len(values))
-    if max(np.maximum(na - nb, 0).sum(), np.maximum(nb - na, 0).sum()) > limit:
+    if _bag_distance(a, b) > limit:
+        return False
+    # An edit takes two neighbours from their places at most.
+    if min(len(a), len(b)) > 2 and _bag_distance(_runs(a, 2), _runs(b, 2)) > 2 * limit:
         return False
-    if _matched(a, b) <= limit:
+    if min(len(a), len(b)) > 3 and min(_matched(a, b, 3), _matched(a, b, 1)) <= limit:
         return True
     band = 16
     while band < limit:
