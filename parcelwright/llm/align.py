@@ -37,6 +37,42 @@ def banded(a: np.ndarray, b: np.ndarray, band: int) -> int:
     return int(min(row[m - n + band], band + 1))
 
 
+#: Cells of a band that are held at once.
+CELLS = 400_000
+
+
+def within_many(a: np.ndarray, others: list[np.ndarray], limits: np.ndarray) -> np.ndarray:
+    """Whether the edit distance of a and each of others is at most its limit, in one band for all."""
+    out = np.zeros(len(others), bool)
+    sizes = np.fromiter(map(len, others), np.int64, len(others))
+    left = np.flatnonzero(np.abs(sizes - len(a)) <= limits)
+    if not len(left):
+        return out
+    n, band = len(a), max(1, int(limits[left].max()))
+    width, far = 2 * band + 1, np.int32(1 << 28)
+    offset = np.arange(width, dtype=np.int32)
+    for part in np.array_split(left, -(-len(left) * width // CELLS)):
+        b = np.full((len(part), n + 2 * band + 1), -1, np.int64)
+        for k, o in enumerate(part.tolist()):
+            x = others[o][: n + band + 1]
+            b[k, band : band + len(x)] = x
+        row = np.broadcast_to(np.where(offset >= band, offset - band, far), (len(part), width)).astype(np.int32)
+        for i in range(1, n + 1):
+            new = row + (b[:, i - 1 : i - 1 + width] != a[i - 1])
+            np.minimum(new[:, :-1], row[:, 1:] + 1, out=new[:, :-1])
+            if i <= band:  # columns before the text
+                new[:, : band - i], new[:, band - i] = far, i
+            row = np.minimum.accumulate(new - offset, axis=1) + offset
+            if i % 16 == 0:
+                good = row.min(axis=1) <= limits[part]
+                if not good.all():
+                    row, b, part = row[good], b[good], part[good]
+                    if not len(part):
+                        break
+        out[part] = row[np.arange(len(part)), sizes[part] - n + band] <= limits[part]
+    return out
+
+
 def _runs(a: np.ndarray, k: int) -> np.ndarray:
     """A hash for each run of k values."""
     out = np.zeros(len(a) - k + 1, np.uint64)

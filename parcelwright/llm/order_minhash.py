@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .align import within
+from .align import within, within_many
 from .common import by_groups, plain_words, spread_join, written
 from .components import components
 
@@ -42,6 +42,7 @@ CHUNK = 256  # members of a star whose words are in one task
 #: Members of a bucket that are compared in one task; up to SMALL of them pair by pair with
 #: those of many other buckets at once, more as matrices of ROWS of them with all others.
 CHUNK_COUNTS, SMALL, ROWS = 4096, 256, 64
+FEW = 6  # pairs of a document from which on they are aligned in one band
 #: Of the word counts by which pairs are ruled out: at first, and when the words are there.
 BINS, MORE_BINS = 64, 512
 #: Cells of a table of hashes that are held at once.
@@ -284,7 +285,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     def texts(wanted: DataFrame, name: str) -> DataFrame:
         """The words of the documents whose ids are wanted."""
         wanted = written(wanted.distinct().join(traits.select(F.col("rep").alias("id"), "one", "two"), "id"), f"wanted_{name}")
-        return written(docs.join(wanted, "id").dropDuplicates(["id", "text"]).mapInArrow(_coded, "id long, words binary"), f"words_{name}")
+        return written(docs.join(wanted.hint("merge"), "id").dropDuplicates(["id", "text"]).mapInArrow(_coded, "id long, words binary"), f"words_{name}")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -354,10 +355,20 @@ def _linked(apart: DataFrame, threshold: float) -> DataFrame:
             return x
 
         for p, q in possible_pairs(bounds, odd, side, of, size, bins, threshold):
-            for i, j in zip(p.tolist(), q.tolist()):
-                x, y = sorted((find(int(of[i])), find(int(of[j]))))
-                if x != y and similar(words[i], words[j], threshold):
-                    root[y] = x
+            order = np.argsort(p, kind="stable")
+            p, q = p[order], q[order]
+            cuts = np.flatnonzero(np.diff(p, prepend=-1, append=-1)).tolist() if len(p) else []
+            for x, y in zip(cuts[:-1], cuts[1:]):
+                i, home = int(p[x]), find(int(of[p[x]]))
+                apart = [j for j in q[x:y].tolist() if find(int(of[j])) != home]
+                if len(apart) < FEW:
+                    same = [j for j in apart if similar(words[i], words[j], threshold)]
+                else:
+                    limits = np.array([edits_of(max(int(size[i]), int(size[j])), threshold) for j in apart])
+                    same = np.array(apart)[within_many(words[i], [words[j] for j in apart], limits)].tolist()
+                for j in same:
+                    low, high = sorted((find(int(of[i])), find(int(of[j]))))
+                    root[high] = low
         stars = [(find(c), c) for c in root if find(c) != c]
         return pa.table({"a": pa.array([x for x, _ in stars], pa.int64()), "b": pa.array([y for _, y in stars], pa.int64())})
 

@@ -31,6 +31,9 @@ def test_alignment():
         d, limit = distance(a.tolist(), b.tolist()), int(rng.integers(0, 12))
         assert align.banded(a, b, limit) == min(d, limit + 1)
         assert align.within(a, b, limit) == (d <= limit)
+        many = [b, a, b[:-1], np.append(a, 3), a[::-1].copy()]
+        limits = np.array([limit, 0, max(0, limit - 1), 1, limit])
+        assert align.within_many(a, many, limits).tolist() == [distance(a.tolist(), x.tolist()) <= n for x, n in zip(many, limits)]
         if len(a):
             e, s, t_ = align.best_place(a, b)
             assert e == min(distance(a.tolist(), b[i:j].tolist()) for i in range(len(b) + 1) for j in range(i, len(b) + 1)) == distance(a.tolist(), b[s:t_].tolist())
@@ -148,6 +151,7 @@ def test_a_bucket_of_many_chunks(spark, monkeypatch, small):
     monkeypatch.setattr(order_minhash, "CHUNK_COUNTS", 6)
     monkeypatch.setattr(order_minhash, "ROWS", 2)
     monkeypatch.setattr(order_minhash, "SMALL", small)
+    monkeypatch.setattr(order_minhash, "FEW", 2)
     rng = random.Random(5)
     passage = words(rng, 60)
     texts = []
