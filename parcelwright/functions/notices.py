@@ -33,10 +33,14 @@ def clean_name(name: C) -> Column:
     return F.trim(F.regexp_replace(s, r"(?i)\s+(and|to|in|the)\s*$", ""))
 
 
+# Brackets that stand for the numeral I, in the order in which they are put right.
+NUMERALS = ((r"\bII\]", "III"), (r"\[II\b", "III"), (r"\bI\]", "II"), (r"\[V\b", "IV"), (r"[\[\]]", "I"))
+
+
 def clean_ocr_name(name: C) -> Column:
     """The same, brackets read for the numeral I put right first."""
     s = text(name)
-    for wrong, right in ((r"\bII\]", "III"), (r"\[II\b", "III"), (r"\bI\]", "II"), (r"\[V\b", "IV"), (r"[\[\]]", "I")):
+    for wrong, right in NUMERALS:
         s = F.regexp_replace(s, wrong, right)
     return clean_name(s)
 

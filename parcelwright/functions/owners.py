@@ -151,6 +151,7 @@ def plaintiff_and_owner(style: C) -> Column:
 
 # --- name variants -------------------------------------------------------------------
 
+# Marks, entity endings, joints and spouses' tails of names.
 _MARKS = {"JR", "SR", "I", "II", "III", "IV", "V"}
 _ENTITY_ENDS = (
     "LLC", "LLP", "LP", "INC", "LTD", "CO", "CORP", "TRUST", "ESTATES", "ASSOCIATION", "ASSOC", "COMPANY", "PARTNERSHIP", "BANK", "N A", "NA",

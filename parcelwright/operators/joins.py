@@ -68,10 +68,15 @@ def gate(record_legal: Column, cached_legal: Column, match: Column) -> Column:
     return F.when(empty(record_legal), "optimistic").when(empty(cached_legal), "skip").when(match, "match").otherwise("mismatch")
 
 
-def present_in_both(df: DataFrame, key: str, category: str, a: str, b: str) -> Column:
-    """Whether the row's key has both categories somewhere."""
-    w = Window.partitionBy(key)
-    return (F.max((F.col(category) == a).cast("int")).over(w) == 1) & (F.max((F.col(category) == b).cast("int")).over(w) == 1)
+def with_both(df: DataFrame, key: str, category: str, a: str, b: str, into: str) -> DataFrame:
+    """df with into: whether the row's key, if it is not empty, has both categories somewhere.
+
+    Keys are reduced to those that have both before they meet the rows, so that rows of an
+    empty or frequent key are nowhere gathered.
+    """
+    seen = df.where((F.col(key) != "") & F.col(category).isin(a, b)).groupBy(key).agg(F.count_distinct(category).alias("__n"))
+    both = seen.where("__n = 2").select(key, F.lit(True).alias(into))
+    return df.join(both, key, "left").withColumn(into, F.coalesce(into, F.lit(False)))
 
 
 def gone(before: DataFrame, now: DataFrame, key: str) -> DataFrame:

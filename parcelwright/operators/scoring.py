@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.base import blank, has, text
 from ..functions.owners import ENTITY_OWNER
-from .joins import present_in_both
+from .joins import with_both
 
 # Flags by category and the parts of a score.
 CATEGORY_FLAGS = (("LP", "Lis pendens"), ("NOFC", "Pre-foreclosure"), ("JUD", "Judgment lien"), ("LNFED", "Tax lien"))
@@ -37,11 +37,11 @@ def score_leads(leads: DataFrame, as_of: str) -> DataFrame:
     blank owners never do.
     """
     keyed = leads.withColumn("__owner", F.upper(F.trim(text("owner")))).withColumn("flags", flags(as_of))
-    combo = (F.col("__owner") != "") & present_in_both(keyed, "__owner", "cat", "LP", "NOFC")
+    keyed = with_both(keyed, "__owner", "cat", "LP", "NOFC", "__combo")
     points = (
-        F.lit(BASE) + PER_FLAG * F.size("flags") + F.when(combo, COMBO).otherwise(0)
+        F.lit(BASE) + PER_FLAG * F.size("flags") + F.when(F.col("__combo"), COMBO).otherwise(0)
         + F.when(F.col("amount") > LARGE_AMOUNT, LARGE).when(F.col("amount") > MEDIUM_AMOUNT, MEDIUM).otherwise(0)
         + F.when(F.array_contains("flags", "New this week"), RECENT).otherwise(0)
         + F.when(~blank("prop_address"), ADDRESS).otherwise(0)
     )
-    return keyed.withColumn("score", F.greatest(F.lit(0), F.least(F.lit(100), points))).drop("__owner")
+    return keyed.withColumn("score", F.greatest(F.lit(0), F.least(F.lit(100), points))).drop("__owner", "__combo")

@@ -8,6 +8,41 @@ from pyspark.sql import functions as F
 from ..operators.summary import envelope
 
 
+def replaced(df: DataFrame, path: str, fmt: str = "json") -> None:
+    """df in place of what path holds: written beside it and swapped by renames of the file
+    system that path lies on, so that a failed job leaves the old rows. A reader between the two
+    renames finds none; the old rows then lie at path + ".old"."""
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    new, old, at = (jvm.org.apache.hadoop.fs.Path(p) for p in (f"{path}.new", f"{path}.old", path))
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    df.write.mode("overwrite").format(fmt).save(f"{path}.new")
+    fs.delete(old, True)
+    if fs.exists(at) and not fs.rename(at, old):
+        raise OSError(f"can't move {path}")
+    if not fs.rename(new, at):
+        raise OSError(f"can't move {path}.new")
+    fs.delete(old, True)
+
+
+def with_envelope(stored: DataFrame, records: DataFrame, **stamp: Column) -> DataFrame:
+    """The stored envelope (one row) with records, total and stamps in place of its own; its other
+    keys stay. For published lists, which one file holds."""
+    inner = records.agg(F.collect_list(F.struct(*records.columns)).alias("records"), F.count("*").alias("total"))
+    kept = [c for c in stored.columns if c not in {"records", "total", *stamp}]
+    return stored.limit(1).select(*kept).crossJoin(F.broadcast(inner)).select(*kept, "total", *[v.alias(k) for k, v in stamp.items()], "records")  # one row each
+
+
+def delinquent_totals(records: DataFrame, codes: tuple[str, ...]) -> DataFrame:
+    """record_count, total_owed (cents) and the sorted filter codes of a delinquent list."""
+    return records.agg(F.count("*").alias("record_count"), F.round(F.coalesce(F.sum("total_owed"), F.lit(0.0)), 2).alias("total_owed")).withColumn("filter_codes", F.array(*[F.lit(c) for c in sorted(codes)]))
+
+
+def ledger_totals(ledger: DataFrame, status: str = "status") -> DataFrame:
+    """open_count and total_tracked of a ledger."""
+    return ledger.agg(F.count_if(F.col(status) == "open").alias("open_count"), F.count("*").alias("total_tracked"))
+
+
 def write_records(df: DataFrame, path: str, *, partitions: list[str] | None = None) -> bool:
     """Writes JSON records unless df is empty; says whether it wrote. The caller points
     readers at the new folder, so that they never see half of it."""

@@ -110,3 +110,29 @@ def test_table_rows_of_another_width(spark):
     page = "<table><tr><th>Name</th><th>Type</th><th>No</th></tr><tr><td>a</td><td>x</td><td>1</td></tr><tr><td colspan=3>b</td></tr><tr><td>c</td><td>y</td><td>3</td></tr></table><table><tr><th>Name</th><th>Use</th><th>Lot</th></tr><tr><td>d</td><td>z</td><td>4</td></tr></table>"
     got = spark.createDataFrame([(page,)], "h string").select(html.table_rows("h").alias("t")).first().t
     assert got == [{"name": "a", "type": "x", "no": "1"}, {"name": "b"}, {"name": "c", "type": "y", "no": "3"}, {"name": "d", "use": "z", "lot": "4"}]
+
+
+def test_envelopes_keep_their_keys_and_stores_are_swapped(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from parcelwright.sources import sinks
+
+    stored = spark.createDataFrame([("x", 9, "2020-01-01")], "source string, total long, updated string")
+    records = spark.createDataFrame([(1, 2.5, "open"), (2, 3.25, "closed")], "id int, total_owed double, status string")
+    row = sinks.with_envelope(stored, records, updated=F.lit("2024-05-06")).first()
+    assert (row.source, row.total, row.updated, sorted(r.id for r in row.records)) == ("x", 2, "2024-05-06", [1, 2])
+    assert tuple(sinks.delinquent_totals(records, ("B", "A")).first()) == (2, 5.75, ["A", "B"])
+    assert tuple(sinks.ledger_totals(records).first()) == (1, 2)
+    path = str(tmp_path / "store")
+    sinks.replaced(records, path)
+    sinks.replaced(spark.read.json(path).where("id = 2"), path)  # reads the rows that it replaces
+    assert [r.id for r in spark.read.json(path).collect()] == [2]
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["store"]
+
+
+def test_payload_values():
+    from parcelwright.sources import payloads as p
+
+    assert p.as_text({"fullName": " A ", "x": 1}) == "A" and p.as_text({"x": 1, "y": [2, None]}) == "x=1, y=2" and p.as_text(None) == ""
+    assert p.names_joined(["A", "", {"name": "B"}]) == "A; B" and p.names_joined("A") == "A"
+    assert p.hydrated_state("window.__data = {'") is None and p.hydrated_state(None) is None and p.cards("") == []
