@@ -50,7 +50,7 @@ TABLE = PLAIN + HASHED
 #: Words of a sentence side by side are also read as one if they have so many characters
 #: together at most and one of them is so short.
 JOINED, PIECE = 9, 3
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
 STRETCHED = 6  # copies of a toxic piece with a letter put in, as further examples
 WORKING = 4_000  # counterexamples to begin with
 SOLVED = 5  # times at most that a round adds counterexamples and solves again
