@@ -32,9 +32,7 @@ from .components import components
 WORDS = 5  # words in a k-mer
 #: Sketches of a document, and k-mers in a sketch. Of two texts of which 5 words in 100 (10,
 #: 15, 20) were changed anywhere, about 0.25 (0.07, 0.02, 0.01) of the sketches agree, so
-#: that one of 32 does in all cases (in 0.92, 0.53, 0.21 of them). With two k-mers a sketch it
-#: would be more (0.998, 0.93, 0.71), but a passage that many documents share then fills
-#: buckets with a tenth of them, and comparing those takes longer than all the rest.
+#: that one of 32 does in all cases (in 0.92, 0.53, 0.21 of them).
 SKETCHES, KEPT = 32, 3
 #: Texts of fewer words also have a key for each way to leave out as many as may be edited.
 SHORT = 15
