@@ -405,10 +405,10 @@ def train(examples: Iterable[tuple[list[str], int]]) -> Model:
     apart = [np.setdiff1d(np.flatnonzero(labels == y), k) for y, k in ((1, toxic), (0, clean))]
     apart = [a if len(a) else k for a, k in zip(apart, (toxic, clean))]
     raw = np.array([score[docs[k]].max() if len(docs[k]) else -1.0 for k in np.concatenate(apart).tolist()])
-    # The stretched pieces are toxic texts of one piece here; together they weigh as much as the toxic documents.
+    # The stretched pieces are toxic texts of one piece here; together they weigh a tenth of the toxic documents.
     raw = np.concatenate((raw, word_scores(spread, table) + bias))
     label = np.repeat([1.0, 0.0, 1.0], [len(apart[0]), len(apart[1]), len(spread)])
-    weight = np.repeat([1.0, 1.0, len(apart[0]) / max(1, len(spread))], [len(apart[0]), len(apart[1]), len(spread)])
+    weight = np.repeat([1.0, 1.0, 0.1 * len(apart[0]) / max(1, len(spread))], [len(apart[0]), len(apart[1]), len(spread)])
     slope, shift = _platt(raw, label, weight)
     return Model(table, bias, slope, shift)
 
