@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -57,6 +57,12 @@ def keep_or_fill(old: C, new: C) -> Column:
     return F.when(blank(old), col(new)).otherwise(col(old))
 
 
+def let(value: C, use: Callable[[Column], Column]) -> Column:
+    """use(value) with value worked out once, however often use names it; long expressions that are
+    named often would otherwise be repeated in the plan each time."""
+    return F.get(F.transform(F.array(col(value)), use), F.lit(0))
+
+
 def tokens(c: C) -> Column:
     """Words between white space; an empty text has none."""
     return F.filter(F.split(squeeze(c), " "), lambda w: w != "")

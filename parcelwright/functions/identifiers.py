@@ -14,6 +14,9 @@ DEFAULT_YEAR, ADDRESS_PREFIX, UNKNOWN_DAYS = "2026", "ccln_addr::", 9999
 LIEN_SCORE, LIEN_TYPE, LIEN_CATEGORY, LIEN_LABEL = 35, "LIEN", "CCLN", "City of Corpus Christi Lien"
 COVER_NUMBER = r"(?i)Document\s+Number\s*:?\s*(\d{10})"
 
+#: Rows that the search gives at most on a page.
+PAGE_ROWS = 250
+
 
 def parcel_url(base_url: str, prop_id: C, year: C, owner_id: C) -> Column:
     """The address of a parcel's page; the owner is left out where unknown."""
@@ -85,3 +88,19 @@ def joined_with(records: DataFrame, documents: DataFrame, *, header: C, filename
     hit = tried.select("document", F.explode("__try").alias("t")).select("document", "t.*").join(known, "doc_num")
     best = hit.groupBy("document").agg(F.min(F.struct("rank", "doc_num", "via")).alias("b")).select("document", "b.doc_num", "b.via")
     return documents.join(best, "document", "left")
+
+
+def search_url(base_url: str, start: C, end: C, *, query: C | None = None, doc_types: C | None = None, department: str = "RP") -> Column:
+    """The address of a filing search between two ISO dates, by words and document types where given."""
+    part = lambda name, c: F.lit("") if c is None else F.when(text(c) == "", "").otherwise(F.concat(F.lit(f"&{name}="), F.url_encode(text(c))))
+    fixed = F.lit(f"{base_url}/results?department={department}&limit={PAGE_ROWS}&offset=0&keywordSearch=false&searchOcrText=false&searchType=quickSearch&recordedDateRange=")
+    return F.concat(fixed, _between(start, end), part("searchValue", query), part("_docTypes", doc_types))
+
+
+def foreclosure_url(base_url: str, start: C, end: C) -> Column:
+    """The address of the foreclosure list recorded between two ISO dates."""
+    return F.concat(F.lit(f"{base_url}/results?department=FC&instrumentDateRange="), _between(start, end), F.lit("&keywordSearch=false&searchOcrText=false&searchType=quickSearch"))
+
+
+def _between(start: C, end: C) -> Column:
+    return F.concat(F.replace(text(start), F.lit("-"), F.lit("")), F.lit("%2C"), F.replace(text(end), F.lit("-"), F.lit("")))

@@ -1,4 +1,4 @@
-"""Merging a new scan into what is stored. Blank is null, white space or zero."""
+"""Merging a new scan into what is stored. Blank is null, white space, zero or an empty list."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 
 def is_blank(c: Column) -> Column:
-    return F.coalesce(F.trim(c.cast("string")).isin("", "0", "0.0"), F.lit(True))
+    return F.coalesce(F.trim(c.cast("string")).isin("", "0", "0.0", "[]"), F.lit(True))
 
 
 def insert_if_absent(stored: DataFrame, new: DataFrame, key: str) -> DataFrame:

@@ -33,6 +33,22 @@ def ledger_seed(summary: DataFrame) -> DataFrame:
     return summary.select("prop_id", F.posexplode(F.arrays_zip("case_nums", "types")).alias("pos", "c")).select("prop_id", "pos", F.col("c.case_nums").alias("ref_no"), F.col("c.types").alias("case_type"), F.lit("open").alias("state"))
 
 
+def ledger_or_seed(ledger: DataFrame | None, summary: DataFrame) -> DataFrame:
+    """The stored ledger, or where there is none (or an empty one) that of the published summary."""
+    return ledger_seed(summary) if ledger is None or ledger.isEmpty() else ledger
+
+
+def cases(rows: DataFrame) -> DataFrame:
+    """Rows (case_number, pos, balance, owner, plaintiff, case_type) of a month to one per case: the
+    sum of distinct amounts in cents, the first owner that is filled, the first row's
+    plaintiff and case type."""
+    return rows.groupBy("case_number").agg(
+        F.coalesce(F.sum_distinct(F.round("balance", 2).cast("decimal(18,2)")), F.lit(0)).cast("double").alias("balance"),
+        F.coalesce(F.min_by("owner", F.when(F.coalesce(F.col("owner"), F.lit("")) != "", F.col("pos"))), F.lit("")).alias("owner"),
+        *[F.min_by(c, "pos").alias(c) for c in ("plaintiff", "case_type")],
+    )
+
+
 def case_months(rows: DataFrame) -> DataFrame:
     """Rows (case_id, period, balance) to one row per case and month: balance is the sum of
     the distinct amounts, rounded to cents."""

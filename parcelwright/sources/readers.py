@@ -68,6 +68,43 @@ def by_alias(df: DataFrame, aliases: Mapping[str, Sequence[str]]) -> DataFrame:
     return df.select(*[F.coalesce(*[F.col(f"`{known[a]}`").cast("string") for a in names if a in known], F.lit("")).alias(n) for n, names in aliases.items()])
 
 
+# Header names of a violation export, by the field that they stand for.
+VIOLATION_HEADERS = {
+    "ref_no": ("reference no", "reference number", "ref no"),
+    "create": ("create date", "created date", "create"),
+    "close": ("close date", "closed date"),
+    "status": ("status",),
+    "case_type": ("case type",),
+    "address": ("address 1", "address", "address1", "situs address"),
+    "parcel": ("parcel id", "parcel"),
+    "narr": ("violation_narrative", "violation narrative", "narrative"),
+}
+#: Rows of a sheet among which its header is looked for.
+HEADER_ROWS = 80
+
+
+def by_header(sheet: DataFrame, names: Mapping[str, Sequence[str]] = VIOLATION_HEADERS, required: Sequence[str] = ("ref_no", "case_type", "status")) -> DataFrame:
+    """Rows (file, pos, cells array of text) below each file's header, a column for each field.
+
+    The header is the first of HEADER_ROWS rows that names all required fields, wherever they
+    stand; other fields may be missing and are empty. Rows without the first required field are
+    left out, and so is a file without a header (see `without_header`).
+    """
+    head = F.transform("cells", lambda c: F.lower(squeeze(c)))
+    place = lambda n: F.array_min(F.filter(F.transform(head, lambda c, i: F.when(c.isin(*names[n]), i)), lambda i: i.isNotNull()))
+    seen = sheet.where(F.col("pos") < HEADER_ROWS).select("file", "pos", F.struct(*[place(n).alias(n) for n in names]).alias("at"))
+    for n in required:
+        seen = seen.where(F.col(f"at.{n}").isNotNull())
+    heads = seen.groupBy("file").agg(F.min("pos").alias("head"), F.min_by("at", "pos").alias("at"))
+    cell = lambda n: F.coalesce(F.trim(F.get("cells", F.col(f"at.{n}"))), F.lit(""))
+    return sheet.join(heads, "file").where("pos > head").select("file", "pos", *[cell(n).alias(n) for n in names]).where(F.col(required[0]) != "")
+
+
+def without_header(sheet: DataFrame, rows: DataFrame) -> DataFrame:
+    """The files of a sheet of which by_header gave no row."""
+    return sheet.select("file").distinct().join(rows.select("file").distinct(), "file", "left_anti")
+
+
 def newest(spark: SparkSession, path: str, glob: str = "*") -> str | None:
     """The file with the latest MM-DD-YYYY in its name, else the one changed last."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path", "modificationTime")

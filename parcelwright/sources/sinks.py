@@ -81,6 +81,26 @@ def crm_rows(leads: DataFrame) -> DataFrame:
     return leads.select(*[(value[c]() if c in value and c in have else F.coalesce(F.col(c).cast("string"), F.lit("")) if c in have else F.lit("")).alias(h) for c, h in zip(CRM_COLUMNS, CRM_HEADER)])
 
 
+# The header of the foreclosure export and the columns under it.
+FORECLOSURE_HEADER = (
+    "Sale Date", "Days Until Sale", "Status", "Doc Number", "Doc Type", "Recorded Date", "Property Address (legal)", "Owner (from PDF)", "Loan Amount (from PDF)", "Public Records URL",
+)
+FORECLOSURE_COLUMNS = ("sale_date", "days_until_sale", "status", "doc_num", "doc_type", "recorded", "legal", "owner", "loan_amount", "clerk_url")
+
+
+def foreclosure_rows(records: DataFrame) -> DataFrame:
+    """Foreclosures under the export's header; an amount has two decimals, zero and null are empty."""
+    amount = F.when(F.col("loan_amount") != 0, F.format_string("%.2f", F.col("loan_amount").cast("double"))).otherwise("")
+    return records.select(*[(amount if c == "loan_amount" else F.coalesce(F.col(c).cast("string"), F.lit(""))).alias(h) for c, h in zip(FORECLOSURE_COLUMNS, FORECLOSURE_HEADER)])
+
+
+def applied(plan: DataFrame, path: str, *, apply: bool = False, fmt: str = "json") -> DataFrame:
+    """The plan of a run; it takes the place of what path holds only with apply, and never if empty."""
+    if apply and not plan.isEmpty():
+        replaced(plan, path, fmt)
+    return plan
+
+
 def write_crm(leads: DataFrame, path: str) -> None:
     crm_rows(leads).write.mode("overwrite").option("header", True).option("emptyValue", "").csv(path)
 
