@@ -121,15 +121,25 @@ def parts_for(entries: int, each: int) -> int:
     return max(16, -(-entries // each))
 
 
-def ask(entries: DataFrame, answer: Callable[[list[dict]], list[bytes]]) -> DataFrame:
+def salts_for(blocks: int, each: int) -> int:
+    """Over how many tasks to spread a part's blocks, so that a word which stands in all of them
+    is not more than so many entries of one task."""
+    return max(1, -(-blocks // each))
+
+
+def ask(entries: DataFrame, answer: Callable[[list[dict]], list[bytes]], *, salts: int = 1) -> DataFrame:
     """Deals entries (part, block, data) out by part; answer gets a part's rows in the
-    order of block and gives an answer for each. The result is (block, part, data)."""
+    order of block and gives an answer for each. The result is (block, part, data).
+
+    With salts a part's blocks are spread over so many tasks: for answers that do not depend on
+    a part's other blocks.
+    """
 
     def run(group: pa.Table) -> pa.Table:
         rows = sorted(group.to_pylist(), key=lambda r: r["block"])
         return pa.table({"block": pa.array([r["block"] for r in rows], pa.int64()), "part": pa.array([r["part"] for r in rows], pa.int32()), "data": pa.array(answer(rows), pa.binary())})
 
-    return entries.groupBy("part").applyInArrow(run, "block long, part int, data binary")
+    return entries.groupBy("part", F.pmod(F.xxhash64("block"), F.lit(salts)).alias("salt")).applyInArrow(run, "block long, part int, data binary")
 
 
 def tell(blocks: DataFrame, answers: DataFrame, use: Callable[[Block, list[dict]], Iterator[dict]], schema: str, batch: Callable[[list], pa.Table]) -> DataFrame:

@@ -1,9 +1,11 @@
 """Byte-level BPE: every distinct word is encoded once, wherever it stands.
 
 Texts are split into pre-tokens and packed into blocks (see blocks). Each block sends
-its word list, dealt out by word, so that equal words meet; they are encoded once and
-the ids go back to the blocks, where each document is put together by position.
-Decoding looks each id up in the table of token bytes, whose size is the vocabulary's.
+its word list, dealt out by word, so that equal words meet; they are encoded once (words of more than
+PART_WORDS blocks once for so many blocks) and the ids go back to the blocks, where each
+document is put together by position. Decoding looks each id up in the table of token
+bytes, whose size is the vocabulary's, on each executor: a broadcast join by position in an
+array, which moves no token.
 """
 
 from __future__ import annotations
@@ -86,8 +88,11 @@ def _by_part(words: list[bytes], parts: int) -> tuple[np.ndarray, np.ndarray]:
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, id_col: str = "doc_id", text_col: str = "text", block_chars: int = B.BLOCK_CHARS) -> DataFrame:
     """One row (id, ids array<int>) for each row of docs: the token ids of its whole text.
 
-    pattern splits a text into the pre-tokens within which merges happen. A null text has
-    no ids; repeated rows are encoded as often as they stand; other columns play no part.
+    pattern splits a text into the pre-tokens within which merges happen. A null or empty text
+    has no ids (an empty array), a null id stays null, an empty table gives none; repeated
+    rows are encoded as often as they stand, and the order of rows decides nothing. Other
+    columns play no part, whatever their names; where id_col itself is called ids, the tokens
+    are in token_ids. A text is a row of a block, so that it may have 2 GB at most.
     """
     spark = docs.sparkSession
 
@@ -97,8 +102,9 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, id_col: st
         return regex.findall(pattern, text)
 
     table = B.make_blocks(docs, split, "bpe", id_col=id_col, text_col=text_col, block_chars=block_chars)
-    total = table.agg(F.sum("n_words")).first()[0] or 0
-    parts = B.parts_for(total, PART_WORDS)
+    total, blocks = table.agg(F.coalesce(F.sum("n_words"), F.lit(0)), F.count("*")).first()
+    salts = B.salts_for(blocks, PART_WORDS)
+    parts = B.parts_for(total, PART_WORDS * salts)
     vocabulary = spark.sparkContext.broadcast(ranks)  # its size is the tokenizer's, whatever the corpus
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,12 +154,14 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, id_col: st
         return pa.table({"id": pa.array(ids, mask=ids == B.NO_ID), "ids": pa.chunked_array(lists, pa.list_(pa.int32()))})
 
     entries = table.select("block", "words").mapInArrow(send, "part int, block long, data binary")
-    out = B.tell(table, B.ask(entries, answer), use, "id long, ids array<int>", batch)
-    return out.select(F.col("id").alias(id_col), "ids")
+    out = B.tell(table, B.ask(entries, answer, salts=salts), use, "id long, ids array<int>", batch)
+    return out.select(F.col("id").alias(id_col), F.col("ids").alias("token_ids" if id_col.lower() == "ids" else "ids"))
 
 
 def decode(tokens: DataFrame, ranks: dict[bytes, int], *, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
-    """tokens with out_col: the bytes that the ids of ids_col stand for (null where they are null).
+    """tokens with out_col: the bytes that the ids of ids_col stand for (null where they are null,
+    empty where they are empty). A column that is called out_col already is replaced; an
+    empty table gives an empty one.
 
     An id outside the vocabulary stops the query.
     """

@@ -80,6 +80,20 @@ def test_bpe(spark):
     want = [(i, library.encode_ordinary(t or ""), (t or "").encode()) for i, t, *_ in rows]
     assert sorted(str((r.doc_id, r.ids, bytes(r.decoded))) for r in got.collect()) == sorted(map(str, want))
     assert bpe.encode(df.limit(0), ranks, P.PATTERN).count() == 0
+    assert bpe.decode(bpe.encode(df.limit(0), ranks, P.PATTERN), ranks).count() == 0
+    clash = bpe.encode(df.withColumnRenamed("doc_id", "ids"), ranks, P.PATTERN, id_col="ids")
+    assert sorted(str(tuple(r)) for r in clash.select("ids", "token_ids").collect()) == sorted(str((i, x)) for i, x, _ in want)
+
+
+def test_bpe_hot_words_are_spread(spark, monkeypatch):
+    """Words that stand in more blocks than a task takes are encoded in several tasks, with the same ids."""
+    import public_tokenizers as P
+
+    ranks = bpe.read_ranks(P.path("byte_bpe_multi_50k.tiktoken"))
+    df = spark.createDataFrame([(i, f"the same words in every block {i}") for i in range(60)], "doc_id long, text string")
+    want = sorted(str(tuple(r)) for r in bpe.encode(df, ranks, P.PATTERN).collect())
+    monkeypatch.setattr(bpe, "PART_WORDS", 7)
+    assert sorted(str(tuple(r)) for r in bpe.encode(df, ranks, P.PATTERN, block_chars=50).collect()) == want
 
 
 def test_chat_round_trip(spark):
