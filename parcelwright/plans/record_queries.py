@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import identifiers
-from ..operators import parcels, state
+from ..operators import extraction, parcels, state
 from ..sources import parcel_pages, payloads, readers, sinks
 from .entity_queries import DELINQUENT, KIND
 from .lookup_queries import t
@@ -261,3 +261,32 @@ def foreclosure_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     empty = [F.lit(None).cast("string").alias(c) for c in ("doc_type", "recorded", "clerk_url")]
     rows = table(spark, sf_dir, "orders").select(F.lit("2001-09-04").alias("sale_date"), F.when(k % 3 != 0, k % 90).alias("days_until_sale"), F.lit("pre").alias("status"), t(k).alias("doc_num"), F.lit("LOT 1").alias("legal"), F.lit("DOE").alias("owner"), when(k % 4 == 0, F.lit(0.0), k + 0.5).alias("loan_amount"), *empty)
     return sinks.foreclosure_rows(rows).toDF("sale_date", "days_until_sale", "status", "doc_number", "doc_type", "recorded_date", "property_address", "owner", "loan_amount", "url")
+
+
+@query("""WITH o AS (SELECT o_orderkey AS id, o_orderkey % 4 AS f, o_orderkey AS k, 100 + o_orderkey % 9000 AS h, chr(CAST(65 + o_orderkey % 26 AS INT)) AS c FROM orders)
+SELECT id, CASE WHEN f = 0 THEN CAST(2024000000 + k AS VARCHAR) ELSE '' END AS doc_number, CASE f WHEN 0 THEN 'CASEY DOE ' || k || ' AND ALEX DOE' WHEN 1 THEN 'CASEY D' || c || 'E' WHEN 2 THEN 'SAMPLE HOLDINGS ' || k || ' LLC' ELSE '' END AS owner,
+  CASE WHEN f = 0 THEN 'CASEY DOE ' || k || ' AND ALEX DOE, HUSBAND AND WIFE' ELSE '' END AS owner_raw, CASE f WHEN 0 THEN 'SAMPLE BANK' WHEN 1 THEN 'SAMPLE FUNDING LLC' WHEN 2 THEN 'SAMPLE BANK, N.A' ELSE '' END AS lender,
+  CASE f WHEN 0 THEN CAST(100000 + k AS DOUBLE) WHEN 2 THEN CAST(55000 AS DOUBLE) END AS loan_amount, CASE f WHEN 0 THEN '2010-01-05' WHEN 1 THEN '2017-05-06' WHEN 2 THEN '2009-06-01' ELSE '' END AS deed_date, CASE WHEN f = 1 THEN '2009-06-01' END AS deed_date_original,
+  f = 1 AS has_loan_mod, CASE WHEN f = 1 THEN CAST(2015000000 + k AS VARCHAR) END AS loan_mod_doc, CASE f WHEN 0 THEN CAST(2010000000 + k AS VARCHAR) WHEN 1 THEN CAST(2015000000 + k AS VARCHAR) ELSE '' END AS loan_doc,
+  CASE f WHEN 0 THEN h || ' SAMPLE STREET' WHEN 1 THEN h || ' SAMPLE DRIVE' WHEN 2 THEN h || ' OAK AVE' ELSE '' END AS prop_address, CASE f WHEN 0 THEN 'CORPUS CHRISTI' WHEN 1 THEN 'ROBSTOWN' WHEN 2 THEN 'PORT ARANSAS' ELSE '' END AS prop_city,
+  CASE WHEN f < 3 THEN 'TX' ELSE '' END AS prop_state, CASE f WHEN 0 THEN '78401' WHEN 1 THEN '78380' WHEN 2 THEN '78373' ELSE '' END AS prop_zip,
+  CASE f WHEN 0 THEN '4' WHEN 1 THEN '7' ELSE '' END AS legal_lot, CASE f WHEN 0 THEN '2' WHEN 1 THEN '3' ELSE '' END AS legal_block, CASE f WHEN 0 THEN 'SAMPLE ACRES' WHEN 1 THEN 'SAMPLE HEIGHTS' WHEN 2 THEN 'SAMPLE FARM' ELSE '' END AS legal_subdivision,
+  CASE WHEN f = 0 THEN '1' ELSE '' END AS legal_unit, CASE WHEN f = 2 THEN 'ONE (1) AND TWO (2)' ELSE '' END AS legal_tracts FROM o""")
+def notices_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Notices of three families, one of a modified loan, and blank ones."""
+    k = F.col("o_orderkey")
+    h = F.lit(100) + k % 9000
+    full = t(
+        "2024 - ", F.lit(2024000000) + k, ' 01/02/2024\nDeed of Trust dated January 5, 2010, executed by CASEY DOE ', k, ' AND ALEX DOE, HUSBAND AND WIFE ("Borrower") in the principal amount of $', F.lit(100000) + k,
+        '.00 for the benefit of SAMPLE BANK ("Lender"), recorded under Document No. ', F.lit(2010000000) + k, ".\nProperty Address: ", h, " SAMPLE STREET, Corpus Christi, TX 78401\nLOT FOUR (4), BLOCK TWO (2), SAMPLE ACRES UNIT 1, A SUBDIVISION",
+    )
+    changed = t(
+        h, " SAMPLE DRIVE 0000001234\nROBSTOWN, TX 78380\nWHEREAS, on January 5, 2010, CASEY D", F.char(F.lit(65) + k % 26), "E, as Grantor, gave a lien. Deed of trust dated June 1, 2009. It was modified by Loan Modification Agreement recorded on 03/04/2015 under Instrument No. ",
+        F.lit(2015000000) + k, " in the official public records; and further recorded on 05/06/2017.\nLender: SAMPLE FUNDING LLC\nLot 7, Block 3, SAMPLE HEIGHTS Addition",
+    )
+    entity = t(
+        "Deed of Trust Date: June 1, 2009\nGrantor: SAMPLE HOLDINGS ", k, " LLC\nCurrent Mortgagee: SAMPLE BANK, N.A.\nAmount: $55,000.00\nSale at 901 LEOPARD STREET, CORPUS CHRISTI, TX 78401 of the land at ", h,
+        " OAK AVE, PORT ARANSAS, TEXAS 78373\nTRACTS ONE (1) AND TWO (2), SAMPLE FARM ADDITION",
+    )
+    notices = table(spark, sf_dir, "orders").select(k.alias("id"), F.when(k % 4 == 0, full).when(k % 4 == 1, changed).when(k % 4 == 2, entity).alias("text"))
+    return extraction.notice_fields(notices).drop("text")
