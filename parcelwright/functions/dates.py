@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .base import C, col, group, text
+from .base import C, col, group, let, text
 
 # The number of each month's name.
 MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
@@ -40,24 +40,27 @@ def prose_date(value: C) -> Column:
     Years from 1900 to 2100, months to 12, days to 31 (not checked against the month); years
     of two digits below 50 are of this century.
     """
-    s = F.regexp_replace(text(value), r"^\s+|\s+$", "")
     months = F.create_map(*[F.lit(x) for n, m in enumerate(MONTHS, 1) for k in {m, m[:3], "sept" if n == 9 else m} for x in (k, n)])
 
-    def read(pattern: str, y: int, m: int, d: int, name: bool) -> Column:
-        year = group(s, pattern, y).try_cast("int")
-        year = F.when(year < 50, year + 2000).when(year < 100, year + 1900).otherwise(year)
+    def iso(d: Column) -> Column:
+        year = let(d["y"], lambda y: F.when(y < 50, y + 2000).when(y < 100, y + 1900).otherwise(y))
+        good = d["m"].between(1, 12) & d["d"].between(1, 31)
+        return let(year, lambda y: F.when(y.between(1900, 2100) & good, F.format_string("%04d-%02d-%02d", y, d["m"], d["d"])))
+
+    def read(s: Column, pattern: str, y: int, m: int, d: int, name: bool) -> Column:
         month = F.try_element_at(months, F.lower(group(s, pattern, m))) if name else group(s, pattern, m).try_cast("int")
-        day = group(s, pattern, d).try_cast("int")
-        return F.when(year.between(1900, 2100) & month.between(1, 12) & day.between(1, 31), F.format_string("%04d-%02d-%02d", year, month, day))
-
-    return F.coalesce(
-        read(r"^(\d{4})-(\d{2})-(\d{2})$", 1, 2, 3, False),
-        read(r"^(\d{1,2})[/-](\d{1,2})[/-](\d{2,4})$", 3, 1, 2, False),
-        read(r"^([A-Z]+)\.?\s+(\d{1,2})(?:st|nd|rd|th)?,?\s+(\d{4})$", 3, 1, 2, True),
-        read(r"^(\d{1,2})(?:st|nd|rd|th)?\s+(?:day\s+)?of\s+([A-Z]+),?\s+(\d{4})$", 3, 2, 1, True),
-        read(r"^(\d{1,2})\s+([A-Z]+)\s+(\d{4})$", 3, 2, 1, True),
-        col(value),
-    )
+        return let(F.struct(group(s, pattern, y).try_cast("int").alias("y"), month.alias("m"), group(s, pattern, d).try_cast("int").alias("d")), iso)
+
+    def first(s: Column) -> Column:
+        return F.coalesce(
+            read(s, r"^(\d{4})-(\d{2})-(\d{2})$", 1, 2, 3, False),
+            read(s, r"^(\d{1,2})[/-](\d{1,2})[/-](\d{2,4})$", 3, 1, 2, False),
+            read(s, r"^([A-Z]+)\.?\s+(\d{1,2})(?:st|nd|rd|th)?,?\s+(\d{4})$", 3, 1, 2, True),
+            read(s, r"^(\d{1,2})(?:st|nd|rd|th)?\s+(?:day\s+)?of\s+([A-Z]+),?\s+(\d{4})$", 3, 2, 1, True),
+            read(s, r"^(\d{1,2})\s+([A-Z]+)\s+(\d{4})$", 3, 2, 1, True),
+        )
+
+    return F.coalesce(let(F.regexp_replace(text(value), r"^\s+|\s+$", ""), first), col(value))
 
 
 def case_year(case_number: C) -> Column:

@@ -57,7 +57,7 @@ def loan_amount(notice: Column) -> Column:
 def _modification(flat: Column, deed_date: Column, own_number: Column) -> Column:
     """struct(deed_date, original, document, modified)."""
     every = lambda patterns, group: F.flatten(F.array(*[F.regexp_extract_all(flat, F.lit(p), group) for p in patterns]))
-    dates = F.filter(F.transform(every(P.MODIFIED_DATE, 1), lambda d: prose_date(squeeze(d))), lambda d: F.regexp_like(d, F.lit(r"^\d{4}-\d{2}-\d{2}$")))
+    dates = F.filter(F.transform(F.transform(every(P.MODIFIED_DATE, 1), squeeze), prose_date), lambda d: F.regexp_like(d, F.lit(r"^\d{4}-\d{2}-\d{2}$")))
     numbers = F.flatten(F.transform(every(P.MODIFIED_PASSAGE, 0), lambda passage: F.regexp_extract_all(passage, F.lit(P.MODIFIED_NUMBER), 1)))
     modified = has(flat, P.MODIFIED)
     none = F.array().cast("array<string>")
@@ -103,7 +103,7 @@ def notice_fields(notices: DataFrame, value: str = "text", *, state: str = "TX")
     modification); the original date of a deed and the modification's number are null unless told."""
     notice = text(value)
     own = F.regexp_extract(notice, P.OWN_NUMBER, 1)
-    deed = let(_first(_matches(notice, P.DEED_DATE)), lambda d: prose_date(squeeze(d)))
+    deed = let(squeeze(_first(_matches(notice, P.DEED_DATE))), prose_date)
     read = notices.withColumns({
         "__b": borrower(notice), "__m": let(squeeze(notice), lambda flat: _modification(flat, deed, own)), "__a": property_address(notice), "__l": legal_of(notice),
         "__n": let(squeeze(notice), lambda flat: _first(_matches(flat, P.LOAN_NUMBER))),
