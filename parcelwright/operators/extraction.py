@@ -100,7 +100,8 @@ def legal_of(notice: Column) -> Column:
 
 def notice_fields(notices: DataFrame, value: str = "text", *, state: str = "TX") -> DataFrame:
     """notices with FIELDS read from their text. A blank or null text gives "" (null amount, no
-    modification); the original date of a deed and the modification's number are null unless told."""
+    modification); the original date of a deed and the modification's number are null unless told.
+    The patterns' time can grow with the square of the longest word: made for pages, not for blobs."""
     notice = text(value)
     own = F.regexp_extract(notice, P.OWN_NUMBER, 1)
     deed = let(squeeze(_first(_matches(notice, P.DEED_DATE))), prose_date)

@@ -136,3 +136,39 @@ def test_payload_values():
     assert p.as_text({"fullName": " A ", "x": 1}) == "A" and p.as_text({"x": 1, "y": [2, None]}) == "x=1, y=2" and p.as_text(None) == ""
     assert p.names_joined(["A", "", {"name": "B"}]) == "A; B" and p.names_joined("A") == "A"
     assert p.hydrated_state("window.__data = {'") is None and p.hydrated_state(None) is None and p.cards("") == []
+
+
+def test_a_plan_is_written_only_with_the_switch(spark, tmp_path):
+    from parcelwright.sources.sinks import applied
+
+    path = str(tmp_path / "store")
+    plan = spark.createDataFrame([(1, "a")], "id long, v string")
+    assert applied(plan, path).count() == 1 and not (tmp_path / "store").exists()
+    applied(plan, path, apply=True)
+    applied(plan.limit(0), path, apply=True)  # an empty plan leaves what is stored
+    assert [tuple(r) for r in spark.read.json(path).select("id", "v").collect()] == [(1, "a")]
+
+
+def test_sheets_without_a_header_are_named(spark):
+    from parcelwright.sources.readers import by_header, without_header
+
+    rows = [("a", 0, ["Ref No", "Status", "Case Type"]), ("a", 1, ["CE1", "New", "X"]), ("b", 0, ["Ref No", "Status"]), ("b", 1, ["CE2", None, "Y"])]
+    sheet = spark.createDataFrame(rows, "file string, pos int, cells array<string>")
+    found = by_header(sheet)
+    assert [(r.file, r.ref_no, r.address) for r in found.collect()] == [("a", "CE1", "")]
+    assert [r.file for r in without_header(sheet, found).collect()] == ["b"]
+
+
+def test_pages_that_cannot_be_read_give_nothing(spark):
+    from parcelwright.sources import parcel_pages as P
+
+    pages = spark.createDataFrame([(None,), ("",), ("<table><tr><td class=_ownerName",), ("<dl><dt>Mail</dt></dl>",)], "page string")
+    out = pages.select(P.search_rows("page").alias("rows"), P.detail("page").alias("d")).select("rows", P.page_record("d", city="X").alias("r"), P.page_mail("d").alias("m"), P.page_legal("d").alias("l"))
+    assert all(not r.rows and r.r is None and r.m is None and r.l == "" for r in out.collect())
+
+
+def test_blank_notices_give_blank_fields(spark):
+    from parcelwright.operators.extraction import notice_fields
+
+    out = notice_fields(spark.createDataFrame([(None, 1), ("", 2), ("x" * 50_000, 3)], "text string, lender long")).collect()
+    assert all(r.owner == r.lender == r.prop_address == r.legal_lot == "" and r.loan_amount is None and not r.has_loan_mod for r in out)
