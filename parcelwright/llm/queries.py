@@ -11,6 +11,7 @@ from . import chat_format as chat
 from .common import table
 from .decontaminate import contaminated
 from .embedding_dedup import near_vectors
+from .interval_join import floored, micros, overlaps, sessions
 from .language import identify
 from .line_dedup import line_dedup
 from .order_minhash import near_duplicates
@@ -131,7 +132,60 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels").select("doc_id", "toxic"))
 
 
-QUERIES = {"op2_toxicity": op2_toxicity, "op4_language": op4_language, "op6_embedding_dedup": op6_embedding_dedup, "pipeline": corpus_pipeline.run, "op3_quality": op3_quality, "op9_decontaminate": op9_decontaminate, "op10_order_minhash": op10_order_minhash, "op1_line_dedup": op1_line_dedup, "op5_chat_format": op5_chat_format, "op7_bpe": op7_bpe, "op8_substring_dedup": op8_substring_dedup}
-ORACLES = {"op1_line_dedup": OP1_SQL, "op5_chat_format": OP5_SQL}
+#: A client's clicks further apart than this are of different sessions; a slot.
+SESSION_GAP_US, HOUR_US = 600_000_000, 3_600_000_000
+
+
+def op12_interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clicks, sales, lines = (table(spark, sf_dir, t) for t in ("clicks", "sales", "sale_lines"))
+    clicks = clicks.select(F.col("client_id").alias("key"), micros(clicks, "ts").alias("us"), (F.col("kind") == "purchase").alias("flag"))
+    slot = lambda c: floored(F.col(c), HOUR_US)
+    found = sessions(clicks, SESSION_GAP_US)
+    right = found.select("key", slot("first").alias("start"), F.when(~F.col("flag"), slot("last")).alias("end"), F.crc32(F.col("first").cast("string").cast("binary")).alias("weight"))
+    shipped = lines.groupBy("sale_id").agg(F.max("shipped_at").alias("shipped_at"), F.max(F.col("shipped_at").isNull()).alias("waits"))
+    shipped = shipped.select("sale_id", micros(shipped, "shipped_at").alias("shipped"), "waits")
+    sold = sales.where("client_id is not null and sold_at is not null").select("sale_id", F.col("client_id").alias("key"), micros(sales, "sold_at").alias("sold"))
+    sold = sold.join(shipped, "sale_id", "left").withColumn("until", F.greatest("sold", "shipped"))
+    left = sold.select(F.col("sale_id").alias("id"), "key", slot("sold").alias("start"), F.when(~F.coalesce("waits", F.lit(False)), slot("until")).alias("end"))
+    out = overlaps(left, right)
+    return out.select(F.col("id").alias("sale_id"), "relation", "n_pairs", F.col("overlap").alias("overlap_slots"), F.col("weight").alias("sessions_crc"))
+
+
+OP12_SQL = r"""
+WITH c AS (
+  SELECT client_id, epoch_us(ts) AS us, coalesce(kind = 'purchase', FALSE) AS buys FROM clicks WHERE client_id IS NOT NULL AND ts IS NOT NULL
+), d AS (
+  SELECT *, CASE WHEN us - lag(us) OVER (PARTITION BY client_id ORDER BY us) <= 600000000 THEN 0 ELSE 1 END AS new FROM c
+), e AS (
+  SELECT *, sum(new) OVER (PARTITION BY client_id ORDER BY us RANGE UNBOUNDED PRECEDING) AS s FROM d
+), f AS (
+  SELECT client_id, s, min(us) AS first, max(us) AS last FROM e GROUP BY ALL
+), table_of AS (
+  SELECT list_transform(range(0, 256), lambda i: list_reduce(list_prepend(i, range(0, 8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS crcs
+), w AS (
+  SELECT f.client_id, first // 3600000000 AS a, CASE WHEN bool_or(e.buys) THEN NULL ELSE last // 3600000000 END AS z,
+    xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(first AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+      lambda c, b: xor(crcs[CAST((xor(c, b) & 255) + 1 AS BIGINT)], c >> 8))) AS crc
+  FROM f JOIN e ON e.client_id = f.client_id AND e.s = f.s AND e.us = f.last CROSS JOIN table_of GROUP BY f.client_id, f.s, first, last, crcs
+), l AS (
+  SELECT sale_id, max(epoch_us(shipped_at)) AS last, bool_or(shipped_at IS NULL) AS waits FROM sale_lines GROUP BY sale_id
+), v AS (
+  SELECT s.sale_id, s.client_id, epoch_us(s.sold_at) // 3600000000 AS a,
+    CASE WHEN coalesce(l.waits, FALSE) THEN NULL ELSE greatest(epoch_us(s.sold_at), l.last) // 3600000000 END AS z
+  FROM sales s LEFT JOIN l ON l.sale_id = s.sale_id WHERE s.client_id IS NOT NULL AND s.sold_at IS NOT NULL
+), p AS (
+  SELECT v.sale_id, w.crc, sign(v.a - w.a) AS begins,
+    CASE WHEN v.z IS NULL AND w.z IS NULL THEN 0 WHEN v.z IS NULL THEN 1 WHEN w.z IS NULL THEN -1 ELSE sign(v.z - w.z) END AS ends,
+    least(v.z, w.z) - greatest(v.a, w.a) + 1 AS shared
+  FROM v JOIN w ON v.client_id = w.client_id AND (v.z IS NULL OR w.a <= v.z) AND (w.z IS NULL OR w.z >= v.a)
+)
+SELECT sale_id, ['overlaps', 'finished_by', 'contains', 'starts', 'equals', 'started_by', 'during', 'finishes', 'overlapped_by'][CAST(3 * begins + ends + 5 AS BIGINT)] AS relation,
+  CAST(count(*) AS BIGINT) AS n_pairs, CAST(sum(shared) AS BIGINT) AS overlap_slots, CAST(sum(crc) AS BIGINT) AS sessions_crc
+FROM p GROUP BY ALL
+"""
+
+QUERIES = {"op12_interval_join": op12_interval_join, "op2_toxicity": op2_toxicity, "op4_language": op4_language, "op6_embedding_dedup": op6_embedding_dedup, "pipeline": corpus_pipeline.run, "op3_quality": op3_quality, "op9_decontaminate": op9_decontaminate, "op10_order_minhash": op10_order_minhash, "op1_line_dedup": op1_line_dedup, "op5_chat_format": op5_chat_format, "op7_bpe": op7_bpe, "op8_substring_dedup": op8_substring_dedup}
+ORACLES = {"op1_line_dedup": OP1_SQL, "op5_chat_format": OP5_SQL, "op12_interval_join": OP12_SQL}
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
