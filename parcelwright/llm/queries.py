@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from . import bpe
 from . import chat_format as chat
+from .collocations import collocations
 from .common import table
 from .decontaminate import contaminated
 from .embedding_dedup import near_vectors
@@ -132,6 +133,51 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels").select("doc_id", "toxic"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
+OP11_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, 'und') AS lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+), pieces AS (
+  SELECT d, lang, generate_subscripts(p, 1) AS i, unnest(p) AS piece FROM (SELECT d, lang, regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]') AS p FROM docs)
+), words AS (
+  SELECT d, lang, i, generate_subscripts(p, 1) AS j, unnest(p) AS w FROM (SELECT d, lang, i, regexp_extract_all(piece, '[^\x20\x09]+') AS p FROM pieces)
+), grams AS (
+  SELECT lang, w AS w1, lead(w, 1) OVER x AS w2, lead(w, 2) OVER x AS w3, lead(w, 3) OVER x AS w4 FROM words WINDOW x AS (PARTITION BY d, i ORDER BY j)
+), f AS (
+  SELECT lang, [w1] AS g, count(*) AS a FROM grams GROUP BY ALL
+  UNION ALL SELECT lang, [w1, w2], count(*) FROM grams WHERE w2 IS NOT NULL GROUP BY lang, w1, w2
+  UNION ALL SELECT lang, [w1, w2, w3], count(*) FROM grams WHERE w3 IS NOT NULL GROUP BY lang, w1, w2, w3
+  UNION ALL SELECT lang, [w1, w2, w3, w4], count(*) FROM grams WHERE w4 IS NOT NULL GROUP BY lang, w1, w2, w3, w4
+), c AS (
+  SELECT lang, g, a, len(g) AS m FROM f WHERE len(g) > 1 AND a >= 30
+), starts AS (
+  SELECT *, unnest(range(1, m + 1)) AS s FROM c WHERE m > 2
+), subs AS (
+  SELECT *, unnest(range(s + 1, m + 1)) AS z FROM starts
+), inside AS (
+  SELECT lang, g[s:z] AS g, max(a) AS longer FROM subs WHERE z - s + 1 < m GROUP BY lang, g[s:z]
+), kept AS (
+  SELECT c.* FROM c LEFT JOIN inside i ON i.lang = c.lang AND i.g = c.g WHERE i.longer IS NULL OR 100 * i.longer < 80 * c.a
+), cuts AS (
+  SELECT *, g[1:k] AS front, g[k + 1:] AS rest FROM (SELECT *, unnest(range(1, m)) AS k FROM kept)
+), scored AS (
+  SELECT u.lang, u.g, u.a, u.k, x.a AS l, y.a AS r, (CAST(2000000 AS HUGEINT) * u.a) // (CAST(x.a AS HUGEINT) + y.a) AS score
+  FROM cuts u JOIN f x ON x.lang = u.lang AND x.g = u.front JOIN f y ON y.lang = u.lang AND y.g = u.rest
+), best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1
+), ranked AS (
+  SELECT *, array_to_string(g, ' ') AS phrase FROM best
+), n AS (
+  SELECT lang, count(*) AS n FROM words GROUP BY lang
+)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM ranked) JOIN n USING (lang) WHERE rank <= 2000
+"""
+
 #: A client's clicks further apart than this are of different sessions; a slot.
 SESSION_GAP_US, HOUR_US = 600_000_000, 3_600_000_000
 
@@ -185,7 +231,7 @@ SELECT sale_id, ['overlaps', 'finished_by', 'contains', 'starts', 'equals', 'sta
 FROM p GROUP BY ALL
 """
 
-QUERIES = {"op12_interval_join": op12_interval_join, "op2_toxicity": op2_toxicity, "op4_language": op4_language, "op6_embedding_dedup": op6_embedding_dedup, "pipeline": corpus_pipeline.run, "op3_quality": op3_quality, "op9_decontaminate": op9_decontaminate, "op10_order_minhash": op10_order_minhash, "op1_line_dedup": op1_line_dedup, "op5_chat_format": op5_chat_format, "op7_bpe": op7_bpe, "op8_substring_dedup": op8_substring_dedup}
-ORACLES = {"op1_line_dedup": OP1_SQL, "op5_chat_format": OP5_SQL, "op12_interval_join": OP12_SQL}
+QUERIES = {"op11_collocations": op11_collocations, "op12_interval_join": op12_interval_join, "op2_toxicity": op2_toxicity, "op4_language": op4_language, "op6_embedding_dedup": op6_embedding_dedup, "pipeline": corpus_pipeline.run, "op3_quality": op3_quality, "op9_decontaminate": op9_decontaminate, "op10_order_minhash": op10_order_minhash, "op1_line_dedup": op1_line_dedup, "op5_chat_format": op5_chat_format, "op7_bpe": op7_bpe, "op8_substring_dedup": op8_substring_dedup}
+ORACLES = {"op1_line_dedup": OP1_SQL, "op5_chat_format": OP5_SQL, "op11_collocations": OP11_SQL, "op12_interval_join": OP12_SQL}
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
