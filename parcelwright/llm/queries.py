@@ -17,6 +17,7 @@ from .language import identify
 from .line_dedup import line_dedup
 from .order_minhash import near_duplicates
 from .quality import score_quality
+from .secret_scan import as_text, scan_secrets
 from .toxicity import score_toxicity
 from .substring_dedup import substring_dedup
 
@@ -231,7 +232,48 @@ SELECT sale_id, ['overlaps', 'finished_by', 'contains', 'starts', 'equals', 'sta
 FROM p GROUP BY ALL
 """
 
-QUERIES = {"op11_collocations": op11_collocations, "op12_interval_join": op12_interval_join, "op2_toxicity": op2_toxicity, "op4_language": op4_language, "op6_embedding_dedup": op6_embedding_dedup, "pipeline": corpus_pipeline.run, "op3_quality": op3_quality, "op9_decontaminate": op9_decontaminate, "op10_order_minhash": op10_order_minhash, "op1_line_dedup": op1_line_dedup, "op5_chat_format": op5_chat_format, "op7_bpe": op7_bpe, "op8_substring_dedup": op8_substring_dedup}
-ORACLES = {"op1_line_dedup": OP1_SQL, "op5_chat_format": OP5_SQL, "op11_collocations": OP11_SQL, "op12_interval_join": OP12_SQL}
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    return found.select("doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"), F.sha2(as_text(F.col("base")), 256).alias("base_sha256"), as_text(F.array_sort(F.concat("base", "linked"))).alias("spans"))
+
+
+OP13_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS d, doc_id, coalesce(text, '') AS text FROM documents
+), patterns(kind, role, pattern) AS (VALUES
+  (0, 'secret', '([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)'),
+  (1, 'access', 'AKIA[A-Z0-9]+'),
+  (2, 'secret', '[0-9a-f]+'),
+  (3, 'access', '(([Cc][Ll][Ii][Ee][Nn][Tt]|[Aa][Cc][Cc][Oo][Uu][Nn][Tt]|[Tt][Ee][Nn][Aa][Nn][Tt]|[Uu][Ss][Ee][Rr]|[Kk][Ee][Yy]|[Aa][Cc][Cc][Ee][Ss][Ss]_?[Kk][Ee][Yy])[_-]?[Ii][Dd]|[Ll][Oo][Gg][Ii][Nn]|[Uu][Ss][Ee][Rr][Nn][Aa][Mm][Ee])["'']?\x20*[:=]\x20*["'']?[A-Za-z0-9_.@-]+'),
+  (4, 'secret', '[A-Za-z0-9+/_-]+'),
+  (5, 'endpoint', '[A-Za-z][A-Za-z0-9+.-]*://[^\x20\x09-\x0D"''<>]+')
+), lists AS (
+  SELECT d, kind, role, pattern, regexp_extract_all(text, pattern) AS ms, regexp_split_to_array(text, pattern) AS gaps FROM docs, patterns WHERE regexp_matches(text, pattern)
+), hits AS (
+  SELECT d, kind, role, pattern, generate_subscripts(ms, 1) AS i, unnest(ms) AS m, unnest(gaps[1:len(ms)]) AS gap FROM lists
+), placed AS (
+  SELECT d, kind, role, pattern, m, sum(length(gap) + length(m)) OVER (PARTITION BY d, kind ORDER BY i) AS z FROM hits
+), spans AS (
+  SELECT d, kind, role, CAST(z - length(m) AS BIGINT) AS a, CAST(z AS BIGINT) AS z FROM placed WHERE CASE kind
+    WHEN 0 THEN length(regexp_extract(m, pattern, 2)) >= 6 WHEN 1 THEN length(m) >= 20 WHEN 2 THEN length(m) >= 24
+    WHEN 4 THEN length(m) >= 20 AND regexp_matches(m, '[A-Z]') AND regexp_matches(m, '[a-z]') AND regexp_matches(m, '[0-9]') ELSE TRUE END
+), parts AS (
+  SELECT s.*, len(regexp_extract_all(left(text, a), '\n[\x20\x09\x0D]*\n')) AS para FROM spans s JOIN docs USING (d)
+  WHERE kind < 3 OR NOT EXISTS (SELECT 1 FROM spans b WHERE b.d = s.d AND b.kind < 3 AND b.a < s.z AND b.z > s.a)
+), linked AS (
+  SELECT w.d, w.kind, w.a, w.z FROM parts w JOIN parts o ON o.d = w.d AND o.para = w.para AND o.role <> w.role AND o.a < w.z + 300 AND o.z > w.a - 300
+  WHERE w.kind >= 3 GROUP BY ALL HAVING bool_or(o.kind < 3) OR count(DISTINCT o.role) = 2
+), shown AS (
+  SELECT d, kind, a, ['assign', 'access', 'hex', 'identifier', 'blob', 'endpoint'][kind + 1] || ':' || a || ':' || z AS t
+  FROM (SELECT d, kind, a, z FROM parts WHERE kind < 3 UNION ALL SELECT d, kind, a, z FROM linked)
+)
+SELECT doc_id, CAST(count(*) FILTER (kind = 0) AS BIGINT) AS n_assign, CAST(count(*) FILTER (kind = 1) AS BIGINT) AS n_access, CAST(count(*) FILTER (kind = 2) AS BIGINT) AS n_hex,
+  sha256(coalesce(string_agg(t, ',' ORDER BY a, kind) FILTER (kind < 3), '')) AS base_sha256, coalesce(string_agg(t, ',' ORDER BY a, kind), '') AS spans
+FROM docs LEFT JOIN shown USING (d) GROUP BY d, doc_id
+"""
+
+QUERIES = {"op13_secret_scan": op13_secret_scan, "op11_collocations": op11_collocations, "op12_interval_join": op12_interval_join, "op2_toxicity": op2_toxicity, "op4_language": op4_language, "op6_embedding_dedup": op6_embedding_dedup, "pipeline": corpus_pipeline.run, "op3_quality": op3_quality, "op9_decontaminate": op9_decontaminate, "op10_order_minhash": op10_order_minhash, "op1_line_dedup": op1_line_dedup, "op5_chat_format": op5_chat_format, "op7_bpe": op7_bpe, "op8_substring_dedup": op8_substring_dedup}
+ORACLES = {"op1_line_dedup": OP1_SQL, "op5_chat_format": OP5_SQL, "op11_collocations": OP11_SQL, "op12_interval_join": OP12_SQL, "op13_secret_scan": OP13_SQL}
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
