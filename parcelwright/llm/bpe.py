@@ -78,7 +78,7 @@ def _merge_long(parts: list[bytes], ranks: dict[bytes, int]) -> list[int]:
     return [ranks[p] for p in piece if p is not None]
 
 
-def _by_part(words: list[bytes], parts: int) -> tuple[np.ndarray, np.ndarray]:
+def by_part(words: list[bytes], parts: int) -> tuple[np.ndarray, np.ndarray]:
     """The order of words by part, and the part of each in that order."""
     part = np.fromiter(map(zlib.crc32, words), np.uint32, len(words)) % parts
     order = np.argsort(part, kind="stable")
@@ -111,7 +111,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, id_col: st
         for batch in batches:
             for row in batch.to_pylist():
                 words = B.unpack_words(row["words"])
-                order, part = _by_part(words, parts)
+                order, part = by_part(words, parts)
                 cuts = np.flatnonzero(np.diff(part, prepend=-1, append=-1)) if len(part) else []
                 out = [(int(part[a]), B.pack_words([words[k] for k in order[a:b].tolist()])) for a, b in zip(cuts[:-1], cuts[1:])]
                 yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in out], pa.int32()), pa.array([row["block"]] * len(out), pa.int64()), pa.array([d for _, d in out], pa.binary())], names=["part", "block", "data"])
@@ -130,7 +130,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, id_col: st
         return out
 
     def use(block: B.Block, answers: list[dict]) -> Iterator[tuple]:
-        order, part = _by_part(block.words, parts)
+        order, part = by_part(block.words, parts)
         sizes, flat = np.zeros(len(order), np.int64), []
         for row in sorted(answers, key=lambda r: r["part"]):
             n = int.from_bytes(row["data"][:4], "little")

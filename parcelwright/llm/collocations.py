@@ -21,9 +21,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .blocks import BLOCK_CHARS, pack, pack_words, unpack, unpack_words
+from .blocks import BLOCK_CHARS, pack, pack_words, parts_for, unpack, unpack_words
+from .bpe import by_part
 from .common import spread_join, thinned, written
 
+#: Entries of word lists in one part; the block number of a part's dictionary.
+PART_WORDS, DICTIONARY = 150_000, -1
 #: Words of the longest phrase; a key has room for so many numbers of 32 bits.
 LONGEST = 4
 #: Entries of the key ranges that one task merges.
@@ -37,7 +40,7 @@ RANKED = 50_000
 BREAK = b"\xff"
 #: A to Z in lower case, ends of pieces as a byte that no text holds, tab as space.
 _BYTES = bytes(255 if chr(b) in ".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
-_BLOCKS = "block long, lang string, n_tokens long, codes binary, words binary, counts binary"
+_BLOCKS = "block long, lang string, n_tokens long, n_words long, codes binary, words binary, counts binary"
 WORDS = [f"w{k}" for k in range(1, LONGEST + 1)]
 
 
@@ -57,8 +60,8 @@ def _packed(block_chars: int):  # noqa: ANN202
             del held[lang]
             flat = np.concatenate(codes)
             counts = np.bincount(flat, minlength=len(index))[1:].astype(np.uint32)
-            values = [number + next(seq), lang, int(counts.sum()), pack(flat), pack_words(list(index)[1:]), pack(counts)]
-            types = [pa.int64(), pa.string(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+            values = [number + next(seq), lang, int(counts.sum()), len(counts), pack(flat), pack_words(list(index)[1:]), pack(counts)]
+            types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types)], names=[c.split()[0] for c in _BLOCKS.split(", ")])
 
         for batch in batches:
@@ -81,16 +84,59 @@ def _packed(block_chars: int):  # noqa: ANN202
     return run
 
 
-def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The words of blocks, a row each, with their counts and places in the block's list."""
+def _sent(parts: int):  # noqa: ANN202
+    """The words of blocks with their counts, dealt out by word."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                words, counts = unpack_words(row["words"]), unpack(row["counts"], np.uint32)
+                order, part = by_part(words, parts)
+                cuts = np.flatnonzero(np.diff(part, prepend=-1, append=-1)) if len(part) else []
+                out = []
+                for a, b in zip(cuts[:-1], cuts[1:]):
+                    some = pack(counts[order[a:b]])
+                    out.append((int(part[a]), len(some).to_bytes(4, "little") + some + pack_words([words[k] for k in order[a:b].tolist()])))
+                n = len(out)
+                yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in out], pa.int32()), pa.array([row["block"]] * n, pa.int64()), pa.array([row["lang"]] * n, pa.string()), pa.array([d for _, d in out], pa.binary())], names=["part", "block", "lang", "data"])
+
+    return run
+
+
+def _numbered(sent: DataFrame, parts: int, min_count: int) -> DataFrame:
+    """(block, part, lang, data): for each list of words that a block sent, their numbers (0 for a word of
+    fewer than min_count occurrences), and, as block DICTIONARY, the words that have one. A part
+    numbers its own words, the most frequent first, so that nothing has to be counted over all parts."""
+
+    def run(group: pa.Table) -> pa.Table:
+        part, rows, totals = group.column("part")[0].as_py(), [], defaultdict(int)
+        for block, lang, data in zip(*(group.column(c).to_pylist() for c in ("block", "lang", "data"))):
+            n = int.from_bytes(data[:4], "little")
+            words = unpack_words(data[4 + n :])
+            rows.append((block, lang, words))
+            for w, c in zip(words, unpack(data[4 : 4 + n], np.uint32).tolist()):
+                totals[lang, w] += c
+        often = sorted((k for k, c in totals.items() if c >= min_count), key=lambda k: (-totals[k], k))
+        if len(often) * parts >= 1 << 32:
+            raise ValueError("more frequent words than a key has room for")
+        number = {k: i * parts + part + 1 for i, k in enumerate(often)}
+        out = [(block, lang, pack(np.array([number.get((lang, w), 0) for w in words], np.uint32))) for block, lang, words in rows]
+        for lang in {lang for lang, _ in often}:
+            own = [k for k in often if k[0] == lang]
+            facts = pack(np.array([[number[k], totals[k]] for k in own], np.int64).T.copy().reshape(-1))
+            out.append((DICTIONARY, lang, len(facts).to_bytes(4, "little") + facts + pack_words([w for _, w in own])))
+        return pa.table({"block": pa.array([o[0] for o in out], pa.int64()), "part": pa.array([part] * len(out), pa.int32()), "lang": pa.array([o[1] for o in out], pa.string()), "data": pa.array([o[2] for o in out], pa.binary())})
+
+    return sent.groupBy("part").applyInArrow(run, "block long, part int, lang string, data binary")
+
+
+def _dictionary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
-            words = unpack_words(row["words"])
-            n = len(words)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([row["block"]] * n, pa.int64()), pa.array([row["lang"]] * n, pa.string()), pa.array(words, pa.binary()).cast(pa.string()), pa.array(np.arange(n, dtype=np.int32)), pa.array(unpack(row["counts"], np.uint32).astype(np.int64))],
-                names=["block", "lang", "word", "at", "n"],
-            )
+            n = int.from_bytes(row["data"][:4], "little")
+            ids, totals = unpack(row["data"][4 : 4 + n], np.int64).reshape(2, -1)
+            words = unpack_words(row["data"][4 + n :])
+            yield pa.RecordBatch.from_arrays([pa.array([row["lang"]] * len(words), pa.string()), pa.array(words, pa.binary()).cast(pa.string()), pa.array(ids), pa.array(totals)], names=["lang", "word", "id", "a"])
 
 
 def radix_order(keys: np.ndarray) -> np.ndarray:
@@ -159,35 +205,24 @@ def _blocks_of(docs: DataFrame, text_col: str, lang_col: str, block_chars: int)
     return written(rows.mapInArrow(_packed(block_chars), _BLOCKS), "phrases")
 
 
-def _numbered(frequent: DataFrame) -> DataFrame:
-    """Rows with id: whole numbers from 1, without one task that sees all rows."""
-    place = F.monotonically_increasing_id()
-    held = written(frequent.withColumn("__part", F.shiftright(place, 33)).withColumn("__row", place.bitwiseAND((1 << 33) - 1)), "dictionary")
-    sizes = held.groupBy("__part").count().orderBy("__part").collect()  # one row a partition
-    before = np.concatenate(([0], np.cumsum([r["count"] for r in sizes]))).tolist()
-    if before[-1] >= 1 << 32:
-        raise ValueError("more frequent words than a key has room for")
-    offsets = held.sparkSession.createDataFrame([(r["__part"], b) for r, b in zip(sizes, before)], "__part long, __first long")
-    return held.join(offsets, "__part").withColumn("id", F.col("__first") + F.col("__row") + 1).drop("__part", "__row", "__first")
-
-
-def _runs(blocks: DataFrame, numbers: DataFrame) -> DataFrame:
+def _runs(blocks: DataFrame, numbers: DataFrame, parts: int) -> DataFrame:
     """(block, n, data): the counted keys of each block, in order."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        at, ids = right.column("at").to_numpy(), right.column("id").to_numpy()
+        found = [d for _, d in sorted(zip(right.column("part").to_pylist(), right.column("data").to_pylist()))]
+        ids = np.concatenate([unpack(d, np.uint32) for d in found]) if found else np.empty(0, np.uint32)
         out = []
         for row in left.to_pylist():
-            codes = unpack(row["codes"], np.uint32)
-            known = np.zeros(int(codes.max(initial=0)) + 1, np.uint32)
-            known[at + 1] = ids
-            keys = ngrams(known[codes])
+            order, _ = by_part(unpack_words(row["words"]), parts)
+            known = np.zeros(len(order) + 1, np.uint32)  # 0 is BREAK
+            known[order + 1] = ids
+            keys = ngrams(known[unpack(row["codes"], np.uint32)])
             keys, counts = run_lengths(keys, np.ones(len(keys), np.int64))
             if len(keys):
                 out.append((row["block"], len(keys), _pack_run(keys, counts)))
         return pa.table({"block": pa.array([o[0] for o in out], pa.int64()), "n": pa.array([o[1] for o in out], pa.int64()), "data": pa.array([o[2] for o in out], pa.binary())})
 
-    return blocks.select("block", "codes").groupBy("block").cogroup(numbers.groupBy("block")).applyInArrow(run, "block long, n long, data binary")
+    return blocks.select("block", "codes", "words").groupBy("block").cogroup(numbers.groupBy("block")).applyInArrow(run, "block long, n long, data binary")
 
 
 def _splits(runs: DataFrame, ranges: int, blocks: int) -> np.ndarray:
@@ -307,12 +342,12 @@ def collocations(
     phrase's bytes. Columns other than text and lang play no part. A text may have 2 GB at most.
     """
     blocks = _blocks_of(docs, text_col, lang_col, block_chars)
-    entries = blocks.select("block", "lang", "words", "counts").mapInArrow(_entries, "block long, lang string, word string, at int, n long")
+    total = blocks.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
+    parts = parts_for(total, PART_WORDS)
     # min_count of a phrase is the least that its words have.
-    dictionary = _numbered(entries.groupBy("lang", "word").agg(F.sum("n").alias("a")).where(F.col("a") >= min_count))
-    dictionary = written(dictionary, "numbers")
-    numbers = spread_join(entries.select("block", "lang", "word", "at"), dictionary.select("lang", "word", "id"), ["lang", "word"], "block").select("block", "at", "id")
-    runs = written(_runs(blocks, numbers), "runs")
+    numbers = written(_numbered(blocks.select("block", "lang", "words", "counts").mapInArrow(_sent(parts), "part int, block long, lang string, data binary"), parts, min_count), "numbers")
+    dictionary = written(numbers.where(F.col("block") == DICTIONARY).mapInArrow(_dictionary, "lang string, word string, id long, a long"), "dictionary")
+    runs = written(_runs(blocks, numbers.where(F.col("block") != DICTIONARY).select("block", "part", "data"), parts), "runs")
     size = sum(((F.col(x) > 0).cast("int") for x in WORDS[1:]), F.lit(1))
     found = written(_counted(runs, min_count, range_keys).withColumn("size", size), "found")
     single = dictionary.select(F.col("id").alias("w1"), *[F.lit(0).cast("long").alias(x) for x in WORDS[1:]], "a")

@@ -95,7 +95,7 @@ def _joined(pieces: DataFrame, stretch, width: int, gap_us: int) -> DataFrame:
 def overlaps(left: DataFrame, right: DataFrame, *, block: int = BLOCK, salt_rows: int = SALT_ROWS) -> DataFrame:
     """Rows (id, relation, n_pairs, overlap, weight) for left (id, key, start, end) and right (key,
     start, end, weight): how many right intervals of the same key share a slot with the left one
-    in this relation, the slots shared in all (null where both are open), the sum of weights.
+    in this relation, the slots shared in all (null where both of a pair are open), the sum of weights.
 
     Bounds are longs, a null end is open. Rows with a null key or start, or that end before they
     start, pair with nothing; rows of an id, null too, are summed. A relation without pairs has no
