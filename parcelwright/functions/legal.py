@@ -7,10 +7,15 @@ from pyspark.sql import functions as F
 
 from .base import C, blank, col, group, has, squeeze, strip_chars, text
 
-# Patterns of lots and blocks, words that name no subdivision.
-_LOT = r"\b(?:LOTS?|LTS?)\s*[:\-]?\s*([\d,A-Z-]+)"
+# Patterns of lots, blocks and names, words that name no subdivision.
+_LOT = r"\b(?:LOT[S]?|LTS?)\s*[:\-]?\s*([\d,A-Z-]+)"
 _BLOCK = r"\bBLOCK\s*[:\-]?\s*([\dA-Z-]+)"
 _BLK = r"\b(?:BLK|BK)\.?\s*[:\-]?\s*([\dA-Z-]+)"
+_NAME_LABEL = r"SUBDIVISION[\s\-]+NAME[\s:]*"
+_KINDS = r"\bSUBDIVISION\b|\bADDITION\b|\bSECTION\b|\bPHASE\b"
+_BRACKETS = r"[\(\)]"
+_AGREE_LOT = r"\bLO?T?S?\.?\s*([0-9]+(?:[-\s]?[A-Z])?)\b"
+_AGREE_BLOCK = r"\bB(?:LO?C?K|K)\.?\s*([0-9]+(?:[-\s]?[A-Z])?)\b"
 NUMBER_WORDS = ("ONE", "TWO", "THREE", "FOUR", "FIVE", "SIX", "SEVEN", "EIGHT", "NINE", "TEN")
 STRUCTURAL = (
     "the", "of", "a", "an", "unit", "units", "block", "blk", "bk", "lot", "lots", "lt", "lts", "phase", "section", "sec", "pud", "pu",
@@ -30,8 +35,8 @@ def parse_legal(legal: C) -> Column:
     lot = strip_chars(F.regexp_extract(s, _LOT, 1), " ,-")
     named = F.regexp_extract(s, _BLOCK, 1)
     block = strip_chars(F.when(F.regexp_like(s, F.lit(_BLOCK)), named).otherwise(F.regexp_extract(s, _BLK, 1)), " ,-")
-    sub = F.regexp_replace(s, r"SUBDIVISION[\s\-]+NAME[\s:]*", " ")
-    for pattern in (_LOT, _BLOCK, _BLK, r"\bSUBDIVISION\b|\bADDITION\b|\bSECTION\b|\bPHASE\b", r"[\(\)]"):
+    sub = s
+    for pattern in (_NAME_LABEL, _LOT, _BLOCK, _BLK, _KINDS, _BRACKETS):
         sub = F.regexp_replace(sub, pattern, " ")
     sub = strip_chars(F.regexp_replace(sub, r"\s+", " "), " ,:-")
     for n, word in enumerate(NUMBER_WORDS, 1):
@@ -95,10 +100,6 @@ def lot_blocks_match(a: C, b: C) -> Column:
     return F.coalesce(~((x["block"] != "") & (y["block"] != "") & (x["block"] != y["block"])) & F.arrays_overlap(x["lots"], y["lots"]), F.lit(False))
 
 
-_AGREE_LOT = r"\bLO?T?S?\.?\s*([0-9]+(?:[-\s]?[A-Z])?)\b"
-_AGREE_BLOCK = r"\bB(?:LO?C?K|K)\.?\s*([0-9]+(?:[-\s]?[A-Z])?)\b"
-
-
 def legal_parts(legal: C) -> Column:
     """struct(subdivision, lot, block): what stands before the first lot or block, in upper case."""
     s = squeeze(F.upper(text(legal)))

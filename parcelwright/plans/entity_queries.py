@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import addresses, codes, legal, money
 from ..functions import owners as names
-from ..operators import joins, merge, ranking, summary
+from ..operators import joins, legal_index, merge, ranking, summary
 from .views import table, view, with_views
 
 QUERIES: dict = {}
@@ -106,7 +106,7 @@ def address_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select("c_custkey", *[s[x].alias(x) for x in ("street", "city", "state", "zip")])
 
 
-@query()
+@query(with_views("d_parcel") + """ SELECT prop_id, regexp_replace(situs, ' +(STREET|AVE)$', '') AS full_key, regexp_replace(regexp_replace(situs, ' +(STREET|AVE)$', ''), '^(\\d+) N ', '\\1 ') AS loose_key FROM d_parcel""")
 def address_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = addresses.address_words("situs")
     p = view(spark, sf_dir, "d_parcel").select("prop_id", words.alias("words"))
@@ -164,18 +164,16 @@ def legal_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 MATCH = with_views("d_parcel") + """, t AS (
-  SELECT prop_id, owner_id, regexp_extract(legal, 'LOT ([0-9]+)', 1) AS lot, regexp_extract(legal, 'BLK ([0-9]+)', 1) AS block FROM d_parcel)
-SELECT a.prop_id AS a, b.prop_id AS b FROM t a JOIN t b ON a.owner_id = b.owner_id AND a.prop_id < b.prop_id WHERE a.lot = b.lot AND a.block = b.block"""
+  SELECT prop_id, owner_id, regexp_extract(legal, 'SAMPLE (.*) UNIT', 1) AS kind, regexp_extract(legal, 'LOT ([0-9]+)', 1) AS lot, regexp_extract(legal, 'BLK ([0-9]+)', 1) AS block FROM d_parcel),
+n AS (SELECT owner_id, lot, block, count(*) AS n FROM t GROUP BY ALL)
+SELECT t.prop_id, min(t.prop_id) OVER (PARTITION BY owner_id, kind, lot, block) AS class_id, n.n - 1 AS n_links FROM t JOIN n USING (owner_id, lot, block)"""
 
 
 @query(MATCH)
 def legal_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parcels of one owner whose legals can be of one parcel. Every legal here is of the same
-    subdivision words, so lot and block decide."""
-    p = view(spark, sf_dir, "d_parcel").select("prop_id", "owner_id", legal.parse_legal("legal").alias("p"))
-    a, b = p.select(F.col("prop_id").alias("a"), "owner_id", F.col("p").alias("pa")), p.select(F.col("prop_id").alias("b"), "owner_id", F.col("p").alias("pb"))
-    pairs = a.join(b, (a["owner_id"] == b["owner_id"]) & (F.col("pa.lot") == F.col("pb.lot")) & (F.col("a") < F.col("b")))
-    return pairs.where(legal.legals_match(F.col("pa"), F.col("pb"))).select("a", "b")
+    """Parcels of one owner whose legals read alike, and how many can be of one parcel. Every legal
+    here has a word in common with every other, so lot and block decide."""
+    return legal_index.legal_classes(view(spark, sf_dir, "d_parcel").select("prop_id", "owner_id", "legal"), key="prop_id", within="owner_id")
 
 
 @query("""SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN array_to_string(range(p_partkey % 7, p_partkey % 7 + 3), ',') WHEN 1 THEN (p_partkey % 50) || ',' || (p_partkey % 50 + 1) ELSE (p_partkey % 50) || 'A' END AS lots,

@@ -45,12 +45,9 @@ def test_name_variants_are_few_and_distinct(name):
     assert len(out) <= 10 and len(set(out)) == len(out) and all(out)
 
 
-def test_match_words():
-    assert addresses.match_words("100 N. O'Sample Street Unit 4") == ["100", "N", "OSAMPLE"]
-    assert addresses.match_words("12 Twenty First St 101") == ["12", "21ST"]
-    assert addresses.match_words("5 MC SAMPLE LN C") == ["5", "MCSAMPLE"]
-    assert [addresses.ordinal(n) for n in (1, 2, 3, 11, 12, 13, 21)] == ["1ST", "2ND", "3RD", "11TH", "12TH", "13TH", "21ST"]
-    assert addresses.match_words(None) == []
+def test_match_words(spark):
+    cases = {"100 N. O'Sample Street Unit 4": ["100", "N", "OSAMPLE"], "12 Twenty First St 101": ["12", "21ST"], "5 MC SAMPLE LN C": ["5", "MCSAMPLE"], "": [], "MC MC MC X": ["MCMC", "MCX"], "FORTIETH NINTH THIRTY": ["40TH", "9TH", "THIRTY"]}
+    assert [v[0] for v in values(spark, list(cases), addresses.address_words("a"))] == list(cases.values())
 
 
 def test_lookup_candidates():

@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parcelwright.sources import html, readers, sinks
-from parcelwright.sources.paged import register
 from parcelwright.streaming import ledger
 
 RECORD = T.StructType([T.StructField("doc_num", T.StringType()), T.StructField("amount", T.DoubleType())])
@@ -46,17 +45,6 @@ def test_report_and_cache(spark):
     assert readers.usable_cache(cache).count() == 2
 
 
-def test_paged_source(spark, tmp_path):
-    for cat, pages in {"LP": [[{"a": 1}, {"a": 2}], [{"a": 3}], []], "JUD": [[{"a": 4}]]}.items():
-        (tmp_path / cat).mkdir()
-        for i, p in enumerate(pages):
-            (tmp_path / cat / f"{i}.json").write_text(json.dumps(p))
-    register(spark)
-    df = spark.read.format("landed_pages").option("path", str(tmp_path)).option("categories", "LP,JUD,NONE").load()
-    assert df.count() == 4
-    assert df.where("category = 'JUD'").select(F.get_json_object("row", "$.a")).collect()[0][0] == "4"
-
-
 def test_html(spark):
     page = "<table><tr><th>Doc Number</th><th>Party</th></tr><tr><td>1</td><td>N/A</td></tr></table><a href='/x'>Go  <b>on</b></a><dl><dt>Situs:</dt><dd>1 Sample St</dd></dl>"
     r = spark.createDataFrame([(page,), (None,)], "h string").select(html.table_rows("h").alias("t"), html.links("h").alias("l"), html.label_pairs("h").alias("p")).collect()
