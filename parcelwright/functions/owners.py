@@ -60,7 +60,10 @@ INSTITUTIONAL = (
 )
 ENTITY_OWNER = r"\b(LLC|INC|CORP|LP|LLP|LTD|TRUST|HOLDINGS?)\b"
 ENTITY_NAME = r"\b(LLC|INC|CORP|LP|LLP|LTD|TRUST|COMPANY|CO|HOLDINGS?)\b"
-AGENCY = r"(\b(COUNTY|CTY)\s+TRUSTEE|STRUCK\s*OFF|\bCOUNTY\s+OF\b|\bCITY\s+OF\b|\bSTATE\s+OF\b|HOUSING\s+AND\s+URBAN\s+DEVELOPMENT|SECRETARY\s+OF\s+HOUSING|\bHUD\b)"
+AGENCY = (
+    r"NUECES\s+(?:COUNTY|CTY|CO\b)|\b(?:COUNTY|CTY)\s+TRUSTEE|STRUCK\s*OFF|PORT\s+OF\s+CORPUS\s+CHRISTI|\bCOUNTY\s+OF\b|\bCITY\s+OF\b|STATE\s+OF\s+TEXAS"
+    r"|HOUSING\s+AND\s+URBAN\s+DEVELOPMENT|SECRETARY\s+OF\s+HOUSING|\bHUD\b"
+)
 
 
 def personal_despite_keyword(name: C) -> Column:

@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.identifiers import DEFAULT_YEAR
+from ..functions.owners import agency
 from .merge import is_blank
 from .ranking import best_per
 
@@ -63,10 +65,30 @@ def street_lookup(records: DataFrame, answers: DataFrame) -> DataFrame:
 
 def geocoded(leads: DataFrame, answers: DataFrame) -> DataFrame:
     """leads (uid) with lat and lon of answers (uid, match, lon_lat: "lon,lat"); only answers
-    that say Match count, the first by uid's row order being the caller's to choose."""
+    that say Match and hold two numbers count, of several for a uid the least text."""
     at = F.split("lon_lat", ",")
-    good = answers.where(F.col("match") == "Match").select("uid", F.get(at, F.lit(1)).try_cast("double").alias("lat"), F.get(at, F.lit(0)).try_cast("double").alias("lon"))
-    return leads.join(good.where("lat is not null and lon is not null").dropDuplicates(["uid"]), "uid", "left")
+    good = answers.where(F.col("match") == "Match").select("uid", "lon_lat", F.get(at, F.lit(1)).try_cast("double").alias("lat"), F.get(at, F.lit(0)).try_cast("double").alias("lon"))
+    best = good.where("lat is not null and lon is not null").groupBy("uid").agg(F.min_by(F.struct("lat", "lon"), "lon_lat").alias("a"))
+    return leads.join(best.select("uid", "a.lat", "a.lon"), "uid", "left")
+
+
+def accounts(records: DataFrame, pages: DataFrame, *, key: str = "doc_num", force: bool = False, year: str = DEFAULT_YEAR) -> DataFrame:
+    """What a run over parcel pages would write: key, result, account (null unless matched).
+
+    records have prop_id, year, owner_id and account; a blank year is `year`. pages (prop_id, year, owner_id,
+    account) give the account that a page shows, "" where it shows none; of several pages of a
+    parcel the greatest account counts. Results: no-prop-id, skipped-already (has an
+    account; with force it is read anew), matched, no-account-on-page. Each record has one row.
+    """
+    bare = lambda c: F.trim(F.coalesce(F.col(c).cast("string"), F.lit("")))
+    id_ = ["__prop", "__year", "__owner"]
+    of = lambda df: df.withColumns({"__prop": bare("prop_id"), "__year": F.when(bare("year") == "", year).otherwise(bare("year")), "__owner": bare("owner_id")})
+    shown = of(pages).where("__prop <> ''").groupBy(*id_).agg(F.max(bare("account")).alias("__account"))
+    asked = of(records).withColumn("__state", F.when(F.col("__prop") == "", "no-prop-id").when((bare("account") != "") & F.lit(not force), "skipped-already"))
+    # Records that are not asked for share a blank key; they do not meet the pages.
+    open_ = asked.where("__state is null").join(shown, id_, "left")
+    done = open_.select(key, F.when(F.coalesce("__account", F.lit("")) != "", "matched").otherwise("no-account-on-page").alias("result"), F.nullif("__account", F.lit("")).alias("account"))
+    return done.unionByName(asked.where("__state is not null").select(key, F.col("__state").alias("result"), F.lit(None).cast("string").alias("account")))
 
 
 def enrichment_plan(records: DataFrame, rows: DataFrame, *, key: str, done: Column, asked: Column, order: Sequence[Column], guard: Column, conflict: Column, fields: dict[str, str]) -> DataFrame:
@@ -89,10 +111,10 @@ def enrichment_plan(records: DataFrame, rows: DataFrame, *, key: str, done: Colu
     return out.select(key, result.alias("result"), *add)
 
 
-def lead_choice(cases: DataFrame, *, agency: Column, least_balance: float, only_missing: bool = True) -> DataFrame:
+def lead_choice(cases: DataFrame, *, least_balance: float, only_missing: bool = True) -> DataFrame:
     """cases with reason: why a case is not looked up (no_data, agency, below_min, done), null if it is."""
     data = is_blank(F.col("new_owner")) | is_blank(F.col("legal"))
-    reason = F.when(data, "no_data").when(F.coalesce(agency, F.lit(False)), "agency")
+    reason = F.when(data, "no_data").when(agency("new_owner"), "agency")
     if least_balance:
         reason = reason.when(F.coalesce(F.col("balance"), F.lit(0.0)) < least_balance, "below_min")
     if only_missing:
@@ -108,8 +130,8 @@ def evicted(records: DataFrame) -> DataFrame:
 
 def expiry_plan(records: DataFrame, cache: DataFrame, version: int = 6) -> DataFrame:
     """What expiring the cache for evicted records would do: doc_num, owner, action (expire, old
-    entry of another version, absent)."""
-    held = cache.select(F.col("owner"), F.col("version").alias("__version")).dropDuplicates(["owner"])
+    entry of another version, absent); of several entries of an owner the newest version counts."""
+    held = cache.groupBy("owner").agg(F.max("version").alias("__version"))
     out = evicted(records).join(held, "owner", "left")
     return out.select("doc_num", "owner", F.when(F.col("__version").isNull(), "absent").when(F.col("__version") == version, "expire").otherwise("other_version").alias("action"))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -80,3 +80,24 @@ def fill_block(records: DataFrame, found: DataFrame, key: str, fields: Sequence[
 def expire(cache: DataFrame, evicted: DataFrame, key: str, version: int = 6) -> DataFrame:
     """The cache without the look-ups of evicted keys; entries of other versions are left alone."""
     return cache.join(evicted.select(key, F.lit(version).alias("version")).distinct(), [key, "version"], "left_anti").select(cache.columns)
+
+
+def additions(records: DataFrame, best: DataFrame, key: str, *, fields: Mapping[str, str], block: Mapping[str, str], default: Mapping[str, str], zero_is_blank: Sequence[str] = ("market_value",)) -> DataFrame:
+    """What a look-up adds to records: key and one column for each field, null where nothing is added.
+
+    fields and block map a record's field to best's column (best has one row a key; records without one get
+    nulls only). A null or blank value adds nothing, nor does 0 for zero_is_blank; other fields keep a 0. default
+    gives the value of a field where best says none. Values overwrite, which is the caller's to apply.
+    """
+    columns = {f: c for m in (fields, block) for f, c in m.items()}
+    found = records.select(key).join(best.select(key, *[F.col(c).alias(f"__{f}") for f, c in columns.items()], F.lit(True).alias("__best")), key, "left")
+
+    def added(f: str) -> Column:
+        v = F.col(f"__{f}")
+        empty = F.coalesce(F.trim(v.cast("string")) == "", F.lit(True))
+        if f in zero_is_blank:
+            empty = empty | F.coalesce(v.try_cast("double") == 0, F.lit(False))
+        given = F.when(~empty, v)
+        return F.coalesce(given, F.when(F.col("__best"), F.lit(default[f]))) if f in default else given
+
+    return found.select(key, *[added(f).alias(f) for f in columns])

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import addresses
-from ..operators import affidavits, batches, legal_index, scans, store
+from ..operators import affidavits, batches, extraction, legal_index, lookups, merge, scans, store
 from ..sources import mirrors
 from .lookup_queries import t
+from .notice_cases import CASES
 from .record_queries import when
 from .views import table, view, with_views
 
@@ -241,3 +244,73 @@ def cache_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     for n, v in enumerate(values):
         value = F.when(k % 8 == n, v).otherwise(value)
     return table(spark, sf_dir, "customer").select(k.alias("id"), mirrors.cache_state(value).alias("state"))
+
+
+def _letters(k: Column) -> Column:
+    """A word of four letters that tells 676 keys apart; in SQL below."""
+    return F.concat(F.char(F.lit(65) + k % 26), F.lit("A"), F.char(F.lit(65) + F.floor(k / 26) % 26), F.lit("E"))
+
+
+_LETTERS_SQL = "chr(CAST(65 + k % 26 AS INT)) || 'A' || chr(CAST(65 + k // 26 % 26 AS INT)) || 'E'"
+
+
+def _rendered(template: str, k: Column) -> Column:
+    """A template of `notice_cases` filled for key k."""
+    letters = _letters(k)
+    values = {"p": t("CASEY D", letters), "q": t("ALEX R", letters), "e": t("SAMPLE ", letters, " HOMES"), "n": t(F.lit(2010000000) + k), "d": F.lpad((k % 18 + 10).cast("string"), 2, "0"), "h": t(F.lit(100) + k % 900)}
+    out = []
+    for i, piece in enumerate(re.split(r"\{(\w)\}", template)):
+        out.append(values[piece] if i % 2 else F.lit(piece))
+    return F.concat(*out)
+
+
+def _rendered_sql(template: str) -> str:
+    values = {
+        "p": f"'CASEY D' || {_LETTERS_SQL}", "q": f"'ALEX R' || {_LETTERS_SQL}", "e": f"'SAMPLE ' || {_LETTERS_SQL} || ' HOMES'", "n": "CAST(2010000000 + k AS VARCHAR)",
+        "d": "CAST(k % 18 + 10 AS VARCHAR)", "h": "CAST(100 + k % 900 AS VARCHAR)",
+    }
+    return " || ".join(values[piece] if i % 2 else f"'{piece}'" for i, piece in enumerate(re.split(r"\{(\w)\}", template)) if piece)
+
+
+_CASE_SQL = " ".join(f"WHEN {i} THEN {_rendered_sql(value)}" for i, (_, _, _, value) in enumerate(CASES))
+_FIELD_SQL = " ".join(f"WHEN {i} THEN '{field}'" for i, (field, _, _, _) in enumerate(CASES))
+
+
+@query(f"""WITH o AS (SELECT o_orderkey AS id, o_orderkey AS k, o_orderkey % {len(CASES)} AS f FROM orders) SELECT id, CASE f {_FIELD_SQL} END AS field, CASE f {_CASE_SQL} END AS said FROM o""")
+def notice_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A notice for each pattern by which a field of a foreclosure notice is found."""
+    k = F.col("o_orderkey")
+    notice, field = F, F
+    for i, (name, _, template, _) in enumerate(CASES):
+        notice = notice.when(k % len(CASES) == i, _rendered(template, k))
+        field = field.when(k % len(CASES) == i, F.lit(name))
+    read = extraction.notice_fields(table(spark, sf_dir, "orders").select(k.alias("id"), notice.alias("text"), field.alias("field")))
+    said = F.lit(None).cast("string")
+    for name in dict.fromkeys(c[0] for c in CASES):
+        said = F.when(F.col("field") == name, F.col(name).cast("string")).otherwise(said)
+    return read.select("id", "field", said.alias("said"))
+
+
+@query("""WITH r AS (SELECT o_orderkey AS k, o_orderkey % 6 AS f FROM orders) SELECT k AS id, CASE f WHEN 0 THEN 'no-prop-id' WHEN 1 THEN 'skipped-already' WHEN 2 THEN 'no-account-on-page' WHEN 3 THEN 'no-account-on-page' ELSE 'matched' END AS result,
+  CASE WHEN f > 3 THEN '2540-' || k END AS account FROM r""")
+def account_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records without a parcel, with an account, whose page shows none or isn't there, found twice, found in the default year."""
+    k = F.col("o_orderkey")
+    base = table(spark, sf_dir, "orders")
+    records = base.select(k.alias("doc_num"), when(k % 6 != 0, t(" ", k)).alias("prop_id"), when(k % 6 != 5, "2024", " ").alias("year"), F.lit(None).cast("string").alias("owner_id"), when(k % 6 == 1, "1").alias("account"))
+    page = lambda rows, year, account: rows.select(t(k).alias("prop_id"), F.lit(year).alias("year"), F.lit("").alias("owner_id"), account.alias("account"))
+    pages = page(base.where(k % 6 != 3), "2024", when(k % 6 != 2, t("2540-", k))).unionByName(page(base.where(k % 6 == 4), "2024", t("2540-", k))).unionByName(page(base.where(k % 6 == 5), "2026", t("2540-", k)))
+    out = lookups.accounts(records, pages.where("not (year = '2024' and cast(prop_id as long) % 6 = 5)"))
+    return out.select(F.col("doc_num").alias("id"), "result", "account")
+
+
+@query("""SELECT o_orderkey AS id, CASE WHEN f < 3 THEN 'NEW ' || k END AS owner, CASE WHEN f = 0 THEN k || '.5' END AS market_value, CASE WHEN f < 4 THEN '0' END AS ncad_prop_id, CASE WHEN f = 2 THEN '2024' WHEN f < 4 THEN '2026' END AS ncad_year,
+  CASE WHEN f = 1 THEN 'PO BOX ' || k END AS mail_address FROM (SELECT o_orderkey, o_orderkey AS k, o_orderkey % 5 AS f FROM orders)""")
+def additions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values, blanks, zeros that count and that do not, defaults, and records that nothing was found for."""
+    k = F.col("o_orderkey")
+    f = k % 5
+    base = table(spark, sf_dir, "orders")
+    best = base.where(f < 4).select(k.alias("id"), when(f < 3, t("NEW ", k), "  ").alias("o"), F.when(f == 0, k + 0.5).when(f == 1, 0.0).alias("v"), F.lit("0").alias("p"), F.when(f == 2, "2024").alias("y"), F.when(f == 1, t("PO BOX ", k)).otherwise("").alias("m"))
+    out = merge.additions(base.select(k.alias("id")), best, "id", fields={"owner": "o", "market_value": "v", "ncad_prop_id": "p", "ncad_year": "y"}, block={"mail_address": "m"}, default={"ncad_year": "2026"})
+    return out.withColumn("market_value", F.col("market_value").cast("string"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import codes, dates, money
 from ..functions import owners as names
 from ..operators import joins, merge, ranking, scoring, summary
+from ..sources import sinks
 from .views import AS_OF, table, view, with_views
 
 QUERIES: dict = {}
@@ -187,11 +188,13 @@ def union_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT doc_num, CASE WHEN o = '' OR regexp_matches(o, '(?i)\\b(LLC|INC|CORP|LP|LLP|LTD|TRUST|COMPANY|CO|HOLDINGS?)\\b') THEN '' ELSE upper(w[-1][1]) || lower(w[-1][2:]) END AS first_name,
   CASE WHEN o = '' THEN '' WHEN regexp_matches(o, '(?i)\\b(LLC|INC|CORP|LP|LLP|LTD|TRUST|COMPANY|CO|HOLDINGS?)\\b') THEN o
     ELSE array_to_string([upper(x[1]) || lower(x[2:]) FOR x IN w[:-2]], ' ') END AS last_name,
-  prop_address, cat, doc_type, CAST(filed AS VARCHAR) AS filed, CASE WHEN amount > 0 THEN printf('%.2f', amount) ELSE '' END AS amount, score, array_to_string(flags, ' | ') AS flags FROM named""")
+  coalesce(prop_address, '') AS prop_address, '' AS mail_address, doc_type, CAST(filed AS VARCHAR) AS filed, CASE WHEN amount > 0 THEN printf('%.2f', amount) ELSE '' END AS amount, CAST(score AS VARCHAR) AS score, array_to_string(flags, ' | ') AS flags, '' AS url FROM named""")
 def crm_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The CRM export's own columns, under the names of the records."""
     s = scoring.score_leads(leads(spark, sf_dir), AS_OF)
     name = names.split_name("owner")
-    return s.select("doc_num", name["first"].alias("first_name"), name["last"].alias("last_name"), "prop_address", "cat", "doc_type", F.col("filed").cast("string").alias("filed"), F.when(F.col("amount") > 0, F.format_string("%.2f", "amount")).otherwise("").alias("amount"), "score", F.array_join("flags", " | ").alias("flags"))
+    rows = sinks.crm_rows(s.withColumns({"first_name": name["first"], "last_name": name["last"]})).toDF(*sinks.CRM_COLUMNS)
+    return rows.select("doc_num", "first_name", "last_name", "prop_address", "mail_address", "doc_type", "filed", "amount", "score", "flags", "url")
 
 
 SWAP = with_views("d_owner", "d_filing") + f""", p AS (

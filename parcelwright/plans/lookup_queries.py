@@ -176,8 +176,8 @@ def enrichment_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT o_orderkey AS case_number, CASE WHEN o_orderkey % 5 = 0 THEN 'no_data' WHEN o_orderkey % 7 = 0 THEN 'agency' WHEN o_totalprice < 50000 THEN 'below_min' WHEN o_orderkey % 3 = 0 THEN 'done' END AS reason FROM orders""")
 def lead_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("o_orderkey")
-    cases = table(spark, sf_dir, "orders").select(k.alias("case_number"), F.when(k % 5 != 0, F.when(k % 7 == 0, "CITY OF SAMPLE").otherwise("DOE")).alias("new_owner"), F.lit("LOT 1").alias("legal"), F.col("o_totalprice").alias("balance"), F.when(k % 3 == 0, "1").alias("prop_id"), F.lit("2").alias("account"))
-    return lookups.lead_choice(cases, agency=F.startswith("new_owner", F.lit("CITY OF")), least_balance=50000).select("case_number", "reason")
+    cases = table(spark, sf_dir, "orders").select(k.alias("case_number"), F.when(k % 5 != 0, F.when(k % 14 == 0, "City of Sample").when(k % 7 == 0, "NUECES CTY").otherwise("DOE")).alias("new_owner"), F.lit("LOT 1").alias("legal"), F.col("o_totalprice").alias("balance"), F.when(k % 3 == 0, "1").alias("prop_id"), F.lit("2").alias("account"))
+    return lookups.lead_choice(cases, least_balance=50000).select("case_number", "reason")
 
 
 @query("""SELECT CAST(o_orderkey AS VARCHAR) AS doc_num, 'DOE ' || o_custkey AS owner, CASE o_custkey % 3 WHEN 0 THEN 'expire' WHEN 1 THEN 'other_version' ELSE 'absent' END AS action FROM orders WHERE o_orderkey % 4 = 1""")

@@ -12,7 +12,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.base import text
@@ -70,6 +70,13 @@ def publish(outputs: Mapping[str, DataFrame], path: str, *, guarded: str) -> int
     return number + 1
 
 
+def publish_list(records: DataFrame, path: str, *, counts: Mapping[str, Column] | None = None, **stamp: Column) -> int:
+    """A list as files of records and its envelope beside them, as one version. Keys of the last
+    version's envelope that are not given anew stay as they were."""
+    before = published(records.sparkSession, path, "envelope")
+    return publish({"records": records, "envelope": sinks.list_envelope(records, before, counts=counts, **stamp)}, path, guarded="records")
+
+
 def publish_foreclosures(records: DataFrame, path: str) -> int:
     """The foreclosure list, its totals and its export as one version: lists in order of sale, those
     before their sale first; totals count them by status."""

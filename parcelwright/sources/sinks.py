@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +35,18 @@ def with_envelope(stored: DataFrame, records: DataFrame, **stamp: Column) -> Dat
     return stored.limit(1).select(*kept).crossJoin(F.broadcast(inner)).select(*kept, "total", *[v.alias(k) for k, v in stamp.items()], "records")  # one row each
 
 
+def list_envelope(records: DataFrame, stored: DataFrame | None = None, *, counts: Mapping[str, Column] | None = None, **stamp: Column) -> DataFrame:
+    """One row beside a list: total, counts (aggregates over records) and stamps, and the other keys of
+    the stored envelope (its first row, if there is one). The records stay where they are, however many."""
+    counts = counts or {}
+    own = records.agg(F.count("*").alias("total"), *[c.alias(n) for n, c in counts.items()]).select("*", *[v.alias(k) for k, v in stamp.items()])
+    if stored is None:
+        return own
+    kept = [c for c in stored.columns if c not in {"records", *own.columns}]
+    before = stored.select(*kept).limit(1)
+    return own.join(F.broadcast(before), how="left", on=F.lit(True)).select(*kept, *own.columns)  # one row each
+
+
 def delinquent_totals(records: DataFrame, codes: tuple[str, ...]) -> DataFrame:
     """record_count, total_owed (cents) and the sorted filter codes of a delinquent list."""
     return records.agg(F.count("*").alias("record_count"), F.round(F.coalesce(F.sum("total_owed"), F.lit(0.0)), 2).alias("total_owed")).withColumn("filter_codes", F.array(*[F.lit(c) for c in sorted(codes)]))

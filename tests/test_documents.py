@@ -144,3 +144,38 @@ def test_classes_link_as_pairs_do(spark):
     want = {r.a: r["count"] for r in a.join(b, "owner").where(F.col("a") != F.col("b")).where(legal.legals_match("pa", "pb")).groupBy("a").count().collect()}
     got = {r.id: r.n_links for r in legal_index.legal_classes(df, key="id", within="owner").collect()}
     assert got == {i: want.get(i, 0) for i, *_ in rows}
+
+
+def test_each_notice_is_found_by_its_own_pattern():
+    """No pattern before the case's own one finds anything in it, so that each pattern is needed."""
+    from parcelwright.functions import notice_patterns as P
+    from parcelwright.plans.notice_cases import CASES, FORESTALLED
+
+    lists = {
+        "owner": [p for p, _ in P.BORROWER], "lender": P.LENDER, "loan_amount": P.AMOUNT, "deed_date": P.DEED_DATE, "loan_doc": P.LOAN_NUMBER,
+        "prop_address": [P.LABELLED_ADDRESS, P.HEADER_ADDRESS, P.LINE_ADDRESS, P.ANY_ADDRESS], "legal_subdivision": [P.LEGAL_WORDS, P.LEGAL_DIGITS, P.LEGAL_TRACTS],
+    }
+    parts = {"p": "CASEY DABE", "q": "ALEX RABE", "e": "SAMPLE ABE HOMES", "n": "2019123456", "d": "17", "h": "123"}
+    for field, place, template, _ in CASES:
+        if field in lists:  # numbers of modifications are gathered by all patterns
+            notice = template.format(**parts)
+            notice = " ".join(notice.split()) if field == "loan_doc" else notice
+            assert [i for i, p in enumerate(lists[field]) if re.search(p, notice)][0] == place, (field, place)
+    for field, patterns in lists.items():
+        assert {i for f, i, _, _ in CASES if f == field} | {i for f, i in FORESTALLED if f == field} == set(range(len(patterns)))
+
+
+def test_bounds_and_rejects_of_notices(spark):
+    from parcelwright.operators import extraction
+
+    texts = {
+        "executed by LOT 4 BLOCK 2, whose x. mortgagor: CASEY DOE, of": ("owner", "CASEY DOE"),  # a legal description is no borrower
+        "executed by ABC, whose x. mortgagor: CASEY DOE, of": ("owner", "CASEY DOE"),  # under four characters
+        "principal sum of $ 1,000": ("loan_amount", None), "principal sum of $1,000.01": ("loan_amount", "1000.01"), "principal sum of $10,000,000": ("loan_amount", None),
+        "principal sum of $10,000,000 in the amount of $5,000": ("loan_amount", "5000.0"), "Current Mortgagee: AB Mortgage Servicer": ("lender", ""),
+        "commonly known as 1 SAMPLE STREET, Dallas, TX 75201": ("prop_address", ""), "at 901 LEOPARD STREET, CORPUS CHRISTI, TX 78401": ("prop_address", ""),
+    }
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    read = [r.asDict() for r in extraction.notice_fields(rows).orderBy("i").collect()]
+    got = [(f, v if v is None or isinstance(v, str) else str(v)) for r, (f, _) in zip(read, texts.values()) for v in [r[f]]]
+    assert got == list(texts.values())

@@ -104,3 +104,16 @@ def test_codes(spark):
 @pytest.mark.parametrize("code,short,long", [("A1", "Single-family", "Single-family"), ("B2", "Multifamily", "Multifamily"), ("C1", "Vacant lot", "Vacant lot"), ("F2", "F2", "Industrial"), ("", "Unknown", "")])
 def test_class_labels(spark, code, short, long):
     assert values(spark, [code], codes.class_label("a"), codes.class_label_long("a")) == [(short, long)]
+
+
+def test_kinds_and_agencies(spark):
+    got = values(spark, ["SAMPLE BANK NA", "", "DOE ALEX", "NUECES CTY", "Port of Corpus Christi", "STATE OF TEXAS", "STATE OF MIND", "HUD", "HUDSON"], owners.not_worth_looking_up("a"), owners.agency("a"))
+    assert [a for _, a in got] == [False, False, False, True, True, True, False, True, False] and [w for w, _ in got[:3]] == [True, True, False]
+    assert values(spark, ["individual", "other"], owners.kind_label("a"))[1] == ("other",)
+    assert [v[0] for v in values(spark, ["12 OAK", "OAK", None], addresses.is_spelled_out("a"))] == [True, False, False]
+
+
+def test_keep_or_fill(spark):
+    from parcelwright.functions.base import keep_or_fill
+
+    assert [v[0] for v in values(spark, [("a", "b"), (" ", "b"), (None, None)], keep_or_fill("a", "b"))] == ["a", "b", None]

@@ -114,6 +114,17 @@ def test_foreclosures_are_published_in_order(spark, tmp_path):
     assert published.published(spark, path, "export").count() == 4
 
 
+def test_a_list_keeps_the_keys_of_its_envelope(spark, tmp_path):
+    path = str(tmp_path / "l")
+    df = lambda *a: spark.createDataFrame([(x,) for x in a], "address string")
+    counts = {"with_address": F.count_if(F.col("address") != "")}
+    published.publish_list(df("1 OAK", ""), path, counts=counts, source=F.lit("clerk"), fetched_at=F.lit("monday"))
+    assert published.published(spark, path, "envelope").first().asDict() == {"total": 2, "with_address": 1, "source": "clerk", "fetched_at": "monday"}
+    published.publish_list(df("", "", "x"), path, counts=counts, fetched_at=F.lit("tuesday"))
+    assert published.published(spark, path, "envelope").first().asDict() == {"total": 3, "with_address": 1, "source": "clerk", "fetched_at": "tuesday"}
+    assert published.published(spark, path, "records").count() == 3
+
+
 def test_store(spark):
     rows = [("A", 6, "1 OAK", "5"), ("B", 5, "2 OAK", "0"), ("C", 5, "", ""), ("D", 2, "3 OAK", "5"), ("E", 6, None, None), ("ccln_addr::x", None, "", None), (None, 6, "9 OAK", "1")]
     held = spark.createDataFrame(rows, "key string, version int, site_addr string, appraised_value string")

@@ -160,3 +160,30 @@ def test_blank_notices_give_blank_fields(spark):
 
     out = notice_fields(spark.createDataFrame([(None, 1), ("", 2), ("x" * 50_000, 3)], "text string, lender long")).collect()
     assert all(r.owner == r.lender == r.prop_address == r.legal_lot == "" and r.loan_amount is None and not r.has_loan_mod for r in out)
+
+
+def test_rolls_newest_files_and_notices(spark, tmp_path):
+    import os
+
+    from parcelwright.functions.money import document_number
+
+    df = spark.createDataFrame([(" 7 ", 12.0, 1.5, None)], "a string, b double, c double, d string")
+    assert tuple(readers.read_roll(df, {0: "account", 1: "levy", 2: "rate", 3: "owner"}).first()) == ("7", "12", "1.5", "")
+    for name, at in {"roll 01-31-2024.txt": 1, "roll 12-01-2023.txt": 2, "roll.txt": 3}.items():
+        (tmp_path / name).write_text(name)
+        os.utime(tmp_path / name, (at, at))
+    assert readers.newest(spark, str(tmp_path)).replace("%20", " ").endswith("roll 01-31-2024.txt")
+    assert readers.newest(spark, str(tmp_path), "roll.txt").endswith("roll.txt")
+    notices = tmp_path / "notices"
+    notices.mkdir()
+    (notices / "2024000001 x.txt").write_text("a\nb")
+    (notices / "none.txt").write_text("c")
+    got = sorted((r.doc_num, r.text) for r in readers.read_notices(spark, str(notices)).collect())
+    assert got == [("", "c"), ("2024000001", "a\nb")]
+    names = spark.createDataFrame([("/x/2024000001.txt",), ("20240000012",), (None,)], "n string")
+    assert [r[0] for r in names.select(document_number("n")).collect()] == ["2024000001", "", ""]
+
+
+def test_run_log(spark):
+    got = sinks.run_log(spark.createDataFrame([("matched",), ("matched",), (None,)], "result string")).collect()
+    assert {r.result: r.n for r in got} == {"matched": 2, None: 1}
