@@ -11,7 +11,7 @@ start. Each class is first compared with the least member of each of its buckets
 joins a group of n near copies with n comparisons. Only members that this leaves apart
 from their bucket's least member are compared with the rest of the bucket, in chunks of bounded
 size: first by their lengths and counts of words (which rule out no similar pair) and then,
-where these leave anything, by their words. So every pair with a
+where these leave anything, by their words, each pair in the first bucket that it shares. So every pair with a
 sketch in common is decided. The rows of one bucket are dealt over many tasks throughout.
 """
 
@@ -30,10 +30,9 @@ from .common import by_groups, plain_words, spread_join, written
 from .components import components
 
 WORDS = 5  # words in a k-mer
-#: Sketches of a document, and k-mers in a sketch. Of two texts of which 5 words in 100 (10,
-#: 15, 20) were changed anywhere, about 0.25 (0.07, 0.02, 0.01) of the sketches agree, so
-#: that one of 32 does in all cases (in 0.92, 0.53, 0.21 of them).
-SKETCHES, KEPT = 32, 3
+#: Sketches of a document, and k-mers in a sketch; of texts of up to FEW_WORDS words, which have few
+#: k-mers that an edit leaves alone, a sketch is one k-mer.
+SKETCHES, KEPT, FEW_WORDS = 56, 2, 60
 #: Texts of fewer words also have a key for each way to leave out as many as may be edited.
 SHORT = 15
 CHUNK = 256  # members of a star whose words are in one task
@@ -105,6 +104,17 @@ def sketch(grams: np.ndarray, xor: np.ndarray, times: np.ndarray, kept: int = KE
     return key
 
 
+def sketch_keys(values: np.ndarray, xor: np.ndarray, times: np.ndarray, kept: int, threshold: float) -> np.ndarray:
+    """The keys of a text's sketches. Two similar texts have sketches of the same kind: a text that is
+    similar to one of FEW_WORDS words has sketches of one k-mer too."""
+    grams, out = kmers(values), []
+    if kept == 1 or len(values) > FEW_WORDS:
+        out.append(sketch(grams, xor, times, kept))
+    if kept > 1 and len(values) <= FEW_WORDS / threshold + 1e-9:
+        out.append(sketch(grams, xor, times, 1) ^ np.uint64(0x9E3779B97F4A7C15))
+    return np.concatenate(out)
+
+
 def edits_of(n: int, threshold: float) -> int:
     """How many words may differ between a text of n words and one that is not longer."""
     return int((1 - threshold) * n + 1e-9)
@@ -177,6 +187,27 @@ def possible_pairs(bounds: np.ndarray, odd: np.ndarray, side: np.ndarray, of: np
             yield x[good], y[good]
 
 
+def met_before(p: np.ndarray, q: np.ndarray, key: np.ndarray, keys: list[np.ndarray]) -> np.ndarray:
+    """Which pairs of rows also share a bucket with a lesser key than the one they meet in: keys are all
+    buckets of a row. Such a pair is decided there."""
+    rows, at = np.unique(np.concatenate((p, q)), return_inverse=True)
+    some = [keys[r][keys[r] < key[r]] for r in rows.tolist()]
+    width = max(map(len, some), default=0)
+    if not width:
+        return np.zeros(len(p), bool)
+    # Rows of unequal length are filled with numbers that no other row has.
+    filled = (np.iinfo(np.int64).min + np.arange(len(rows)))[:, None].repeat(width, axis=1)
+    for row, own in zip(filled, some):
+        row[: len(own)] = own
+    x, y, out = at[: len(p)], at[len(p) :], np.zeros(len(p), bool)
+    step = max(1, CELLS // width)
+    for a in range(0, len(p), step):
+        u, v = filled[x[a : a + step]], filled[y[a : a + step]]
+        for j in range(width):
+            out[a : a + step] |= (u == v[:, j : j + 1]).any(axis=1)
+    return out
+
+
 def similar(a: np.ndarray, b: np.ndarray, threshold: float) -> bool:
     """Whether 1 - (edit distance of the words) / (longer length) reaches the threshold."""
     return within(a, b, edits_of(max(len(a), len(b)), threshold))
@@ -207,7 +238,7 @@ def _sketched(sketches: int, kept: int, threshold: float):  # noqa: ANN202
                 digests.append(_digest(values))
                 sizes.append(len(values))
                 bins.append(counts(values).tobytes())
-                own = sketch(kmers(values), xor, times, kept)
+                own = sketch_keys(values, xor, times, kept, threshold)
                 keys.append((np.concatenate((own, left_out(values, threshold))) if len(values) < SHORT else own).view(np.int64))
             flat = pa.array(np.concatenate(keys) if keys else np.empty(0, np.int64), pa.int64())
             ends = pa.array(np.cumsum([0, *map(len, keys)]), pa.int32())
@@ -321,19 +352,30 @@ def _apart(inside: DataFrame, found: DataFrame, traits: DataFrame, threshold: fl
     head = each.where("rep = least").select("key", F.col("of").alias("of_least"))
     each = spread_join(each.where("rep <> least"), head, ["key"], "rep").withColumn("odd", F.col("of") != F.col("of_least"))
     mixed = each.groupBy("key").agg(F.min("of").alias("low"), F.max("of").alias("high"), F.max("odd").alias("any"), F.ceil(F.count("*") / CHUNK_COUNTS).cast("int").alias("m")).where("any and low <> high").select("key", "m")
-    each = spread_join(each, mixed, ["key"], "rep").join(traits.select("rep", "size", "bins"), "rep")
+    each = written(spread_join(each, mixed, ["key"], "rep"), "mixed")
+    # A pair that shares several buckets is compared in the one with the least key.
+    every = each.groupBy("rep").agg(F.collect_list("key").alias("keys"))
+    each = each.join(traits.select("rep", "size", "bins").join(every, "rep"), "rep")
     each = each.withColumn("mine", F.pmod(F.xxhash64("rep"), "m").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
     side = F.when(F.col("mine") == F.col("other"), 0).when(F.col("mine") < F.col("other"), 1).otherwise(2)
-    each = each.select(F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")).alias("group"), "rep", "of", "odd", side.alias("side"), "size", "bins")
+    each = each.select(F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")).alias("group"), "rep", "of", "odd", side.alias("side"), "key", "keys", "size", "bins")
 
     def may(table: pa.Table, bounds: np.ndarray) -> pa.Table:
         of, odd, side, size = (table[c].to_numpy(zero_copy_only=False) if c == "odd" else table[c].to_numpy() for c in ("of", "odd", "side", "size"))
+        key, keys = _keys(table)
         keep = np.zeros(len(of), bool)
         for p, q in possible_pairs(bounds, odd, side, of, size, _bins(table["bins"]), threshold):
-            keep[p] = keep[q] = True
-        return table.select(["group", "rep", "of", "odd", "side"]).filter(pa.array(keep))
+            new = ~met_before(p, q, key, keys)
+            keep[p[new]] = keep[q[new]] = True
+        return table.select(["group", "rep", "of", "odd", "side", "key", "keys"]).filter(pa.array(keep))
+
+    return by_groups(each, ["group"], may, "group long, rep long, of long, odd boolean, side int, key long, keys array<long>")
+
 
-    return by_groups(each, ["group"], may, "group long, rep long, of long, odd boolean, side int")
+def _keys(table: pa.Table) -> tuple[np.ndarray, list[np.ndarray]]:
+    lists = table["keys"].combine_chunks()
+    ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+    return table["key"].to_numpy(), [flat[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
 
 
 def _linked(apart: DataFrame, threshold: float) -> DataFrame:
@@ -345,6 +387,7 @@ def _linked(apart: DataFrame, threshold: float) -> DataFrame:
         words = [_read(w) for w in table["words"].to_pylist()]
         size = np.fromiter(map(len, words), np.int64, len(words))
         bins = np.array([counts(w, MORE_BINS) for w in words])
+        key, keys = _keys(table)
         root = {c: c for c in of.tolist()}
 
         def find(x: int) -> int:
@@ -353,21 +396,27 @@ def _linked(apart: DataFrame, threshold: float) -> DataFrame:
             return x
 
         for p, q in possible_pairs(bounds, odd, side, of, size, bins, threshold):
+            new = ~met_before(p, q, key, keys)
+            p, q = p[new], q[new]
             order = np.argsort(p, kind="stable")
             p, q = p[order], q[order]
             cuts = np.flatnonzero(np.diff(p, prepend=-1, append=-1)).tolist() if len(p) else []
             for x, y in zip(cuts[:-1], cuts[1:]):
                 i, home = int(p[x]), find(int(of[p[x]]))
-                apart = [j for j in q[x:y].tolist() if find(int(of[j])) != home]
-                if len(apart) < FEW:
-                    same = [j for j in apart if similar(words[i], words[j], threshold)]
-                else:
-                    limits = np.array([edits_of(max(int(size[i]), int(size[j])), threshold) for j in apart])
-                    same = np.array(apart)[within_many(words[i], [words[j] for j in apart], limits)].tolist()
-                for j in same:
-                    low, high = sorted((find(int(of[i])), find(int(of[j]))))
-                    root[high] = low
+                # One similar member joins its whole component, so a few are aligned first, then ever more.
+                near, step = q[x:y].tolist(), FEW
+                while near := [j for j in near if find(int(of[j])) != home]:
+                    some, near, step = near[:step], near[step:], 2 * step
+                    if len(some) < FEW:
+                        same = [j for j in some if similar(words[i], words[j], threshold)]
+                    else:
+                        limits = np.array([edits_of(max(int(size[i]), int(size[j])), threshold) for j in some])
+                        same = np.array(some)[within_many(words[i], [words[j] for j in some], limits)].tolist()
+                    for j in same:
+                        low, high = sorted((find(int(of[i])), find(int(of[j]))))
+                        root[high] = low
+                    home = find(int(of[i]))
         stars = [(find(c), c) for c in root if find(c) != c]
         return pa.table({"a": pa.array([x for x, _ in stars], pa.int64()), "b": pa.array([y for _, y in stars], pa.int64())})
 
-    return by_groups(apart.select("group", "rep", "of", "odd", "side", "words"), ["group"], compare, "a long, b long")
+    return by_groups(apart.select("group", "rep", "of", "odd", "side", "key", "keys", "words"), ["group"], compare, "a long, b long")

@@ -107,20 +107,30 @@ def test_similarity_is_that_of_words():
             assert order_minhash.similar(np.array([code[x] for x in a]), np.array([code[x] for x in b]), 0.8) == want
 
 
-@pytest.mark.parametrize("share, least", [(0.01, 1), (0.05, 0.98), (0.08, 0.93), (0.1, 0.84), (0.15, 0.4), (0.19, 0.1)])
-def test_recall_by_share_of_changed_words(spark, share, least):
-    """Pairs of 200 words of which a share, anywhere, is another, left out or put in."""
-    rng = random.Random(int(share * 100))
+@pytest.mark.parametrize("n, least", [(20, (1, 0.97, 0.95, 0.9)), (50, (1, 1, 0.97, 0.95)), (200, (1, 0.98, 0.95, 0.85))])
+def test_recall_by_length_and_share_of_changed_words(spark, n, least):
+    """Pairs of n words of which 5, 10, 15 and 19 in 100, anywhere, are others, left out or put in."""
+    rng = random.Random(n)
     texts = []
-    for _ in range(100):
-        w = words(rng, 200, "abcdefghijklmnop")
-        v = list(w)
-        for k in sorted(rng.sample(range(200), int(200 * share)), reverse=True):
-            v[k : k + 1] = rng.choice([[], ["new"], [v[k], "more"]])
-        texts += [" ".join(w), " ".join(v)]
+    for share in (0.05, 0.1, 0.15, 0.19):
+        for _ in range(100):
+            w = words(rng, n, "abcdefghijklmnop")
+            v = list(w)
+            for k in sorted(rng.sample(range(n), int(n * share)), reverse=True):
+                v[k : k + 1] = rng.choice([[], ["new"], [v[k], "more"]])
+            texts += [" ".join(w), " ".join(v)]
     got = {r.doc_id: r.class_id for r in order_minhash.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
-    assert all(got[2 * i] == 2 * i for i in range(100))
-    assert sum(got[2 * i + 1] == 2 * i for i in range(100)) >= 100 * least
+    assert all(got[2 * i] == 2 * i for i in range(400))
+    for k, floor in enumerate(least):
+        assert sum(got[2 * i + 1] == 2 * i for i in range(100 * k, 100 * k + 100)) >= 100 * floor, k
+
+
+def test_pairs_are_compared_where_they_first_meet():
+    keys = [np.array(k, np.int64) for k in ([1, 5, 9], [5, 9], [1, 9], [9], [9, 9, -3])]
+    p, q = np.array([0, 0, 1, 2, 3, 4]), np.array([1, 2, 2, 3, 4, 4])
+    got = order_minhash.met_before(p, q, np.full(5, 9), keys)
+    assert got.tolist() == [True, True, False, False, False, True]
+    assert not order_minhash.met_before(p[:0], q[:0], np.full(5, 9), keys).any()
 
 
 def test_whole_table_against_all_pairs(spark):
