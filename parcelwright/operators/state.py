@@ -13,7 +13,7 @@ def ledger_merge(ledger: DataFrame, report: DataFrame) -> DataFrame:
 
     report: ref_no, pos (order in the file), is_open, passes (an open row's filters), lat,
     lng, and the columns of the ledger other than state. Per reference the rows count in
-    order: an open row that passes is stored (its missing coordinates from what was stored),
+    order: an open row that passes is stored (its missing coordinates from what was stored before),
     an open row that fails changes nothing, any other row closes what is stored or leaves a
     closed mark. So the last row that is not a failing open one settles the state, and the
     last passing open row the data. Running a report twice changes nothing further.
@@ -21,7 +21,11 @@ def ledger_merge(ledger: DataFrame, report: DataFrame) -> DataFrame:
     data = [c for c in ledger.columns if c not in ("ref_no", "state")]
     counted = report.where(~F.col("is_open") | F.col("passes"))
     last = best_per(counted, ["ref_no"], F.col("pos").desc()).select("ref_no", F.when(F.col("is_open"), "open").otherwise("closed").alias("__state"))
-    opened = best_per(report.where(F.col("is_open") & F.col("passes")), ["ref_no"], F.col("pos").desc()).select("ref_no", *[F.col(c).alias(f"__{c}") for c in data], F.lit(True).alias("__new"))
+    passed = report.where(F.col("is_open") & F.col("passes"))
+    opened = best_per(passed, ["ref_no"], F.col("pos").desc()).select("ref_no", *[F.col(c).alias(f"__{c}") for c in data if c not in ("lat", "lng")], F.lit(True).alias("__new"))
+    # Coordinates are the last ones that any of the rows gives.
+    places = [F.max_by(c, F.when(F.col(c).isNotNull(), F.col("pos"))).alias(f"__{c}") for c in data if c in ("lat", "lng")]
+    opened = opened.join(passed.groupBy("ref_no").agg(*places), "ref_no") if places else opened
     out = ledger.join(last, "ref_no", "full_outer").join(opened, "ref_no", "left")
     fresh = F.coalesce(F.col("__new"), F.lit(False))
     pick = lambda c: F.coalesce(F.col(f"__{c}"), F.col(c)) if c in ("lat", "lng") else F.when(fresh, F.col(f"__{c}")).otherwise(F.col(c))

@@ -211,9 +211,12 @@ def name_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.join(distinct, "owner").select("owner_id", "owner", F.array_join("variants", "; ").alias("variants"))
 
 
-@query()
+@query(with_views("d_owner") + """, n AS (SELECT owner, count(*) AS n FROM d_owner WHERE owner_id % 2 = 0 GROUP BY owner)
+SELECT owner_id AS lead_id, owner AS name, CASE WHEN owner_id % 12 = 0 OR (owner_id % 12 = 2 AND owner_id < 100) THEN 0 ELSE 1 END AS variant_pos, n AS n_parcels FROM d_owner JOIN n USING (owner) WHERE owner <> ''""")
 def variant_fallback_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = view(spark, sf_dir, "d_owner").where("owner <> ''")
+    """Owners under the first of their names that the reference has: as they are, or as a person's last
+    name first. A blank owner has no names."""
+    o = view(spark, sf_dir, "d_owner")
     leads = o.select(F.col("owner_id").alias("lead_id"), names.name_variants("owner").alias("variants"))
     reference = o.where("owner_id % 2 = 0").groupBy(F.col("owner").alias("name")).agg(F.count("*").alias("n_parcels"))
     return joins.first_variant(leads, "variants", reference, "name").select("lead_id", "name", "variant_pos", "n_parcels")

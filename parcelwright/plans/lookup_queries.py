@@ -99,7 +99,7 @@ def card_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(with_views("d_owner", "d_parcel") + """
-, asked AS (SELECT owner_id AS lead_id, owner FROM d_owner WHERE owner <> ''),
+, asked AS (SELECT owner_id AS lead_id, owner FROM d_owner),
 hit AS (SELECT a.lead_id, p.prop_id, row_number() OVER (PARTITION BY a.lead_id ORDER BY p.market_value DESC, p.prop_id) AS rn
   FROM asked a JOIN d_parcel p ON p.owner_id = a.lead_id WHERE p.state_class = 'A1'),
 named AS (SELECT lead_id, prop_id FROM hit WHERE rn = 1),
@@ -109,7 +109,7 @@ SELECT lead_id, 'name' AS how, prop_id FROM named UNION ALL SELECT lead_id, 'add
 def corroborated_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Owners by ordered name variants (the second is theirs), confirmed by class, else by address."""
     owners, parcels = view(spark, sf_dir, "d_owner"), view(spark, sf_dir, "d_parcel")
-    leads = owners.where("owner <> ''").select(F.col("owner_id").alias("lead_id"), F.array(t("NOBODY ", F.col("owner_id")), t("O", F.col("owner_id"))).alias("variants"), t("A", F.col("owner_id") + 1).alias("address_key"))
+    leads = owners.select(F.col("owner_id").alias("lead_id"), F.array(t("NOBODY ", F.col("owner_id")), t("O", F.col("owner_id"))).alias("variants"), t("A", F.col("owner_id") + 1).alias("address_key"))
     row = [F.col("prop_id").alias("pos"), "prop_id", "state_class", "market_value"]
     by_name, by_address = parcels.select(t("O", F.col("owner_id")).alias("name"), *row), parcels.select(t("A", F.col("prop_id")).alias("address_key"), *row)
     out = lookups.corroborated(leads, by_name, by_address, variants="variants", order=[F.desc("market_value")], confirmed=F.col("state_class") == "A1")
