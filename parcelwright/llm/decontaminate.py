@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .align import best_place
+from .blocks import NO_ID
 from .common import plain_words
 
 #: Words of benchmark items in a slice; a slice is broadcast and takes about 100 bytes a word.
@@ -282,9 +283,9 @@ def _find(shared, id_type=pa.int64()):  # noqa: ANN001, ANN202
                         continue
                     edits, x, y = best_place(items.words[k], flat[a:b])
                     if edits <= d:
-                        n = int(np.searchsorted(ends, lo, "right")) - 1
-                        best[n, k] = min(best.get((n, k), (1 << 30, 0, 0)), (edits, a + x - lo, a + y - lo))
-                rows.extend((ids[n], int(items.ids[k]), x, y, e) for (n, k), (e, x, y) in best.items())
+                        at = int(np.searchsorted(ends, lo, "right")) - 1, int(items.ids[k])
+                        best[at] = min(best.get(at, (1 << 30, 0, 0)), (edits, a + x - lo, a + y - lo))
+                rows.extend((ids[n], k, x, y, e) for (n, k), (e, x, y) in best.items())
 
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 words = plain_words(text.as_py() or "")
@@ -312,20 +313,24 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id
     n words holds the item; the place is the best one found. Words are in lower case without
     ASCII punctuation. Items of under five words must stand there unchanged at the usual
     threshold; items without words (null and empty ones) are in no document. A null or empty text holds
-    nothing. Rows with the same id give rows of their own; a row without id gives rows
-    with a null id. Extra columns play no part.
+    nothing, an empty table of documents or items gives no rows. Of equally good places the first counts.
+    Rows with the same id give rows of their own; a row without id gives rows with a null id.
+    Texts of one item id are one item, of which the best place counts; those without id are one
+    item whose id is null. Texts of any length that fits in a row are searched whole. Extra columns play no part;
+    where id_col and item_col are one name, the item's is called item_id.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    items = benchmark.select(F.col(item_col).cast("long").alias("k"), F.col(item_text).alias("t")).where("k is not null and t is not null").distinct()
+    items = benchmark.select(F.coalesce(F.col(item_col).cast("long"), F.lit(int(NO_ID))).alias("k"), F.col(item_text).alias("t")).where("t is not null").distinct()
     chars = items.agg(F.sum(F.char_length("t"))).first()[0] or 0
     slices = max(1, -(-chars // (4 * slice_words)))  # of four characters a word at least
     parts = []
     for n in range(slices):
-        got = items.where(F.pmod(F.xxhash64("k", "t"), F.lit(slices)) == n).collect()
+        got = items.where(F.pmod(F.xxhash64("k"), F.lit(slices)) == n).collect()
         words = [(r.k, w) for r in sorted(got) if (w := plain_words(r.t))]
         parts.append(docs.mapInArrow(_find(spark.sparkContext.broadcast(Items(words, threshold, recall))), OUT))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.select(F.col("id").alias(id_col), F.col("item_id").alias(item_col), "start_word", "end_word", "edits")
+    item = F.when(F.col("item_id") != int(NO_ID), F.col("item_id"))
+    return out.select(F.col("id").alias(id_col), item.alias("item_id" if item_col.lower() == id_col.lower() else item_col), "start_word", "end_word", "edits")

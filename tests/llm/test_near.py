@@ -234,6 +234,20 @@ def test_decontamination(spark):
     assert decontaminate.contaminated(df.limit(0), bench).count() == 0
 
 
+def test_items_without_id_and_several_texts_of_one(spark):
+    rng = random.Random(4)
+    one, two, none = (" ".join(words(rng, n)) for n in (12, 20, 15))
+    bench = spark.createDataFrame([(1, one), (1, two), (1, two), (None, none), (None, None), (2, "")], "item_id long, text string")
+    edited = " ".join(["new", *one.split()[1:]])
+    docs = [(0, f"{two} and {edited}"), (1, none), (1, none), (None, one), (2, one + " " + none), (3, " ".join(words(rng, 3_000)))]
+    df = spark.createDataFrame(docs, "item_id long, text string").coalesce(1)
+    for slice_words in (400_000, 10):
+        got = decontaminate.contaminated(df, bench, id_col="item_id", slice_words=slice_words)
+        assert len(got.columns) == 5
+        got = sorted((str(r[0]), str(r[1]), r.edits, r.start_word) for r in decontaminate.contaminated(df.withColumnRenamed("item_id", "d"), bench, id_col="d", slice_words=slice_words).collect())
+        assert got == [("0", "1", 0, 0), ("1", "None", 0, 0), ("1", "None", 0, 0), ("2", "1", 0, 0), ("2", "None", 0, 12), ("None", "1", 0, 0)]
+
+
 @pytest.mark.parametrize("length", [20, 50, 100, 200, 400])
 def test_items_of_any_length_are_found_at_the_limit(spark, length):
     """Every fifth word is another, left out or put in, in turn."""
