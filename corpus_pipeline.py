@@ -2,7 +2,11 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; its result is written as
 Parquet and read again as the next stage's docs. All but the last return the columns of
-documents.
+documents, whatever else they are called.
+
+Texts of any length that fits in a row are taken whole, an empty table gives an empty one. Rows of
+one id are one document and go together; a row without id goes by no decision. A null text
+counts as an empty one, of which no stage but the first has anything to decide.
 """
 
 from __future__ import annotations
@@ -22,32 +26,35 @@ TOKENIZER = "byte_bpe_multi_50k.tiktoken"
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier rejects go."""
+    """Documents that the quality classifier rejects go. Null and empty texts have a score as well."""
     scores = score_quality(docs, table(spark, sf_dir, "labels"))
     rejected = scores.where("predicted = 0").select("doc_id")
     return docs.join(rejected, "doc_id", "left_anti").select(docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that many documents share stay in one; n_chars follows the text."""
+    """Lines that many documents share stay in one; n_chars follows the text. A null text comes back
+    as ""; columns n_lines and n_dropped, if there are any, are the operator's."""
     out = line_dedup(docs)
     return out.withColumn("n_chars", F.char_length("text").cast("long")).select(docs.columns)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the one with the least id."""
+    """One document of each group of near copies stays: the one with the least id. Documents without
+    words are copies of none; repeated rows of the id that stays all stay."""
     gone = near_duplicates(docs).where(~F.col("kept")).select("doc_id")
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
+    """Documents that hold a benchmark item go, one whose item has no id too."""
     found = contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
     return docs.join(written(found, "leaks"), "doc_id", "left_anti").select(docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of what is left, as a digest, and whether they decode to the text."""
+    """Token ids of what is left, as digests of them and of the bytes that they decode to; one row for
+    each row, with a null id too."""
     import public_tokenizers
 
     ranks = bpe.read_ranks(public_tokenizers.path(TOKENIZER))
