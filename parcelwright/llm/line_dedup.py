@@ -47,26 +47,28 @@ def line_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     no document and keeps all its lines. Other columns pass through; columns already
     named n_lines or n_dropped are replaced.
     """
-    docs = without(docs, "n_lines", "n_dropped", "__ld_gone", "__ld_id", "__ld_kept")
+    docs = without(docs, "n_lines", "n_dropped", "__ld_gone", "__ld_id", "__ld_mark", "__ld_kept")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    # Equal texts of one id are treated alike, so the id and the text's hash tell which lines are meant.
+    mark = F.xxhash64(text).alias("mark")
     held = (
         docs.where(F.col(id_col).isNotNull())
-        .select(F.col(id_col).alias("id"), F.explode(F.filter(_keys(text, min_chars), lambda k: k.isNotNull())).alias("k"))
-        .select("id", "k.a", "k.b")
+        .select(F.col(id_col).alias("id"), mark, F.posexplode(_keys(text, min_chars)).alias("pos", "k"))
+        .where("k is not null")
+        .select("id", "mark", "pos", "k.a", "k.b")
     )
     shared = held.groupBy("a", "b").agg(F.count_distinct("id").alias("n"), F.max("id").alias("last")).where(F.col("n") >= min_docs)
     gone = (
         spread_join(held, shared.select("a", "b", "last"), ["a", "b"], "id")
         .where(F.col("id") != F.col("last"))
-        .groupBy(F.col("id").alias("__ld_id"))
-        .agg(F.collect_set(F.struct("a", "b")).alias("__ld_gone"))
-    )
-    joined = docs.join(gone, F.col(id_col) == F.col("__ld_id"), "left")
-    keys, lines = _keys(text, min_chars), F.split(text, "\n", -1)
-    kept = F.transform(
-        F.filter(F.arrays_zip(lines.alias("line"), keys.alias("key")), lambda x: x["key"].isNull() | ~F.array_contains(F.col("__ld_gone"), x["key"])),
-        lambda x: x["line"],
+        .groupBy(F.col("id").alias("__ld_id"), F.col("mark").alias("__ld_mark"))
+        .agg(F.collect_set("pos").alias("__ld_gone"))
     )
+    joined = docs.join(gone, (F.col(id_col) == F.col("__ld_id")) & (F.xxhash64(text) == F.col("__ld_mark")), "left")
+    lines = F.split(text, "\n", -1)
+    # Places are taken away as sets, so that the work grows with the lines, not with lines times dropped ones.
+    left = lambda ls: F.transform(F.array_except(F.sequence(F.lit(0), F.size(ls) - 1), "__ld_gone"), lambda i: F.get(ls, i))
+    kept = F.get(F.transform(F.array(lines), left), F.lit(0))
     rest = [c for c in docs.columns if c.lower() != text_col.lower()]
     return joined.select(
         *rest,

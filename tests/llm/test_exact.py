@@ -37,6 +37,21 @@ def test_line_dedup(spark, rows):
     assert not rows or any(w[3] for w in want)
 
 
+def test_a_document_of_very_many_shared_lines(spark):
+    """Six documents of 60,000 lines in common: the work grows with the lines, not with their square."""
+    lines = "\n".join(f"line number {i} of a text that others have as well" for i in range(60_000))
+    df = spark.createDataFrame([(i, lines + f"\n{i}") for i in range(6)], "doc_id long, text string").repartition(6)
+    got = {r.doc_id: (r.n_lines, r.n_dropped) for r in line_dedup(df).collect()}
+    assert got == {i: (60_001, 60_000 if i < 5 else 0) for i in range(6)}
+
+
+def test_rows_of_one_id_lose_their_own_lines(spark):
+    shared = "x" * 40
+    rows = [(i, f"{shared}\n{i}") for i in range(5)] + [(1, f"a\nb\n{shared}"), (1, f"a\nb\n{shared}"), (4, shared)]
+    got = line_dedup(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((r.doc_id, r.text) for r in got.collect()) == [(0, "0"), (1, "1"), (1, "a\nb"), (1, "a\nb"), (2, "2"), (3, "3"), (4, shared), (4, f"{shared}\n4")]
+
+
 def brute_substrings(rows, window):
     seen, out = set(), []
     order = sorted(range(len(rows)), key=lambda k: (rows[k][0] is None, rows[k][0] or 0, k))
