@@ -130,7 +130,7 @@ def test_overlaps(spark, seed, n, span, block, salt):
     b = spark.createDataFrame(right, "key string, start long, end long, weight long").withColumn("n", F.lit("clash"))
     want = brute_overlaps(left, right)
     assert table(I.overlaps(a, b, block=block, salt_rows=salt)) == sorted(map(str, want))
-    assert n < 120 or len({w[1] for w in want}) == 9
+    assert span != 5 or n == 0 or len({w[1] for w in want}) == 9
 
 
 def test_one_interval_across_all_time_is_a_few_rows(spark):
