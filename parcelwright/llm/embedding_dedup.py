@@ -175,11 +175,10 @@ def near_vectors(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str
     comps = comps.select("id.rep", "id.h", F.col("component.rep").alias("c"))
     per_class = classes.select("rep", "h", "copies").join(linked, ["rep", "h"], "left").join(comps, ["rep", "h"], "left")
     per_class = per_class.select("rep", "h", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n"), F.coalesce("c", "rep").alias("c"))
-    # Rows find their class by label and vector; their least id and the hash stand for both.
-    of_row = good.select("id", "h", "label", "vector").join(_least(good), ["h", "label", "vector"]).join(per_class, ["rep", "h"]).select("id", "n", "c")
+    # Rows find their class by two hashes of label and vector; their least id and a hash stand for it.
+    # A vector may have any number of copies: its rows are dealt over tasks, and meet hashes instead of vectors.
+    told = good.select("id", "h", F.xxhash64(F.lit(1), "label", "vector").alias("g"))
+    of_row = spread_join(told, told.groupBy("h", "g").agg(F.min("id").alias("rep")), ["h", "g"], "id")
+    of_row = spread_join(of_row, per_class, ["rep", "h"], "id").select("id", "n", "c")
     alone = rows.where(~F.coalesce(fine, F.lit(False))).select("id", F.lit(0).cast("long").alias("n"), F.col("id").alias("c"))
     return of_row.unionByName(alone).select(F.col("id").alias(id_col), F.col("n").alias("n_links"), F.col("c").alias("component_id"), F.coalesce(F.col("id") == F.col("c"), F.lit(True)).alias("kept"))
-
-
-def _least(good: DataFrame) -> DataFrame:
-    return good.groupBy("h", "label", "vector").agg(F.min("id").alias("rep"))
