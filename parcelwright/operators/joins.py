@@ -49,9 +49,9 @@ def majority(candidates: DataFrame, key: str, value: str, position: str) -> Data
     return best_per(counts, [key], F.col("__n").desc(), F.col("__first")).select(key, value)
 
 
-def unique_match(pairs: DataFrame, key: str) -> DataFrame:
-    """The rows of keys that have exactly one."""
-    return pairs.withColumn("__n", F.count("*").over(Window.partitionBy(key))).where("__n = 1").drop("__n")
+def unique_match(groups: DataFrame, key: str, value: str, n: str) -> DataFrame:
+    """key and value of the keys that have exactly one match; a row stands for n matches, and a key's rows count together."""
+    return groups.groupBy(key).agg(F.sum(n).alias("__n"), F.min(value).alias(value)).where("__n = 1").drop("__n")
 
 
 def first_variant(leads: DataFrame, variants: str, reference: DataFrame, name: str) -> DataFrame:

@@ -196,11 +196,11 @@ SELECT lead_id, min(prop_id) AS prop_id FROM leads JOIN t USING (owner_id, lot,
 @query(UNIQUE)
 def unique_lot_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leads with exactly one parcel of their owner on their lot and block. Parcels are grouped
-    by owner, lot and block first, so a lead joins one row at most whatever its owner holds."""
+    by owner, lot and block first, so a lead's row joins one group at most whatever its owner holds."""
     lb = view(spark, sf_dir, "d_parcel").select("prop_id", "owner_id", legal.lot_block("legal").alias("lb"))
-    parcels = lb.select("prop_id", "owner_id", "lb.block", F.explode("lb.lots").alias("lot")).groupBy("owner_id", "lot", "block").agg(F.count("*").alias("n"), F.min("prop_id").alias("prop_id")).where("n = 1")
+    parcels = lb.select("prop_id", "owner_id", "lb.block", F.explode("lb.lots").alias("lot")).groupBy("owner_id", "lot", "block").agg(F.count("*").alias("n"), F.min("prop_id").alias("prop_id"))
     leads = table(spark, sf_dir, "lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("lead_id"), (F.col("l_suppkey") % 150).alias("owner_id"), (F.col("l_partkey") % 20 + 1).cast("string").alias("lot"), F.col("l_quantity").cast("int").cast("string").alias("block"))
-    return joins.unique_match(leads.join(parcels, ["owner_id", "lot", "block"]).select("lead_id", "prop_id"), "lead_id")
+    return joins.unique_match(leads.join(parcels, ["owner_id", "lot", "block"]), "lead_id", "prop_id", "n")
 
 
 @query()

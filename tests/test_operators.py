@@ -106,3 +106,26 @@ def test_reference_join_broadcasts_and_match_has_no_nested_loop(spark):
     plan = entity_queries.legal_match(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
     assert "BroadcastHashJoin" in entity_queries.proptype_lookup(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+
+
+def written(folder, **tables):
+    """A folder of small tables, and DuckDB's views of them."""
+    import duckdb
+    import pandas as pd
+
+    con = duckdb.connect()
+    for name, columns in tables.items():
+        pd.DataFrame(columns).to_parquet(f"{folder}/{name}.parquet")
+        con.execute(f"create view {name} as select * from read_parquet('{folder}/{name}.parquet')")
+    return con
+
+
+def test_unique_match_counts_all_rows_of_a_lead(spark, tmp_path):
+    from parcelwright.plans import entity_queries as E
+
+    # Two rows of one lead: a lot of one parcel, and a lot of two; and a lead with one row on a lot of one parcel.
+    part = {"p_partkey": [0, 300, 600], "p_name": ["oak"] * 3, "p_type": ["LARGE"] * 3, "p_size": [7, 7, 8], "p_retailprice": [1.0] * 3}
+    items = {"l_orderkey": [1, 1, 2], "l_linenumber": [1, 1, 1], "l_suppkey": [0, 0, 0], "l_partkey": [0, 0, 0], "l_quantity": [8.0, 7.0, 8.0]}
+    con = written(tmp_path, part=part, lineitem=items)
+    want = con.execute(E.UNIQUE).fetchall()
+    assert rows(E.unique_lot_match(spark, str(tmp_path))) == want == [(21, 600)]
