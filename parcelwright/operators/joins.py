@@ -43,6 +43,25 @@ def two_tier(df: DataFrame, index: DataFrame, words: str = "words") -> DataFrame
     return exact.unionByName(loose)
 
 
+def two_tier_vote(df: DataFrame, index: DataFrame, words: str = "words") -> DataFrame:
+    """What the candidates of `two_tier` come to: id, tier, candidates (their number), cls (their most
+    frequent filled class, among equals the one with the least pos; "" without one).
+
+    Parcels are summed up by key before they meet df, so its rows join one row at most, however many parcels share a key.
+    """
+
+    def votes(key: str) -> DataFrame:
+        counts = index.groupBy(key, "cls").agg(F.count("*").alias("n"), F.min("pos").alias("first"))
+        filled = F.col("cls") != ""
+        vote = F.min(F.when(filled, F.struct((-F.col("n")).alias("less"), "first", "cls")))
+        return counts.groupBy(key).agg(F.sum("n").alias("candidates"), F.count(F.when(filled, 1)).alias("classes"), vote["cls"].alias("cls"))
+
+    left = df.select("id", full_key(words).alias("full_key"), key_without_direction(words).alias("loose_key"))
+    full, loose = votes("full_key").select("full_key", F.struct(F.lit("full").alias("tier"), "candidates", "cls").alias("f")), votes("loose_key").where("classes <= 1").select("loose_key", F.struct(F.lit("noprefix").alias("tier"), "candidates", "cls").alias("l"))
+    found = left.join(full, "full_key", "left").join(loose, "loose_key", "left").select("id", F.coalesce("f", "l").alias("v")).where("v is not null")
+    return found.select("id", "v.tier", "v.candidates", F.coalesce("v.cls", F.lit("")).alias("cls"))
+
+
 def majority(candidates: DataFrame, key: str, value: str, position: str) -> DataFrame:
     """The most frequent filled value of each key; among equals the one seen first."""
     counts = candidates.where(F.col(value) != "").groupBy(key, value).agg(F.count("*").alias("__n"), F.min(position).alias("__first"))

@@ -150,10 +150,7 @@ TIERS = with_views("d_parcel") + """, idx AS (
 def two_tier_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = view(spark, sf_dir, "d_parcel").withColumn("words", addresses.address_words("situs"))
     index = joins.parcel_index(p.where("prop_id % 2 = 0").select("prop_id", F.col("state_class").alias("cls"), F.col("prop_id").alias("pos"), "words"))
-    hits = joins.two_tier(p.select(F.col("prop_id").alias("id"), "words"), index)
-    vote = joins.majority(hits, "id", "cls", "pos")
-    out = hits.groupBy("id").agg(F.min("tier").alias("tier"), F.count("*").alias("candidates"))
-    return out.join(vote, "id", "left").select("id", "tier", "candidates", F.coalesce("cls", F.lit("")).alias("cls"))
+    return joins.two_tier_vote(p.select(F.col("prop_id").alias("id"), "words"), index)
 
 
 @query(with_views("d_parcel") + """ SELECT prop_id, lower(trim(regexp_replace(regexp_replace(legal, ' (BLK|LOT) [0-9]+', ' ', 'g'), '\\s+', ' ', 'g'))) AS subdivision,

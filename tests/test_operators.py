@@ -129,3 +129,17 @@ def test_unique_match_counts_all_rows_of_a_lead(spark, tmp_path):
     con = written(tmp_path, part=part, lineitem=items)
     want = con.execute(E.UNIQUE).fetchall()
     assert rows(E.unique_lot_match(spark, str(tmp_path))) == want == [(21, 600)]
+
+
+def test_two_tier_vote_says_what_the_candidates_say(spark):
+    parcels = spark.createDataFrame(
+        [(n, c, n, w.split()) for n, c, w in [(1, "A1", "1 N OAK"), (2, "B2", "1 N OAK"), (3, "B2", "1 N OAK"), (4, "", "2 N ELM"), (5, "C1", "2 S ELM"), (6, "A1", "3 N ASH"), (7, "B2", "3 S ASH"), (8, "", "4 FIR"), (9, "B2", "5 YEW"), (10, "A1", "5 YEW")]],
+        "prop_id long, cls string, pos long, words array<string>",
+    )
+    asked = spark.createDataFrame([(i, w.split()) for i, w in enumerate(["1 N OAK", "2 ELM", "3 ASH", "4 FIR", "5 YEW", "9 NONE", ""])], "id long, words array<string>")
+    index = joins.parcel_index(parcels)
+    hits = joins.two_tier(asked, index)
+    vote = {r.id: r.cls for r in joins.majority(hits, "id", "cls", "pos").collect()}
+    want = sorted((r.id, r.tier, r.n, vote.get(r.id, "")) for r in hits.groupBy("id", "tier").agg(F.count("*").alias("n")).collect())
+    got = joins.two_tier_vote(asked, index)
+    assert sorted(map(tuple, got.collect())) == want == [(0, "full", 3, "B2"), (1, "noprefix", 2, "C1"), (3, "full", 1, ""), (4, "full", 2, "B2")]
