@@ -117,3 +117,9 @@ def test_keep_or_fill(spark):
     from parcelwright.functions.base import keep_or_fill
 
     assert [v[0] for v in values(spark, [("a", "b"), (" ", "b"), (None, None)], keep_or_fill("a", "b"))] == ["a", "b", None]
+
+
+def test_house_numbers_of_five_digits(spark):
+    loose = addresses.number_and_name("a", ("SAMPLETON",))
+    told = ["10838 SAMPLE AVE, SAMPLETON TX 90001", "10838 Sample Ave", "10838 SAMPLE, SAMPLETON TX 90001-1234", "90001"]
+    assert [v[0] for v in values(spark, told, loose)] == ["10838 SAMPLE"] * 3 + [""]
