@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .base import C, blank, col, group, has, squeeze, strip_chars, text
+from .base import C, blank, col, group, has, let, squeeze, strip_chars, text
 
 # What may follow a borrower's name, what marks lenders, legal texts and page headers.
 MARITAL = r"(?i)[,\s]+(?:UNMARRIED|MARRIED|SINGLE|WIDOWED|WIDOW|DIVORCED)(?:\s+as\s+(?:trustor|grantor|borrower|mortgagor))?\.?\s*$"
@@ -59,7 +59,7 @@ def without_descriptors(name: C) -> Column:
     one, two = (bare(strip_chars(group(F.trim(s), JOINED, n), " ,."), " ,.", MARITAL, DESCRIPTOR) for n in (1, 2))
     both = F.when((F.length(one) >= 3) & (F.length(two) >= 3), F.concat(one, F.lit(" and "), two)).otherwise(s)
     alone = bare(F.trim(s), r" ,.;:&\-", MARITAL, DESCRIPTOR, ROLE)
-    return F.when(group(F.trim(s), JOINED) != "", both).otherwise(F.when(F.length(alone) >= 3, alone).otherwise(s))
+    return F.when(group(F.trim(s), JOINED) != "", both).otherwise(let(alone, lambda a: F.when(F.length(a) >= 3, a).otherwise(s)))
 
 
 def entity_core(name: C) -> Column:

@@ -24,27 +24,47 @@ FIELDS = (
 )
 
 
-def _matches(value: Column, patterns: Iterable[str], group: int = 1) -> Column:
+def _holds(low: Column, *words: str) -> Column:
+    """Whether a notice in lower case holds all the words: a search for them costs little beside a pattern's."""
+    test = F.lit(True)
+    for w in words:
+        test = test & F.contains(low, F.lit(w))
+    return test
+
+
+def _said(value: Column, low: Column, pattern: str, needs: tuple[str, ...], group: int = 1) -> Column:
+    """What a pattern's first match holds, "" without one; the pattern is tried only where its needs are met."""
+    found = F.regexp_extract(value, pattern, group)
+    return F.when(_holds(low, *needs), found).otherwise("") if needs else found
+
+
+def _matches(value: Column, patterns: Iterable[str], group: int = 1, needs: Iterable[tuple[str, ...]] | None = None, low: Column | None = None) -> Column:
     """What the first match of each pattern holds, in their order; those without a match are left out."""
-    return F.filter(F.array(*[F.regexp_extract(value, p, group) for p in patterns]), lambda m: m != "")
+    said = [F.regexp_extract(value, p, group) for p in patterns] if needs is None else [_said(value, low, p, n, group) for p, n in zip(patterns, needs, strict=True)]
+    return F.filter(F.array(*said), lambda m: m != "")
+
+
+def _low(notice: Column, low: Column | None) -> Column:
+    return F.lower(text(notice)) if low is None else low
 
 
 def _first(values: Column) -> Column:
     return F.coalesce(F.get(values, F.lit(0)), F.lit(""))
 
 
-def borrower(notice: Column) -> Column:
+def borrower(notice: Column, low: Column | None = None) -> Column:
     """struct(owner, owner_raw): the raw name only where it differs. Persons that read like a lender
     or a legal description, and names under four characters, give way to the next pattern."""
-    found = F.array(*[F.struct(F.regexp_extract(notice, p, 1).alias("said"), F.lit(entity).alias("entity")) for p, entity in P.BORROWER])
+    said = [_said(notice, _low(notice, low), p, needs) for (p, _), needs in zip(P.BORROWER, P.BORROWER_NEEDS, strict=True)]
+    found = F.array(*[F.struct(s.alias("said"), F.lit(entity).alias("entity")) for s, (_, entity) in zip(said, P.BORROWER)])
     cleaned = F.transform(F.filter(found, lambda m: m["said"] != ""), lambda m: F.struct(clean_ocr_name(m["said"]).alias("raw"), m["entity"].alias("entity")))
     named = F.transform(cleaned, lambda m: F.struct(F.when(m["entity"], entity_core(m["raw"])).otherwise(without_descriptors(m["raw"])).alias("name"), m["raw"].alias("raw"), m["entity"].alias("entity")))
     good = F.filter(named, lambda m: (F.length(m["name"]) >= 4) & (m["entity"] | ~(looks_like_lender(m["name"]) | looks_like_legal(m["name"]))))
     return let(F.get(good, F.lit(0)), lambda m: F.struct(text(m["name"]).alias("owner"), F.when((m["raw"] != "") & (m["raw"] != m["name"]), m["raw"]).otherwise("").alias("owner_raw")))
 
 
-def lender(notice: Column) -> Column:
-    return _first(F.filter(F.transform(_matches(notice, P.LENDER), clean_name), lambda n: F.length(n) >= 3))
+def lender(notice: Column, low: Column | None = None) -> Column:
+    return _first(F.filter(F.transform(_matches(notice, P.LENDER, needs=P.LENDER_NEEDS, low=_low(notice, low)), clean_name), lambda n: F.length(n) >= 3))
 
 
 def loan_amount(notice: Column) -> Column:
@@ -59,33 +79,51 @@ def _modification(flat: Column, deed_date: Column, own_number: Column) -> Column
     every = lambda patterns, group: F.flatten(F.array(*[F.regexp_extract_all(flat, F.lit(p), group) for p in patterns]))
     dates = F.filter(F.transform(F.transform(every(P.MODIFIED_DATE, 1), squeeze), prose_date), lambda d: F.regexp_like(d, F.lit(r"^\d{4}-\d{2}-\d{2}$")))
     numbers = F.flatten(F.transform(every(P.MODIFIED_PASSAGE, 0), lambda passage: F.regexp_extract_all(passage, F.lit(P.MODIFIED_NUMBER), 1)))
-    modified = has(flat, P.MODIFIED)
     none = F.array().cast("array<string>")
-    new = let(F.struct(F.when(modified, dates).otherwise(none).alias("d"), F.when(modified, numbers).otherwise(none).alias("n"), deed_date.alias("deed"), own_number.alias("own")), lambda x: newest_modification(x["deed"], x["d"], x["n"], x["own"]))
-    return let(new, lambda n: F.struct(n["deed_date"].alias("deed_date"), n["original"].alias("original"), n["document"].alias("document"), modified.alias("modified")))
+
+    def told(modified: Column) -> Column:
+        new = let(F.struct(F.when(modified, dates).otherwise(none).alias("d"), F.when(modified, numbers).otherwise(none).alias("n"), deed_date.alias("deed"), own_number.alias("own")), lambda x: newest_modification(x["deed"], x["d"], x["n"], x["own"]))
+        return let(new, lambda n: F.struct(n["deed_date"].alias("deed_date"), n["original"].alias("original"), n["document"].alias("document"), modified.alias("modified")))
+
+    return let(has(flat, P.MODIFIED), told)
 
 
-def property_address(notice: Column, cities: tuple[str, ...] = P.CITIES, offices: tuple[str, ...] = P.OFFICES) -> Column:
+def property_address(notice: Column, cities: tuple[str, ...] = P.CITIES, offices: tuple[str, ...] = P.OFFICES, low: Column | None = None) -> Column:
     """struct(street, city, zip) of the property, in upper case: by label, header or line if the city
     counts, else the first address anywhere of such a city that is no office; null without one."""
     place = lambda street, city, zip_code: F.struct(strip_chars(F.upper(squeeze(street)), " ,.").alias("street"), F.trim(F.upper(city)).alias("city"), zip_code.alias("zip"))
     here = lambda a: (a["street"] != "") & F.exists(F.array(*map(F.lit, cities)), lambda c: F.contains(a["city"], c))
-    told = F.array(*[place(*[F.regexp_extract(notice, p, n) for n in (1, 2, 3)]) for p in (P.LABELLED_ADDRESS, P.HEADER_ADDRESS, P.LINE_ADDRESS)])
-    found = F.arrays_zip(*[F.regexp_extract_all(notice, F.lit(P.ANY_ADDRESS), n) for n in (1, 2, 3)])
-    others = F.filter(F.transform(found, lambda a: place(a["0"], a["1"], a["2"])), lambda a: ~F.exists(F.array(*map(F.lit, offices)), lambda o: F.contains(a["street"], o)))
+    # The patterns look at nothing beside their match, so its parts are read from the match alone.
+    parts = lambda match, p: place(*[F.regexp_extract(match, p, n) for n in (1, 2, 3)])
+    told = lambda p: let(F.regexp_extract(notice, p, 0), lambda m: F.when(m != "", let(parts(m, p), lambda a: F.when(here(a), a))))
+    found = F.transform(F.regexp_extract_all(notice, F.lit(P.ANY_ADDRESS), 0), lambda m: parts(m, P.ANY_ADDRESS))
+    others = F.filter(found, lambda a: here(a) & ~F.exists(F.array(*map(F.lit, offices)), lambda o: F.contains(a["street"], o)))
     short = F.create_map(*[F.lit(x) for kv in P.SHORT_CITIES.items() for x in kv])
 
     def named(a: Column) -> Column:
         city = F.translate(a["city"], "!?", "II")
         return F.when(a.isNotNull(), F.struct(a["street"].alias("street"), squeeze(F.coalesce(F.try_element_at(short, city), city)).alias("city"), a["zip"].alias("zip")))
 
-    return let(F.get(F.filter(F.concat(told, others), here), F.lit(0)), named)
+    first = F.coalesce(*[told(p) for p in (P.LABELLED_ADDRESS, P.HEADER_ADDRESS, P.LINE_ADDRESS)], F.get(others, F.lit(0)))
+    low = _low(notice, low)
+    return let(F.when(_holds(low, "tx") | _holds(low, "texas"), first), named)
 
 
-def legal_of(notice: Column) -> Column:
+def legal_of(notice: Column, low: Column | None = None) -> Column:
     """struct(lot, block, subdivision, unit, tracts), each "" where it isn't said."""
+    # The patterns look at nothing beside their match, save for the word's start of the tracts: parts are read from the match.
+    low = _low(notice, low)
+    blocks = _holds(low, "block") | _holds(low, "blk")
+    match = lambda p, near: F.when(near, F.regexp_extract(notice, p, 0)).otherwise("")
+    matches = F.struct(match(P.LEGAL_WORDS, blocks).alias("w"), match(P.LEGAL_TRACTS, _holds(low, "tract")).alias("t"))
+    digits = lambda use: let(match(P.LEGAL_DIGITS, blocks), use)
+    return let(matches, lambda m: F.when(F.regexp_extract(m["w"], P.LEGAL_WORDS, 5) != "", _legal(m["w"], F.lit(""), F.lit(""))).otherwise(digits(lambda d: _legal(F.lit(""), d, m["t"]))))
+
+
+def _legal(words: Column, digits: Column, tracts_: Column) -> Column:
     name = lambda s: F.trim(F.regexp_replace(strip_chars(squeeze(clean_name(s)), " .,"), r"\.\s+", " "))
-    get = lambda p, n: F.regexp_extract(notice, p, n)
+    of = {P.LEGAL_WORDS: words, P.LEGAL_DIGITS: digits, P.LEGAL_TRACTS: tracts_}
+    get = lambda p, n: F.regexp_extract(of[p], p, n)
     either = lambda p, a, b: F.when(get(p, a) != "", get(p, a)).otherwise(get(p, b))
     parts = lambda lot, block, sub, unit, tracts: F.struct(*[v.alias(n) for n, v in zip(("lot", "block", "subdivision", "unit", "tracts"), (strip_chars(lot, " ,."), strip_chars(block, " ,."), sub, F.trim(unit), tracts))])
     none = F.lit("")
@@ -102,18 +140,19 @@ def notice_fields(notices: DataFrame, value: str = "text", *, state: str = "TX")
     """notices with FIELDS read from their text. A blank or null text gives "" (null amount, no
     modification); the original date of a deed and the modification's number are null unless told.
     The patterns' time can grow with the square of the longest word: made for pages, not for blobs."""
-    notice = text(value)
+    notices = notices.withColumn("__low", F.lower(text(value)))
+    notice, low = text(value), F.col("__low")
     own = F.regexp_extract(notice, P.OWN_NUMBER, 1)
     deed = let(squeeze(_first(_matches(notice, P.DEED_DATE))), prose_date)
     read = notices.withColumns({
-        "__b": borrower(notice), "__m": let(squeeze(notice), lambda flat: _modification(flat, deed, own)), "__a": property_address(notice), "__l": legal_of(notice),
+        "__b": borrower(notice, low), "__m": let(squeeze(notice), lambda flat: _modification(flat, deed, own)), "__a": property_address(notice, low=low), "__l": legal_of(notice, low),
         "__n": let(squeeze(notice), lambda flat: _first(_matches(flat, P.LOAN_NUMBER))),
     })
     found = F.col("__a").isNotNull()
     values = {
-        "doc_number": own, "owner": F.col("__b.owner"), "owner_raw": F.col("__b.owner_raw"), "lender": lender(notice), "loan_amount": loan_amount(notice),
+        "doc_number": own, "owner": F.col("__b.owner"), "owner_raw": F.col("__b.owner_raw"), "lender": lender(notice, low), "loan_amount": loan_amount(notice),
         "deed_date": F.col("__m.deed_date"), "deed_date_original": F.col("__m.original"), "has_loan_mod": F.col("__m.modified"), "loan_mod_doc": F.col("__m.document"), "loan_doc": F.col("__n"),
         "prop_address": text("__a.street"), "prop_city": text("__a.city"), "prop_state": F.when(found, state).otherwise(""), "prop_zip": text("__a.zip"),
         "legal_lot": F.col("__l.lot"), "legal_block": F.col("__l.block"), "legal_subdivision": F.col("__l.subdivision"), "legal_unit": F.col("__l.unit"), "legal_tracts": F.col("__l.tracts"),
     }
-    return read.select(*[F.col(c) for c in notices.columns if c not in values], *[values[c].alias(c) for c in FIELDS])
+    return read.select(*[F.col(c) for c in notices.columns if c not in values and c != "__low"], *[values[c].alias(c) for c in FIELDS])

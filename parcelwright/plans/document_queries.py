@@ -13,7 +13,7 @@ from ..sources import mirrors
 from .lookup_queries import t
 from .notice_cases import CASES
 from .record_queries import when
-from .views import table, view, with_views
+from .views import spread, table, view, with_views
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -284,7 +284,7 @@ def notice_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
     for i, (name, _, template, _) in enumerate(CASES):
         notice = notice.when(k % len(CASES) == i, _rendered(template, k))
         field = field.when(k % len(CASES) == i, F.lit(name))
-    read = extraction.notice_fields(table(spark, sf_dir, "orders").select(k.alias("id"), notice.alias("text"), field.alias("field")))
+    read = extraction.notice_fields(spread(table(spark, sf_dir, "orders"), "o_orderkey").select(k.alias("id"), notice.alias("text"), field.alias("field")))
     said = F.lit(None).cast("string")
     for name in dict.fromkeys(c[0] for c in CASES):
         said = F.when(F.col("field") == name, F.col(name).cast("string")).otherwise(said)

@@ -10,7 +10,7 @@ from ..operators import extraction, parcels, state
 from ..sources import parcel_pages, payloads, readers, sinks
 from .entity_queries import DELINQUENT, KIND
 from .lookup_queries import t
-from .views import AS_OF, table, view, with_views
+from .views import AS_OF, spread, table, view, with_views
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -288,5 +288,5 @@ def notices_read(spark: SparkSession, sf_dir: str) -> DataFrame:
         "Deed of Trust Date: June 1, 2009\nGrantor: SAMPLE HOLDINGS ", k, " LLC\nCurrent Mortgagee: SAMPLE BANK, N.A.\nAmount: $55,000.00\nSale at 901 LEOPARD STREET, CORPUS CHRISTI, TX 78401 of the land at ", h,
         " OAK AVE, PORT ARANSAS, TEXAS 78373\nTRACTS ONE (1) AND TWO (2), SAMPLE FARM ADDITION",
     )
-    notices = table(spark, sf_dir, "orders").select(k.alias("id"), F.when(k % 4 == 0, full).when(k % 4 == 1, changed).when(k % 4 == 2, entity).alias("text"))
+    notices = spread(table(spark, sf_dir, "orders"), "o_orderkey").select(k.alias("id"), F.when(k % 4 == 0, full).when(k % 4 == 1, changed).when(k % 4 == 2, entity).alias("text"))
     return extraction.notice_fields(notices).drop("text")

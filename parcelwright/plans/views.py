@@ -71,6 +71,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """df dealt out by a key of many values over four tasks a core, for work that costs much by the row: a
+    file of small rows has few row groups, and each is one task's whatever the number of cores."""
+    return df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism, key)
+
+
 def with_views(*names: str) -> str:
     """A WITH clause of the views, for oracle SQL; more tables may follow it."""
     return "WITH " + ",\n".join(f"{n} AS ({VIEWS[n][1]})" for n in names)
