@@ -43,7 +43,7 @@ def search_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         cell("_ownerId", when(k % 5 == 0, "C5")), cell("_geoId", t("2540-", k)), cell("_appraisedValueDisplay", when(k % 2 == 1, t("$", F.col("p_size"), ",000.50"), "N/A")),
     ]
     page = t("<table><thead><tr><th>Owner</th></tr></thead><tr", call, ">", *cells, "</tr><tr><td class='_ownerName'>OTHER</td></tr><tr><td>none</td></tr></table>")
-    out = table(spark, sf_dir, "part").withColumn("page", page)
+    out = spread(table(spark, sf_dir, "part"), "p_partkey").withColumn("page", page)
     rows = out.select("p_partkey", F.size(parcel_pages.search_rows("page")).cast("long").alias("n_named"), F.get(parcel_pages.search_rows("page", default_year="2026", by_id=True), F.lit(0)).alias("r"))
     return rows.select("p_partkey", "n_named", *[F.col(f"r.{c}").alias(c) for c in ("owner", "situs", "prop_id", "owner_id", "year", "appraised_value", "account")])
 
