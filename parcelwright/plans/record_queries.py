@@ -63,8 +63,9 @@ def detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     cards = t(*[x for label, v in facts[:2] for x in (f'<div class="info-card"><h4 class="title">{label}</h4><div class="body">', v, "</div></div>")])
     rows = t("<table>", *[x for label, v in [*facts, ("Geographic ID:", t("2540-", k))] for x in (f"<tr><th>{label}<td>", v, "</td></tr>")], "</table>")
     page = F.when(k % 4 == 0, listed).when(k % 4 == 1, cards).when(k % 4 == 2, rows).otherwise(t("<p>Legal Description:</p><p>TRACT ", k, "</p>"))
-    out = table(spark, sf_dir, "customer").select("c_custkey", parcel_pages.detail(page).alias("page"))
-    record, post_, line = parcel_pages.page_record("page", city="SAMPLE CITY"), parcel_pages.page_mail("page"), parcel_pages.page_mail_lines("page")
+    out = spread(table(spark, sf_dir, "customer"), "c_custkey").select("c_custkey", parcel_pages.detail(page).alias("page"))
+    out = out.select("c_custkey", "page", parcel_pages.page_record("page", city="SAMPLE CITY").alias("record"), parcel_pages.page_mail("page").alias("post"), parcel_pages.page_mail_lines("page").alias("line"))
+    record, post_, line = F.col("record"), F.col("post"), F.col("line")
     return out.select(
         "c_custkey", *[record[c].alias(c) for c in ("site_address", "site_city", "mail_address", "appraised_value")], post_["street"].alias("mail_street"), post_["city"].alias("mail_city"),
         line["street"].alias("line_street"), line["zip"].alias("line_zip"), line["account"].alias("account"), parcel_pages.page_legal("page").alias("legal"),
