@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import identifiers, mail
 from ..operators import lookups, ranking
 from ..sources import payloads
-from .views import table, view, with_views
+from .views import spread, table, view, with_views
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -48,7 +48,7 @@ def mail_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(k % 7 == 2, t(street, ", ", city, ", OK ", zip_code)).when(k % 7 == 3, t(street, " ", city, ", TX ", zip_code))
         .when(k % 7 == 4, t("CASEY DOE\n\nP.O. BOX ", k, "\n", city, " TX ", zip_code)).when(k % 7 == 5, t("C/O DOE ", street, "\n", city)).otherwise("  ")
     )
-    return table(spark, sf_dir, "customer").select("c_custkey", mail.mail_block(block, cities=CITIES).alias("m")).select("c_custkey", "m.*")
+    return spread(table(spark, sf_dir, "customer").select("c_custkey", block.alias("block")), "c_custkey").select("c_custkey", mail.mail_block("block", cities=CITIES).alias("m")).select("c_custkey", "m.*")
 
 
 @query(f"""SELECT c_custkey,
@@ -63,7 +63,7 @@ def mail_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 5 == 0, t(street, "\n", city, ", TX ", zip_code)).when(k % 5 == 1, t("CASEY DOE\n", street, "\n", city, ", TX ", zip_code, "-0001"))
         .when(k % 5 == 2, t(street, ", ", city, ", TX ", zip_code)).when(k % 5 == 3, t(street, "\nNO PLACE GIVEN"))
     )
-    return table(spark, sf_dir, "customer").select("c_custkey", mail.mail_lines(cell).alias("m")).select("c_custkey", "m.*")
+    return spread(table(spark, sf_dir, "customer").select("c_custkey", cell.alias("cell")), "c_custkey").select("c_custkey", mail.mail_lines("cell").alias("m")).select("c_custkey", "m.*")
 
 
 @query("""SELECT o_orderkey, CAST(2024000000 + o_orderkey AS VARCHAR) AS doc_number, o_orderstatus || '; B' AS names, 'A, B' AS listed
