@@ -9,7 +9,7 @@ from ..functions import addresses, codes, dates, legal, money
 from ..functions import owners as names
 from ..operators import merge, ranking, records, state, summary
 from ..sources import sinks
-from .views import table, view, with_views
+from .views import spread, table, view, with_views
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -113,7 +113,7 @@ def address_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = addresses.address_in_text(F.when(k % 3 == 0, t(s(k), " Sample Oak Pl Sampleton TX 90001-1234")).when(k % 3 == 1, t(s(k), " sample st (corner)")).otherwise("LOT 4 SAMPLE ST"))
     loose = addresses.number_and_name(F.when(k % 2 == 0, t(s(k), " SAMPLE OAK AVE, SAMPLETON TX 90001")).otherwise(t(s(k), " Sample Oak Ave")), ("SAMPLETON",))
     plain = addresses.plain(F.when(k % 2 == 0, t(s(k), " O'Sample Dr.")).otherwise(t(s(k), "  O SAMPLE DR,")))
-    return table(spark, sf_dir, "customer").select("c_custkey", found["street"].alias("street"), found["city"].alias("city"), found["zip"].alias("zip"), loose.alias("loose"), plain.alias("plain"))
+    return spread(table(spark, sf_dir, "customer"), "c_custkey").select("c_custkey", found["street"].alias("street"), found["city"].alias("city"), found["zip"].alias("zip"), loose.alias("loose"), plain.alias("plain"))
 
 
 @query("""SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'OLD SAMPLE,SAMPLE,OLD' ELSE 'SAMPLE' END AS names FROM customer""")
