@@ -74,7 +74,7 @@ def payload_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     grantors = t('[{"name": "', F.col("o_orderstatus"), '"}, "", {"fullName": "B"}]')
     row = F.when(k % 3 == 0, t('{"docNumber": "', F.lit(2024000000) + k, '", "grantors": ', grantors, "}")).when(k % 3 == 1, t('{"id": 7, "docNumber": "', F.lit(2024000000) + k, '", "docType": "X", "grantors": ', grantors, "}")).otherwise(t('{"key": "a", "label": "', k, '"}'))
     body = t('{"menu": [{"key": "k", "label": "l", "id": 1}], "a": {"b": [1, {"results": [', row, "]}]}}")
-    out = table(spark, sf_dir, "orders").select("o_orderkey", payloads.payload_documents(body).alias("rows"), payloads.joined_names(grantors).alias("names"), payloads.json_text(F.lit('["A", "", "B"]')).alias("listed"))
+    out = spread(table(spark, sf_dir, "orders"), "o_orderkey").select("o_orderkey", payloads.payload_documents(body).alias("rows"), payloads.joined_names(grantors).alias("names"), payloads.json_text(F.lit('["A", "", "B"]')).alias("listed"))
     return out.select("o_orderkey", F.explode("rows").alias("r"), "names", "listed").select("o_orderkey", F.col("r")["docNumber"].alias("doc_number"), "names", "listed")
 
 
@@ -84,7 +84,7 @@ def page_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("o_orderkey")
     script = t('<script>window.__data = {"x": undefined, "s": "a } b \\" {", "documents": {"workspaces": {"w": {"data": {"byHash": {"h": {"doc": "D', k, '", "via": "state"}}}}}}};</script>')
     plain = t("<table><tr><th>Doc</th><th>VIA</th></tr><tr><td>D", k, "</td><td>table</td></tr></table>")
-    out = table(spark, sf_dir, "orders").select("o_orderkey", payloads.page_documents(t("<html>", F.when(k % 2 == 0, script).otherwise(""), plain)).alias("rows"))
+    out = spread(table(spark, sf_dir, "orders"), "o_orderkey").select("o_orderkey", payloads.page_documents(t("<html>", F.when(k % 2 == 0, script).otherwise(""), plain)).alias("rows"))
     return out.select("o_orderkey", F.explode("rows").alias("r")).select("o_orderkey", F.col("r")["doc"].alias("doc"), F.col("r")["via"].alias("via"))
 
 
@@ -94,7 +94,7 @@ def card_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("o_orderkey")
     amount = F.when(k % 4 == 0, "--/--/--").otherwise(t("$", k, ".00"))
     card = t('<div class=c><a href="/doc/', k, '">LIEN</a><p><b>Document Number:</b> <i>', F.lit(2024000000) + k, "</i><br><b>Consideration</b>:<span>", amount, "</span></p><div><b>Grantor:</b><b>Grantee:</b><i>", F.col("o_orderpriority"), "</i></div></div>")
-    out = table(spark, sf_dir, "orders").select("o_orderkey", payloads.card_documents(t("<body><div>", card, "</div></body>")).alias("rows"))
+    out = spread(table(spark, sf_dir, "orders"), "o_orderkey").select("o_orderkey", payloads.card_documents(t("<body><div>", card, "</div></body>")).alias("rows"))
     return out.select("o_orderkey", F.explode("rows").alias("r")).select("o_orderkey", *[F.col("r")[c].alias(c) for c in ("doc_number", "consideration", "grantee")])
 
 

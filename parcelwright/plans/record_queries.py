@@ -84,7 +84,7 @@ def best_search_row(spark: SparkSession, sf_dir: str) -> DataFrame:
         row(t("X DOE ", k), "R", t(k, " C ROAD"), F.lit("GAMMA SUBDIVISION LOT 2 BLOCK 1")),
     )
     ours = F.when(k % 4 == 1, "GAMMA SUBDIVISION LOT 2 BLOCK 1").when(k % 4 == 2, "BETA SUBDIVISION LOT 1 BLOCK 1").when(k % 4 == 3, "DELTA SUBDIVISION LOT 9 BLOCK 1").otherwise("")
-    rows = table(spark, sf_dir, "orders").select(k.alias("id"), t("Doe ", k).alias("query_name"), ours.alias("record_legal"), F.lit("").alias("record_address"), F.posexplode(found).alias("pos", "r")).select("*", "r.*").drop("r")
+    rows = spread(table(spark, sf_dir, "orders"), "o_orderkey").select(k.alias("id"), t("Doe ", k).alias("query_name"), ours.alias("record_legal"), F.lit("").alias("record_address"), F.posexplode(found).alias("pos", "r")).select("*", "r.*").drop("r")
     return parcels.best_search_row(rows, city="SAMPLE CITY").select("id", F.col("pos").cast("long").alias("pos"), "site_address", "site_city")
 
 

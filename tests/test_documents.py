@@ -179,3 +179,26 @@ def test_bounds_and_rejects_of_notices(spark):
     read = [r.asDict() for r in extraction.notice_fields(rows).orderBy("i").collect()]
     got = [(f, v if v is None or isinstance(v, str) else str(v)) for r, (f, _) in zip(read, texts.values()) for v in [r[f]]]
     assert got == list(texts.values())
+
+
+def test_a_pattern_that_matches_has_what_it_needs(spark):
+    from parcelwright.functions import notice_patterns as P
+    from parcelwright.plans import document_queries, notice_cases
+
+    k = F.col("id")
+    notices = spark.range(len(notice_cases.CASES)).select(F.array(*[document_queries._rendered(template, k) for _, _, template, _ in notice_cases.CASES])[k].alias("text"))
+    notices = notices.union(spark.createDataFrame([("Deed executed by CASEY DOE dated June 1, 2009",)], "text string"))
+    pairs = [(p, n) for (p, _), n in zip(P.BORROWER, P.BORROWER_NEEDS, strict=True)] + list(zip(P.LENDER, P.LENDER_NEEDS, strict=True))
+    missed = [F.regexp_like("text", F.lit(p)) & ~F.lower("text").contains(w) for p, needs in pairs for w in needs]
+    found = [F.regexp_like("text", F.lit(p)) for p, _ in pairs]
+    got = notices.agg(F.max(F.array(*[F.array_contains(F.array(*missed), True)])[0]).alias("missed"), *[F.max(f).alias(f"f{i}") for i, f in enumerate(found)]).first()
+    assert got.missed is False
+    assert all(got[1:])  # every pattern is met
+
+
+def test_work_by_the_row_is_spread_over_tasks(spark):
+    from parcelwright.plans.registry import QUERIES
+
+    for name in ("notices_read", "notice_patterns", "search_rows", "detail_pages", "best_search_row", "card_rows", "mail_blocks"):
+        logical = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().logical().toString()
+        assert "RepartitionByExpression" in logical, name
