@@ -74,22 +74,25 @@ def cross_referenced(records: DataFrame, parcels: DataFrame, *, key: str = "doc_
     counts; records without any that name a subdivision and a lot are looked for under the subdivision's name
     ("subdivision"), by the same strict test. No weaker match counts. Repeated records of a key
     get one answer; records without a match, or a parcel without a street, have no row.
+
+    All sides are sorted and merged: what a compressed table's size says of them is far too small, and by it
+    whole parcels would be broadcast through the driver.
     """
     stored = parcels.select(F.upper(squeeze("name")).alias("name"), "pos", F.explode(stored_keys(parse_legal("legal"))).alias("legal_key"))
     index = stored.groupBy("name", "legal_key").agg(F.min("pos").alias("pos"))
     asked = without_address(records).select(key, F.col("owner").alias("__owner"), "legal_lot", "legal_subdivision", told_legal("legal_lot", "legal_block", "legal_subdivision").alias("__p"))
 
     def found(rows: DataFrame, stage: str) -> DataFrame:
-        hit = rows.withColumn("legal_key", F.explode(asked_keys("__p"))).withColumn("name", F.upper("name")).join(index, ["name", "legal_key"])
+        hit = rows.withColumn("legal_key", F.explode(asked_keys("__p"))).withColumn("name", F.upper("name")).join(index.hint("merge"), ["name", "legal_key"])
         first = hit.groupBy(key).agg(F.min(F.struct("variant", "pos", "name")).alias("f"))
         return first.select(key, F.lit(stage).alias("stage"), "f.pos", "f.name")
 
     named = found(asked.select(key, "__p", F.posexplode(borrower_names("__owner")).alias("variant", "name")), "name")
-    left = asked.join(named.select(key), key, "left_anti").where(~blank("legal_subdivision") & ~blank("legal_lot"))
+    left = asked.join(named.select(key).hint("merge"), key, "left_anti").where(~blank("legal_subdivision") & ~blank("legal_lot"))
     placed = found(left.select(key, "__p", F.lit(0).alias("variant"), squeeze("legal_subdivision").alias("name")), "subdivision")
     site = split_address("situs")
     rows = parcels.select(F.upper(squeeze("name")).alias("name"), "pos", "legal", site.alias("s"), "appraised_value").where(F.col("s.street") != "")
-    out = named.unionByName(placed).join(rows, ["name", "pos"])
+    out = named.unionByName(placed).join(rows.hint("merge"), ["name", "pos"])
     return out.select(
         key, "stage", "name", "pos", "legal", F.col("s.street").alias("prop_address"), first_filled("s.city", F.lit(CITY)).alias("prop_city"),
         first_filled("s.state", F.lit(STATE)).alias("prop_state"), F.col("s.zip").alias("prop_zip"), "appraised_value",

@@ -202,3 +202,9 @@ def test_work_by_the_row_is_spread_over_tasks(spark):
     for name in ("notices_read", "notice_patterns", "search_rows", "detail_pages", "best_search_row", "card_rows", "mail_blocks"):
         logical = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().logical().toString()
         assert "RepartitionByExpression" in logical, name
+
+
+def test_cross_reference_broadcasts_nothing(spark):
+    from parcelwright.plans import document_queries
+
+    assert "Broadcast" not in document_queries.cross_referenced(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
