@@ -63,7 +63,7 @@ LOOKS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "
 
 
 #: What is passed over anyway; leaving it out first makes fewer distinct pieces.
-SILENT = {p: None for p in range(33, 128) if not chr(p).isalnum() and chr(p) not in LOOKS}
+SILENT = bytes(p for p in range(33, 128) if not chr(p).isalnum() and chr(p) not in LOOKS)
 
 
 def _classes() -> np.ndarray:
@@ -91,17 +91,20 @@ def _subsequences(pieces: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, f
     kinds = np.where(points < len(CLASSES), CLASSES[np.minimum(points, len(CLASSES) - 1)], OTHER + points)
     piece = np.repeat(np.arange(len(pieces)), np.fromiter(map(len, pieces), np.int64, len(pieces)) + 2)
     piece, kinds = piece[kinds > 0], kinds[kinds > 0]
-    left = np.searchsorted(piece, piece, "right") - np.arange(len(piece))
+    left = np.cumsum(np.bincount(piece))[piece] - np.arange(len(piece))
     foreign = bool((kinds >= OTHER).any())
+    starts = {c: np.flatnonzero(left > c) for c in range(3, SPAN)}
+    owners = {c: piece[at] for c, at in starts.items()}
     for a, b, c, weight in OFFSETS:
-        at = np.flatnonzero(left > c)
+        at = starts[c]
         w, x, y, z = kinds[at], kinds[at + a], kinds[at + b], kinds[at + c]
         number = (w << 15) | (x << 10) | (y << 5) | z
         if foreign:
+            odd = np.flatnonzero((w | x | y | z) >= OTHER)
+            w, x, y, z = w[odd], x[odd], y[odd], z[odd]
             mixed = ((w * 0x9E3779B1 + x) * 0x85EBCA6B + y) * 0xC2B2AE35 + z
-            mixed = PLAIN + (((mixed ^ (mixed >> 29)) * 0x27D4EB2F >> 17) & (HASHED - 1))
-            number = np.where((w | x | y | z) < OTHER, number, mixed)
-        yield piece[at], number, weight
+            number[odd] = PLAIN + (((mixed ^ (mixed >> 29)) * 0x27D4EB2F >> 17) & (HASHED - 1))
+        yield owners[c], number, weight
 
 
 def _stretched(piece: str, rng: np.random.Generator) -> str:
@@ -157,29 +160,49 @@ def _kernel(pieces: list[str], columns: np.ndarray, marks: np.ndarray) -> np.nda
     return out
 
 
+class _Numbers(dict):
+    """The number of each piece in the order that they came, given when it is first asked for."""
+
+    def __init__(self) -> None:
+        self.names: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        self[piece] = n = len(self.names)
+        self.names.append(piece)
+        return n
+
+
+def _put(values: np.ndarray, at: int, new: np.ndarray) -> np.ndarray:
+    """values with new from place at on; room is doubled, so that many small additions cost little."""
+    if at + len(new) > len(values):
+        values = np.concatenate((values[:at], np.zeros(max(at + len(new), 2 * len(values)) - at, values.dtype)))
+    values[at : at + len(new)] = new
+    return values
+
+
 class Pieces:
-    """Numbers for words, and for the pieces that sentences are read as."""
+    """Numbers for words, and for the pieces that sentences are read as. Reading costs what the
+    sentences hold, however many pieces are known."""
 
     def __init__(self) -> None:
-        self.number: dict[str, int] = {}
-        self.sizes = np.zeros(0, np.int64)
+        self.number = _Numbers()
+        self.sizes, self.sized = np.zeros(0, np.int64), 0
         self.pairs: dict[int, int] = {}
 
-    def _of(self, piece: str) -> int:
-        return self.number.setdefault(piece, len(self.number))
-
     def read(self, sentences: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The number of each piece of the sentences, and the sentence it stands in."""
         words: list[str] = []
         counts = []
         for s in sentences:
-            own = s.translate(SILENT).split()
+            own = s.encode().translate(None, SILENT).decode().split()
             words += own
             counts.append(len(own))
         of = np.repeat(np.arange(len(sentences)), counts)
-        codes = np.fromiter((self._of(w) for w in words), np.int64, len(words))
-        new = list(self.number)[len(self.sizes) :]
-        self.sizes = np.concatenate((self.sizes, np.fromiter(map(len, new), np.int64, len(new))))
+        number = self.number.__getitem__
+        codes = np.fromiter(map(number, words), np.int64, len(words))
+        new = self.number.names[self.sized :]
+        self.sizes = _put(self.sizes, self.sized, np.fromiter(map(len, new), np.int64, len(new)))
+        self.sized += len(new)
         sizes = self.sizes[codes]
         total = np.concatenate(([0], np.cumsum(sizes)))
         found, where = [codes], [of]
@@ -190,20 +213,16 @@ class Pieces:
             here = at[np.minimum(sizes[at], sizes[at + 1]) <= PIECE] if n == 2 else at
             if n == 2:
                 keys, back = np.unique((codes[here] << 32) | codes[here + 1], return_inverse=True)
-                joined = np.empty(len(keys), np.int64)
-                first = np.empty(len(keys), np.int64)
-                first[back] = here
-                for k, (key, i) in enumerate(zip(keys.tolist(), first.tolist())):
-                    if (got := self.pairs.get(key)) is None:
-                        self.pairs[key] = got = self._of(words[i] + " " + words[i + 1])
-                    joined[k] = got
-                found.append(joined[back])
+                keys = keys.tolist()
+                names = self.number.names
+                for key in keys:
+                    if key not in self.pairs:
+                        self.pairs[key] = number(names[key >> 32] + " " + names[key & 0xFFFFFFFF])
+                found.append(np.fromiter(map(self.pairs.__getitem__, keys), np.int64, len(keys))[back])
             else:
-                found.append(np.fromiter((self._of(" ".join(words[i : i + n])) for i in here.tolist()), np.int64, len(here)))
+                found.append(np.fromiter(map(number, [" ".join(words[i : i + n]) for i in here.tolist()]), np.int64, len(here)))
             where.append(of[here])
             n += 1
-        new = list(self.number)[len(self.sizes) :]
-        self.sizes = np.concatenate((self.sizes, np.fromiter(map(len, new), np.int64, len(new))))
         return np.concatenate(found), np.concatenate(where)
 
 
@@ -231,16 +250,16 @@ class Scorer:
 
     def __init__(self, model: Model) -> None:
         self.model = model
-        self.pieces, self.known = Pieces(), np.zeros(0)
+        self.pieces, self.known, self.scored = Pieces(), np.zeros(0), 0
 
     def worst(self, texts: list[str | None]) -> np.ndarray:
         if len(self.pieces.number) > REMEMBERED:
-            self.pieces, self.known = Pieces(), np.zeros(0)
+            self.pieces, self.known, self.scored = Pieces(), np.zeros(0), 0
         split = [sentences_of(t) for t in texts]
         found, sentence = self.pieces.read([s for d in split for s in d])
-        new = list(self.pieces.number)[len(self.known) :]
-        if new:
-            self.known = np.concatenate((self.known, word_scores(new, self.model.table)))
+        if new := self.pieces.number.names[self.scored :]:
+            self.known = _put(self.known, self.scored, word_scores(new, self.model.table))
+            self.scored += len(new)
         doc = np.repeat(np.arange(len(texts)), [len(d) for d in split])[sentence] if len(sentence) else sentence
         out = np.full(len(texts), -np.inf)
         np.maximum.at(out, doc, self.known[found])
@@ -329,7 +348,7 @@ def train(examples: Iterable[tuple[list[str], int]]) -> Model:
         marked.append(label)
     labels = np.array(marked, np.int64)
     none = Model(np.zeros(TABLE, np.float32), 0.0, 1.0, float(np.log((labels.sum() + 0.5) / ((1 - labels).sum() + 0.5))))
-    names = list(pieces.number)
+    names = pieces.number.names
     del pieces
     if not names or labels.min() == labels.max():
         return none

@@ -192,3 +192,49 @@ def test_word_scores_are_the_kernel():
             table[n] += a * v
     want = [sum(a * sum(v * features(m).get(n, 0) for n, v in features(w).items()) for m, a in marks.items()) for w in words]
     assert np.allclose(toxicity.word_scores(words, table), want)
+
+
+def test_reading_costs_what_the_sentences_hold():
+    """However many pieces are known, a sentence of known ones makes no copy of them."""
+    import tracemalloc
+
+    scorer = toxicity.Scorer(toxicity.Model(np.zeros(toxicity.TABLE, np.float32), -1.0, 1.0, 0.0))
+    many = [f"word{i}" for i in range(100_000)]
+    scorer.worst([" ".join(many)])
+    scorer.worst(["word5 word7"])
+    tracemalloc.start()
+    try:
+        scorer.worst(["word5 word7"])
+        assert tracemalloc.get_traced_memory()[1] < 100_000
+    finally:
+        tracemalloc.stop()
+
+
+def test_pieces_follow_their_rule():
+    """Numbers, sizes and sentences of pieces, read in one go or bit by bit, against a plain walk."""
+    rng = random.Random(6)
+    signs = ["a", "é", "ж", "@", "1", "-", "'", "\x7f", "ß", "中"]
+    sentences = [rng.choice([" ", " ", "\t "]).join("".join(rng.choices(signs, k=rng.randrange(1, 7))) for _ in range(rng.randrange(12))) for _ in range(300)]
+    want = []
+    for s in sentences:
+        words = "".join(c for c in s if c not in "-'\x7f").split()
+        want.append([*words])
+        for n in range(2, len(words) + 1):
+            for i in range(len(words) - n + 1):
+                size = [len(w) for w in words[i : i + n]]
+                if sum(size) <= toxicity.JOINED and (n > 2 or min(size) <= toxicity.PIECE):
+                    want[-1].append(" ".join(words[i : i + n]))
+    for step in (1, 7, 300):
+        pieces, got = toxicity.Pieces(), []
+        for a in range(0, 300, step):
+            found, where = pieces.read(sentences[a : a + step])
+            names = list(pieces.number)
+            got += [sorted(names[k] for k in found[where == i]) for i in range(len(sentences[a : a + step]))]
+        assert got == [sorted(w) for w in want]
+        assert list(pieces.number.values()) == list(range(len(pieces.number)))
+
+
+def test_a_piece_scores_alike_beside_other_scripts():
+    table = np.random.default_rng(8).normal(size=toxicity.TABLE)
+    words = ["idiot", "грумблек", "id жot", "中文字符中文", "a", "", "ßßßß", "i-d-i-o-t"]
+    assert np.array_equal(toxicity.word_scores(words, table), np.concatenate([toxicity.word_scores([w], table) for w in words]))
