@@ -99,6 +99,23 @@ def cross_referenced(records: DataFrame, parcels: DataFrame, *, key: str = "doc_
     )
 
 
+def _classed(parcels: DataFrame, key: str, within: str, legal: str) -> tuple[DataFrame, DataFrame]:
+    """Parcels (key, within, __same), of which those with equal texts __same read alike, and their classes
+    (within, __same, class_id, __n, __p): the least key, the number of parcels, and the parsed legal of one of them."""
+    p = parcels.select(key, within, parse_legal(legal).alias("__p"))
+    same = [F.array_join(F.array_sort(name_words("__p.subdivision")), " "), F.array_join(F.array_sort(F.array_distinct(lot_set("__p.lot"))), " "), F.col("__p.block")]
+    p = p.select(key, within, "__p", F.concat_ws("\x1f", *same).alias("__same"))
+    classes = p.groupBy(within, "__same").agg(F.min(key).alias("class_id"), F.count("*").alias("__n"), F.min_by("__p", key).alias("__p"))
+    return p.select(key, within, "__same"), classes
+
+
+def _linked(classes: DataFrame, within: str) -> DataFrame:
+    """Classes that match, each with itself too, both ways: __asker and its __m parcels, class_id and its __n."""
+    stored = classes.select(within, "class_id", "__n", F.explode(stored_keys("__p")).alias("legal_key"))
+    asked = classes.select(within, F.col("class_id").alias("__asker"), F.col("__n").alias("__m"), F.explode(asked_keys("__p")).alias("legal_key"))
+    return asked.join(stored, [within, "legal_key"]).select("__asker", "__m", "class_id", "__n").distinct()
+
+
 def legal_classes(parcels: DataFrame, *, key: str, within: str, legal: str = "legal") -> DataFrame:
     """One row (key, class_id, n_links) for each parcel: the least key of those of the same `within` whose
     legals read alike, and how many other parcels of that `within` may be the same one by `legals_match`.
@@ -106,13 +123,33 @@ def legal_classes(parcels: DataFrame, *, key: str, within: str, legal: str = "le
     Parcels that read alike are one class, and only classes are compared, each pair once for its
     keys in common. A legal without a subdivision links with nothing. Keys are unique.
     """
-    p = parcels.select(key, within, parse_legal(legal).alias("__p"))
-    same = [F.array_join(F.array_sort(name_words("__p.subdivision")), " "), F.array_join(F.array_sort(F.array_distinct(lot_set("__p.lot"))), " "), F.col("__p.block")]
-    p = p.select(key, within, "__p", F.concat_ws("\x1f", *same).alias("__same"))
-    classes = p.groupBy(within, "__same").agg(F.min(key).alias("class_id"), F.count("*").alias("__n"), F.min_by("__p", key).alias("__p"))
-    stored = classes.select(within, "class_id", "__n", F.explode(stored_keys("__p")).alias("legal_key"))
-    asked = classes.select(within, F.col("class_id").alias("__asker"), F.explode(asked_keys("__p")).alias("legal_key"))
-    pairs = asked.join(stored, [within, "legal_key"]).select("__asker", "class_id", "__n").distinct()
-    links = pairs.groupBy(F.col("__asker").alias("class_id")).agg((F.sum("__n") - 1).alias("n_links"))
-    of = p.select(key, within, "__same").join(classes.select(within, "__same", "class_id"), [within, "__same"])
+    p, classes = _classed(parcels, key, within, legal)
+    links = _linked(classes, within).groupBy(F.col("__asker").alias("class_id")).agg((F.sum("__n") - 1).alias("n_links"))
+    of = p.join(classes.select(within, "__same", "class_id"), [within, "__same"])
     return of.join(links, "class_id", "left").select(key, "class_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+
+
+#: Parcels of a class that are held at once, next to as many of another.
+CHUNK = 1_024
+
+
+def legal_pairs(parcels: DataFrame, *, key: str, within: str, legal: str = "legal", chunk: int = CHUNK) -> DataFrame:
+    """All pairs (a, b) of parcels of the same `within`, a < b, that may be one parcel by `legals_match`. Keys are unique.
+
+    Only classes are compared, as in `legal_classes`; every pair of them is then written out in full. A class's
+    parcels are dealt into chunks, and each pair of chunks is a row of its own, so a task holds two chunks at a time
+    whatever the size of a class, and a large class is written by many tasks.
+    """
+    p, classes = _classed(parcels, key, within, legal)
+    chunks = lambda n: F.ceil(F.col(n) / chunk)
+    members = p.join(classes.select(within, "__same", "class_id", "__n").hint("merge"), [within, "__same"])
+    dealt = members.groupBy("class_id", F.pmod(F.xxhash64(key), chunks("__n")).alias("__c")).agg(F.collect_list(key).alias("keys"))
+    # A match goes both ways: each pair of classes is taken once, and each pair of one class's own chunks.
+    linked = _linked(classes, within).where(F.col("__asker") <= F.col("class_id")).withColumn("__own", F.col("__asker") == F.col("class_id"))
+    each = linked.withColumn("__i", F.explode(F.sequence(F.lit(0), chunks("__m") - 1)))
+    each = each.withColumn("__j", F.explode(F.sequence(F.when(F.col("__own"), F.col("__i")).otherwise(0), chunks("__n") - 1)))
+    side = lambda of, c, keys: dealt.select(F.col("class_id").alias(of), F.col("__c").alias(c), F.col("keys").alias(keys)).hint("merge")
+    both = each.join(side("__asker", "__i", "__a"), ["__asker", "__i"]).join(side("class_id", "__j", "__b"), ["class_id", "__j"])
+    once = F.col("__own") & (F.col("__i") == F.col("__j"))
+    pairs = both.select(once.alias("__once"), F.explode("__a").alias("x"), "__b").select("__once", "x", F.explode("__b").alias("y"))
+    return pairs.where((F.col("x") < F.col("y")) | (~F.col("__once") & (F.col("x") > F.col("y")))).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import addresses, codes, legal, money
 from ..functions import owners as names
 from ..operators import joins, legal_index, merge, ranking, summary
-from .views import table, view, with_views
+from .views import spread, table, view, with_views
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -161,13 +161,26 @@ def legal_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 MATCH = with_views("d_parcel") + """, t AS (
+  SELECT prop_id, owner_id, regexp_extract(legal, 'LOT ([0-9]+)', 1) AS lot, regexp_extract(legal, 'BLK ([0-9]+)', 1) AS block FROM d_parcel)
+SELECT a.prop_id AS a, b.prop_id AS b FROM t a JOIN t b ON a.owner_id = b.owner_id AND a.prop_id < b.prop_id WHERE a.lot = b.lot AND a.block = b.block"""
+
+
+@query(MATCH)
+def legal_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs of parcels of one owner whose legals can be of one parcel. Every legal here has a
+    word in common with every other, so lot and block decide."""
+    parcels = spread(view(spark, sf_dir, "d_parcel").select("prop_id", "owner_id", "legal"), "prop_id")
+    return legal_index.legal_pairs(parcels, key="prop_id", within="owner_id")
+
+
+CLASSES = with_views("d_parcel") + """, t AS (
   SELECT prop_id, owner_id, regexp_extract(legal, 'SAMPLE (.*) UNIT', 1) AS kind, regexp_extract(legal, 'LOT ([0-9]+)', 1) AS lot, regexp_extract(legal, 'BLK ([0-9]+)', 1) AS block FROM d_parcel),
 n AS (SELECT owner_id, lot, block, count(*) AS n FROM t GROUP BY ALL)
 SELECT t.prop_id, min(t.prop_id) OVER (PARTITION BY owner_id, kind, lot, block) AS class_id, n.n - 1 AS n_links FROM t JOIN n USING (owner_id, lot, block)"""
 
 
-@query(MATCH)
-def legal_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query(CLASSES)
+def legal_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parcels of one owner whose legals read alike, and how many can be of one parcel. Every legal
     here has a word in common with every other, so lot and block decide."""
     return legal_index.legal_classes(view(spark, sf_dir, "d_parcel").select("prop_id", "owner_id", "legal"), key="prop_id", within="owner_id")

@@ -146,6 +146,27 @@ def test_classes_link_as_pairs_do(spark):
     assert got == {i: want.get(i, 0) for i, *_ in rows}
 
 
+def test_all_pairs_of_legals_that_match(spark):
+    """Within and between classes, whatever the chunks."""
+    rng = random.Random(3)
+    rows = [(i, rng.choice(["a", "b", None]), rng.choice(LEGALS)) for i in range(90)]
+    df = spark.createDataFrame(rows, "id int, owner string, legal string")
+    p = df.select("id", "owner", legal.parse_legal("legal").alias("p"))
+    a, b = p.select(F.col("id").alias("a"), "owner", F.col("p").alias("pa")), p.select(F.col("id").alias("b"), "owner", F.col("p").alias("pb"))
+    want = sorted((r.a, r.b) for r in a.join(b, "owner").where("a < b").where(legal.legals_match("pa", "pb")).select("a", "b").collect())
+    assert len(want) > 100
+    for chunk in (1, 2, 1_024):
+        assert sorted(map(tuple, legal_index.legal_pairs(df, key="id", within="owner", chunk=chunk).collect())) == want
+
+
+def test_legal_match_names_every_pair(spark):
+    from parcelwright.plans.registry import ORACLES, QUERIES
+
+    pairs = QUERIES["legal_match"](spark, "/root/testdata/sf0.01")
+    assert pairs.columns == ["a", "b"] and pairs.distinct().count() == pairs.count() == 123
+    assert "JOIN t b ON a.owner_id = b.owner_id AND a.prop_id < b.prop_id" in ORACLES["legal_match"]
+
+
 def test_each_notice_is_found_by_its_own_pattern():
     """No pattern before the case's own one finds anything in it, so that each pattern is needed."""
     from parcelwright.functions import notice_patterns as P
