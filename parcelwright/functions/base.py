@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -29,6 +31,17 @@ def squeeze(c: C) -> Column:
     return F.regexp_replace(F.regexp_replace(text(c), r"\s+", " "), r"^ | $", "")
 
 
+def squeeze_page(c: C) -> Column:
+    """The same for long texts: what needs no change is not met one by one."""
+    s = text(c)
+    for space in "\t\n\x0b\f\r":
+        s = F.replace(s, F.lit(space), F.lit(" "))
+    runs = lambda v: F.when(F.contains(v, F.lit("  ")), F.regexp_replace(v, " {2,}", " ")).otherwise(v)
+    # To a pattern the end is before a last mark of a line's end, too.
+    ends = lambda v: reduce(or_, [F.startswith(v, F.lit(" "))] + [F.endswith(v, F.lit(e)) for e in (" ", "\x85", "\u2028", "\u2029")])
+    return let(s, lambda v: let(runs(v), lambda w: F.when(ends(w), F.regexp_replace(w, "^ | $", "")).otherwise(w)))
+
+
 def strip_chars(c: C, chars: str) -> Column:
     """Any of chars off both ends (chars as inside a regex class)."""
     return F.regexp_replace(col(c), rf"^[{chars}]+|[{chars}]+$", "")
@@ -71,3 +84,9 @@ def tokens(c: C) -> Column:
 def group(c: C, pattern: str, n: int = 1) -> Column:
     """Group n of the first match, without regard to case, "" where there is none."""
     return F.coalesce(F.regexp_extract(col(c), f"(?i){pattern}", n), F.lit(""))
+
+
+def groups(match: C, pattern: str, n: int) -> Column:
+    """The first n groups of a pattern in a text that is one match of it from end to end, "" for those that
+    took no part; read at one go. The text holds no unit separator."""
+    return F.split(F.regexp_replace(col(match), pattern, "\x1f".join(f"${i}" for i in range(1, n + 1))), "\x1f", -1)

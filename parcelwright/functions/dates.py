@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .base import C, col, group, let, text
+from .base import C, col, group, has, let, text
 
 # The number of each month's name.
 MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
@@ -45,11 +45,14 @@ def prose_date(value: C) -> Column:
     def iso(d: Column) -> Column:
         year = let(d["y"], lambda y: F.when(y < 50, y + 2000).when(y < 100, y + 1900).otherwise(y))
         good = d["m"].between(1, 12) & d["d"].between(1, 31)
-        return let(year, lambda y: F.when(y.between(1900, 2100) & good, F.format_string("%04d-%02d-%02d", y, d["m"], d["d"])))
+        two = lambda c: F.lpad(c.cast("string"), 2, "0")
+        return let(year, lambda y: F.when(y.between(1900, 2100) & good, F.concat_ws("-", y.cast("string"), two(d["m"]), two(d["d"]))))
 
     def read(s: Column, pattern: str, y: int, m: int, d: int, name: bool) -> Column:
+        # Parts are read only where the form is met: to cast an empty text costs an exception.
         month = F.try_element_at(months, F.lower(group(s, pattern, m))) if name else group(s, pattern, m).try_cast("int")
-        return let(F.struct(group(s, pattern, y).try_cast("int").alias("y"), month.alias("m"), group(s, pattern, d).try_cast("int").alias("d")), iso)
+        parts = F.struct(group(s, pattern, y).try_cast("int").alias("y"), month.alias("m"), group(s, pattern, d).try_cast("int").alias("d"))
+        return F.when(has(s, pattern), let(parts, iso))
 
     def first(s: Column) -> Column:
         return F.coalesce(

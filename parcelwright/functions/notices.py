@@ -14,13 +14,15 @@ DESCRIPTOR = (
     r"|his\s+wife|her\s+husband|a\s+married\s+couple|as\s+community\s+property|as\s+(?:tenants|joint\s+tenants))\s*$"
 )
 ROLE = r"(?i)[,\s]+(?:as\s+(?:mortgagor|grantor|trustor|borrower)|WIFE|HUSBAND)\s*$"
+# What ends a name that one of the three takes something off.
+DESCRIPTORS = r"(?i)(?=[mswdphctgb])(?:married|single|widow(?:ed)?|divorced|man|woman|person|wife|husband|couple|property|tenants|mortgagor|grantor|trustor|borrower)\.?\s*$"
 JOINED = r"^(.+?)\s*,?\s*(?:an?\s+(?:married|single|unmarried)\s+(?:man|woman|person)\s+)?joined\s+(?:herein|pro[\s-]+forma)\s+by\s+(.+?)$"
 LENDER = (
-    r"(\bBANK\b|\bN\.?A\.?\b|\bFEDERAL\b|\bMORTGAGE\b|\bFINANCIAL\b|\bCAPITAL\b|\bTRUST\s+COMPANY\b|\bSAVINGS\b|\bASSOCIATION\b|\bFANNIE\s+MAE\b"
+    r"\b(?=[bnfmctsawli])(\bBANK\b|\bN\.?A\.?\b|\bFEDERAL\b|\bMORTGAGE\b|\bFINANCIAL\b|\bCAPITAL\b|\bTRUST\s+COMPANY\b|\bSAVINGS\b|\bASSOCIATION\b|\bFANNIE\s+MAE\b"
     r"|\bFREDDIE\s+MAC\b|\bWELLS\s+FARGO\b|\bCHASE\b|\bCITIBANK\b|\bLLC\b|\bCORP(?:ORATION)?\b|\bCOMPANY\b|\bINC\.?\b)"
 )
 LEGAL_TEXT = (
-    r"(\bSUBDIVISION\b|\bBLOCK\s+[A-Z0-9]\b|\bLOT\s+\d|\bTHE\s+SAID\b|\bCORNER\s+OF\b|\bACRES?\b|\bSQUARE\s+FEET\b|\bMETES\b|\bR\.?O\.?W\.?\b|\bMAP\s+RECORDS\b|\bVOLUME\s+\d|\bPLAT\b)"
+    r"\b(?=[sbltcamrvp])(\bSUBDIVISION\b|\bBLOCK\s+[A-Z0-9]\b|\bLOT\s+\d|\bTHE\s+SAID\b|\bCORNER\s+OF\b|\bACRES?\b|\bSQUARE\s+FEET\b|\bMETES\b|\bR\.?O\.?W\.?\b|\bMAP\s+RECORDS\b|\bVOLUME\s+\d|\bPLAT\b)"
 )
 PAGE_WORDS = ("PAGE ", " OF ", "CLERK OF", "COUNTY COURT", "COUNTY OF", "RECORDED", "RECEIVED", "UNOFFICIAL", "AM ", "PM ")
 ENTITY_CORE = r"(?is)^(.*?\b(?:L\.?L\.?C\.?|L\.?P\.?|INC\.?|CORP\.?|LTD\.?|LIMITED\s+LIABILITY\s+COMPANY|LIMITED\s+PARTNERSHIP))\s*,?\s*(?:a\b.*)?$"
@@ -28,7 +30,7 @@ ENTITY_CORE = r"(?is)^(.*?\b(?:L\.?L\.?C\.?|L\.?P\.?|INC\.?|CORP\.?|LTD\.?|LIMIT
 
 def clean_name(name: C) -> Column:
     """A name on one line: hyphens at line ends joined, marks and conjunctions at the end off."""
-    s = F.regexp_replace(text(name), r"-\s*\n\s*", "-")
+    s = F.when(F.contains(text(name), F.lit("\n")), F.regexp_replace(text(name), r"-\s*\n\s*", "-")).otherwise(text(name))
     s = strip_chars(squeeze(s), r" ,.;:&\-")
     return F.trim(F.regexp_replace(s, r"(?i)\s+(and|to|in|the)\s*$", ""))
 
@@ -39,10 +41,10 @@ NUMERALS = ((r"\bII\]", "III"), (r"\[II\b", "III"), (r"\bI\]", "II"), (r"\[V\b",
 
 def clean_ocr_name(name: C) -> Column:
     """The same, brackets read for the numeral I put right first."""
-    s = text(name)
-    for wrong, right in NUMERALS:
-        s = F.regexp_replace(s, wrong, right)
-    return clean_name(s)
+    right = s = text(name)
+    for wrong, numeral in NUMERALS:
+        right = F.regexp_replace(right, wrong, numeral)
+    return clean_name(F.when(F.contains(s, F.lit("[")) | F.contains(s, F.lit("]")), right).otherwise(s))
 
 
 def without_descriptors(name: C) -> Column:
@@ -51,15 +53,22 @@ def without_descriptors(name: C) -> Column:
     s = text(name)
 
     def bare(c: Column, marks: str, *patterns: str) -> Column:
-        for _ in range(3):
+        def once(v: Column) -> Column:
             for p in patterns:
-                c = strip_chars(F.regexp_replace(c, p, ""), marks)
-        return c
+                v = strip_chars(F.regexp_replace(v, p, ""), marks)
+            return v
+
+        # A round that takes nothing off is the last, and only marks go where no descriptor stands.
+        def rounds(v: Column, n: int) -> Column:
+            return let(once(v), lambda w: F.when(w == v, w).otherwise(rounds(w, n - 1))) if n > 1 else once(v)
+
+        return let(c, lambda v: let(strip_chars(v, marks), lambda w: F.when(F.regexp_like(w, F.lit(DESCRIPTORS)), rounds(v, 3)).otherwise(w)))
 
     one, two = (bare(strip_chars(group(F.trim(s), JOINED, n), " ,."), " ,.", MARITAL, DESCRIPTOR) for n in (1, 2))
     both = F.when((F.length(one) >= 3) & (F.length(two) >= 3), F.concat(one, F.lit(" and "), two)).otherwise(s)
     alone = bare(F.trim(s), r" ,.;:&\-", MARITAL, DESCRIPTOR, ROLE)
-    return F.when(group(F.trim(s), JOINED) != "", both).otherwise(let(alone, lambda a: F.when(F.length(a) >= 3, a).otherwise(s)))
+    joined = F.contains(F.lower(s), F.lit("joined")) & (group(F.trim(s), JOINED) != "")
+    return F.when(joined, both).otherwise(let(alone, lambda a: F.when(F.length(a) >= 3, a).otherwise(s)))
 
 
 def entity_core(name: C) -> Column:

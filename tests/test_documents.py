@@ -217,6 +217,53 @@ def test_a_pattern_that_matches_has_what_it_needs(spark):
     assert all(got[1:])  # every pattern is met
 
 
+def test_needs_hold_wherever_a_pattern_matches(spark):
+    """What spares a pattern a text never spares it one that it matches, for every list of patterns."""
+    from parcelwright.functions import notice_patterns as P
+    from parcelwright.operators import extraction
+    from parcelwright.plans import document_queries, notice_cases
+
+    k = F.col("id")
+    cases = [document_queries._rendered(template, k) for _, _, template, _ in notice_cases.CASES]
+    notices = spark.range(len(cases)).select(F.array(*cases)[k].alias("text")).select("text", F.lower("text").alias("low"))
+    lists = [(P.AMOUNT, P.AMOUNT_NEEDS), (P.DEED_DATE, P.DEED_DATE_NEEDS), (P.LOAN_NUMBER, P.LOAN_NUMBER_NEEDS), ((P.MODIFIED,), (P.MODIFIED_NEEDS,)), ((P.OWN_NUMBER,), (P.OWN_NUMBER_NEEDS,))]
+    lists.append(((P.LABELLED_ADDRESS, P.HEADER_ADDRESS, P.LINE_ADDRESS, P.ANY_ADDRESS), (P.ADDRESS_NEEDS + P.LABELLED_NEEDS, P.ADDRESS_NEEDS, P.ADDRESS_NEEDS, P.ADDRESS_NEEDS)))
+    lists.append(((P.LEGAL_WORDS, P.LEGAL_DIGITS, P.LEGAL_TRACTS), (P.LEGAL_WORDS_NEEDS, P.LEGAL_DIGITS_NEEDS, P.LEGAL_TRACTS_NEEDS)))
+    pairs = [(p, n) for patterns, needs in lists for p, n in zip(patterns, needs, strict=True)]
+    found = notices.select(*[F.struct(F.regexp_like("text", F.lit(p)).alias("m"), extraction._holds(F.col("low"), *n).alias("h")).alias(f"p{i}") for i, (p, n) in enumerate(pairs)]).collect()
+    assert not [i for r in found for i, x in enumerate(r) if x.m and not x.h]
+
+
+def test_time_of_a_long_word_grows_with_its_length(spark):
+    """A lot's pattern was tried from each of a word's letters to its end, which took minutes for this one."""
+    import time
+
+    from parcelwright.operators import extraction
+
+    notices = spark.createDataFrame([("x" * 400_000 + " at Lot 7A, Block 3, SAMPLE Addition",)], "text string")
+    began = time.perf_counter()
+    r = extraction.notice_fields(notices).select("legal_lot", "legal_block", "legal_subdivision").first()
+    assert tuple(r) == ("7A", "3", "SAMPLE")
+    assert time.perf_counter() - began < 60
+
+
+def test_the_first_good_name_counts_and_marks_hide_no_descriptor(spark):
+    from parcelwright.functions.base import squeeze, squeeze_page
+    from parcelwright.functions.notices import without_descriptors
+    from parcelwright.operators import extraction
+
+    names = {"CASEY DOE, WIFE;": "CASEY DOE", "CASEY DOE, A MARRIED MAN, UNMARRIED, HIS WIFE ,": "CASEY DOE", "CASEY DOE;": "CASEY DOE", "CASEY WIDOW": "CASEY", "DOE, WIFE": "DOE", "AB, WIFE": "AB, WIFE"}
+    df = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "i int, n string")
+    assert [r[0] for r in df.orderBy("i").select(without_descriptors("n")).collect()] == list(names.values())
+    spaces = ["", " ", "  a  b ", "a\n\tb\r\n", " \x0b\x0c", "a \x85", "a  \u2028", "\u00a0a", None, "a b"]
+    df = spark.createDataFrame([(s,) for s in spaces], "s string")
+    assert all(r[0] == r[1] for r in df.select(squeeze("s"), squeeze_page("s")).collect())
+    # A lender, a legal description and too short a name before a good one.
+    notice = "executed by SAMPLE BANK, whose\nx. executed by AB dated x. mortgagor: LOT 4 BLOCK 2, of\nobligor: CASEY DOE, of"
+    got = spark.createDataFrame([(notice,)], "t string").select(extraction.borrower(F.col("t")).alias("b")).first().b
+    assert (got.owner, got.owner_raw) == ("CASEY DOE", "")
+
+
 def test_work_by_the_row_is_spread_over_tasks(spark):
     from parcelwright.plans.registry import QUERIES
 
